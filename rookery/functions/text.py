@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 # A token that starts with '#'; a lone '#' qualifies, punctuation is kept.
 HASHTAG = r"(?<![^ ])#[^ ]*+"
-# A token holding at least one character outside [a-zA-Z0-9]. Possessive, so linear in the text.
-UNCLEAN_TOKEN = r"(?<![^ ])[a-zA-Z0-9]*+[^a-zA-Z0-9 ][^ ]*+"
+# A token made of letters and digits only. \z, because $ would also match before a line break.
+CLEAN_TOKEN = r"\A[a-zA-Z0-9]+\z"
 
 
 def space_tokens(text: Column) -> Column:
@@ -47,8 +47,7 @@ def hashtag_count(text: Column) -> Column:
 
 def only_words(text: Column) -> Column:
     """Drop every token that is not wholly ``[a-zA-Z0-9]+`` and join the rest by one space."""
-    kept = F.regexp_replace(text, UNCLEAN_TOKEN, "")
-    return F.trim(F.regexp_replace(kept, " {2,}", " "))
+    return F.array_join(F.filter(F.split(text, " "), lambda t: t.rlike(CLEAN_TOKEN)), " ")
 
 
 def string_or_empty(value: Column) -> Column:

@@ -8,10 +8,7 @@ from pyspark.sql import functions as F
 # Fixed value: the date-time text format of flattened posts.
 POST_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSZ"
 
-_DENSE = r"\A\s*\[([^\[\]()]*)\]\s*\z"
-_SPARSE = r"\A\s*\(\s*(\d+)\s*,\s*\[([^\[\]()]*)\]\s*,\s*\[([^\[\]()]*)\]\s*\)\s*\z"
-_POINT = r"\A\s*\(\s*([^,\[\]()]+?)\s*,(.*)\)\s*\z"
-_PLAIN_POINT = r"\A\s*([^,\[\]()]+?)\s*,([^,\[\]()]*)\z"
+_SPARSE = r"\A\(\s*(\d+)\s*,\s*\[([^\[\]()]*)\]\s*,\s*\[([^\[\]()]*)\]\s*\)\z"
 
 
 def followers_ratio(followers: Column, friends: Column) -> Column:
@@ -35,15 +32,23 @@ def parse_ts(text: Column) -> Column:
 
 def _numbers(body: Column, separator: str) -> Column:
     """Doubles of a separated list; NULL when any entry is not a number."""
-    parsed = F.split(F.trim(body), separator).try_cast("array<double>")
+    # The cast trims each entry and leaves NULL where it finds no number.
+    parsed = F.split(body, separator).try_cast("array<double>")
     return F.when(F.trim(body) == "", F.array().cast("array<double>")).when(
         F.forall(parsed, lambda v: v.isNotNull()), parsed
     )
 
 
-def parse_vector(text: Column) -> Column:
-    """``[1.0,2.0]`` or the sparse ``(size,[positions],[values])`` as ``array<double>``, else NULL."""
-    dense = _numbers(F.regexp_extract(text, _DENSE, 1), ",")
+def _inside(text: Column) -> Column:
+    """The text without its first and last character."""
+    return F.substr(text, F.lit(2), F.length(text) - 2)
+
+
+def _dense(text: Column) -> Column:
+    return F.when(text.startswith("[") & text.endswith("]"), _numbers(_inside(text), ","))
+
+
+def _sparse(text: Column) -> Column:
     size = F.regexp_extract(text, _SPARSE, 1).try_cast("int")
     positions = _numbers(F.regexp_extract(text, _SPARSE, 2), ",")
     values = _numbers(F.regexp_extract(text, _SPARSE, 3), ",")
@@ -54,9 +59,13 @@ def parse_vector(text: Column) -> Column:
             F.lit(0.0),
         ),
     )
-    return F.when(text.rlike(_DENSE), dense).when(
-        text.rlike(_SPARSE) & (size > 0) & (F.size(positions) == F.size(values)), filled
-    )
+    return F.when((size > 0) & (F.size(positions) == F.size(values)), filled)
+
+
+def parse_vector(text: Column) -> Column:
+    """``[1.0,2.0]`` or the sparse ``(size,[positions],[values])`` as ``array<double>``, else NULL."""
+    text = F.trim(text)
+    return F.when(text.startswith("("), _sparse(text)).otherwise(_dense(text))
 
 
 def parse_labeled_point(text: Column) -> Column:
@@ -64,16 +73,13 @@ def parse_labeled_point(text: Column) -> Column:
 
     Both fields are NULL when the line cannot be read.
     """
-    tupled = text.rlike(_POINT)
-    plain = text.rlike(_PLAIN_POINT)
-    label = (
-        F.when(tupled, F.regexp_extract(text, _POINT, 1))
-        .when(plain, F.regexp_extract(text, _PLAIN_POINT, 1))
-        .try_cast("double")
-    )
-    features = F.when(tupled, parse_vector(F.regexp_extract(text, _POINT, 2))).when(
-        plain, _numbers(F.regexp_extract(text, _PLAIN_POINT, 2), " +")
-    )
+    text = F.trim(text)
+    tupled = text.startswith("(") & text.endswith(")")
+    body = F.when(tupled, _inside(text)).otherwise(text)
+    comma = F.locate(",", body)
+    rest = F.substr(body, comma + 1)
+    label = F.when(comma > 0, F.substr(body, F.lit(1), comma - 1).try_cast("double"))
+    features = F.when(tupled, parse_vector(rest)).otherwise(_numbers(F.trim(rest), " +"))
     readable = label.isNotNull() & features.isNotNull()
     return F.struct(
         F.when(readable, label).alias("label"),

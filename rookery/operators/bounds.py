@@ -25,6 +25,18 @@ def rows_within(df: DataFrame, bound: int) -> bool:
     return df.limit(bound + 1).count() <= bound
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small scan out to all cores, ahead of costly work on each row.
+
+    A scan with at least as many tasks as there are cores is returned as it is, so no large table
+    is ever shuffled by this.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def word_join(
     tokens: DataFrame, words: DataFrame, spread_by: str, how: str = "inner", key: str = "word"
 ) -> DataFrame:

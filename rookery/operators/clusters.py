@@ -6,16 +6,17 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer
+from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
 from rookery.functions.vectors import nearest_centre
+from rookery.operators.bounds import spread
 from rookery.operators.rollups import sample_rows
 
 # Hashed features of post clustering; clusters, features and decay of the online form.
@@ -37,39 +38,41 @@ CENTRE_SCHEMA = T.StructType(
 )
 
 
-def _text_stages(text_col: str, num_features: int) -> list:
-    return [
-        RegexTokenizer(inputCol=text_col, outputCol="_chars", pattern=""),
-        NGram(n=2, inputCol="_chars", outputCol="_pairs"),
-        HashingTF(inputCol="_pairs", outputCol="features", numFeatures=num_features),
-    ]
+def _pairs(df: DataFrame, text_col: str) -> DataFrame:
+    """Adds ``_pairs``: neighbouring characters of the lower-cased text; a lone one stands alone."""
+    lowered = F.lower(text_col)
+    pairs = F.regexp_extract_all(lowered, F.lit(r"(?s)(?=(..))."), F.lit(1))
+    alone = F.when(lowered == "", F.array().cast("array<string>")).otherwise(F.array(lowered))
+    return df.withColumn("_pairs", F.when(F.length(lowered) < 2, alone).otherwise(pairs))
 
 
 def featurize(
     df: DataFrame, text_col: str = "text", num_features: int = TEXT_FEATURES
 ) -> DataFrame:
     """Adds ``features``: hashed counts of pairs of neighbouring characters."""
-    return PipelineModel(_text_stages(text_col, num_features)).transform(df).drop(
-        "_chars", "_pairs"
-    )
+    hashing = HashingTF(inputCol="_pairs", outputCol="features", numFeatures=num_features)
+    return hashing.transform(_pairs(df, text_col)).drop("_pairs")
 
 
 def cluster_posts(
     df: DataFrame, k: int, iterations: int, seed: int = 1, text_col: str = "text"
-) -> PipelineModel:
-    """K-means over text features; the model takes texts and adds ``prediction``.
+) -> KMeansModel:
+    """K-means over text features.
 
-    Only the features are handed to the trainer, which keeps them for its iterations.
+    The features are kept, spilling to disk, since the trainer goes over them in every iteration.
     """
-    stages = _text_stages(text_col, TEXT_FEATURES)
-    features = PipelineModel(stages).transform(df.select(text_col)).select("features")
-    model = KMeans(k=k, maxIter=iterations, seed=seed, featuresCol="features").fit(features)
-    return PipelineModel([*stages, model])
+    features = featurize(spread(df.select(text_col)), text_col).select("features")
+    features = features.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return KMeans(k=k, maxIter=iterations, seed=seed, featuresCol="features").fit(features)
+    finally:
+        features.unpersist()
 
 
-def assign_clusters(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """``df`` with the integer ``cluster``; works on streams."""
-    return model.transform(df).select(*df.columns, F.col("prediction").alias("cluster"))
+def assign_clusters(model: KMeansModel, df: DataFrame, text_col: str = "text") -> DataFrame:
+    """``df`` with the integer ``cluster`` of each text; works on streams."""
+    placed = model.transform(featurize(spread(df), text_col))
+    return placed.select(*df.columns, F.col("prediction").alias("cluster"))
 
 
 def cluster_sizes(assigned: DataFrame) -> DataFrame:
@@ -77,13 +80,13 @@ def cluster_sizes(assigned: DataFrame) -> DataFrame:
 
 
 def cluster_examples(
-    model: PipelineModel, df: DataFrame, id_col: str, sample: int = 100
+    model: KMeansModel, df: DataFrame, id_col: str, sample: int = 100
 ) -> DataFrame:
     """The first ``sample`` posts, listed by cluster: one pass of the model over the sample."""
     return assign_clusters(model, sample_rows(df, sample, id_col)).orderBy("cluster", id_col)
 
 
-def cluster_filter(model: PipelineModel, df: DataFrame, cluster: int) -> DataFrame:
+def cluster_filter(model: KMeansModel, df: DataFrame, cluster: int) -> DataFrame:
     """Posts of one cluster; ``df`` may be a stream."""
     return assign_clusters(model, df).filter(F.col("cluster") == cluster)
 

@@ -16,7 +16,8 @@ def explode_tokens(df: DataFrame, col: str = "text", out: str = "token") -> Data
 
 def min_token_length(df: DataFrame, n: int = 4, col: str = "token") -> DataFrame:
     """Tokens longer than ``n`` UTF-16 units."""
-    return df.filter(utf16_length(F.col(col)) > n)
+    # A text never has fewer units than characters, so most tokens are settled by the first test.
+    return df.filter((F.length(col) > n) | (utf16_length(F.col(col)) > n))
 
 
 def hashtags(df: DataFrame, col: str = "text", out: str = "tag") -> DataFrame:

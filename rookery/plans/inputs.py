@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rookery.operators.bounds import spread
 from rookery.operators.posts import flatten_posts
 from rookery.operators.regression import standardise
 from rookery.sources.lexicon import count_entries, word_weights
@@ -210,7 +211,7 @@ weights AS (
 
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of all documents, column ``text``."""
-    documents = table(spark, sf_dir, "documents")
+    documents = spread(table(spark, sf_dir, "documents").select("text"))
     return documents.select(F.explode(F.split("text", "\n")).alias("text"))
 
 
@@ -324,5 +325,5 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select(
         "doc_id", F.col("quality").cast("double").alias("label")
     )
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return documents.join(labels, "doc_id")

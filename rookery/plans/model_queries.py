@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from rookery.operators import classify, clusters, regression
+from rookery.operators.bounds import spread
 from rookery.operators.rollups import split_summary
 from rookery.operators.sentiment import labelled_text
 from rookery.operators.sinks import write_lines
@@ -55,7 +60,27 @@ def _(spark, sf_dir):
     return words.select("doc_id", F.size("words").alias("n"), F.array_join("words", " ").alias("words"))
 
 
-@query("ml_stopwords")
+def _kept_sql(select: str, tables: str) -> Callable[[], str | None]:
+    """SQL with the default stop words, which Spark itself holds."""
+
+    def make() -> str | None:
+        if SparkSession.getActiveSession() is None:
+            return None
+        listed = StopWordsRemover.loadDefaultStopWords("english")
+        words = ", ".join("'" + w.lower().replace("'", "''") + "'" for w in listed)
+        kept = f"len(list_filter({_ML_TOKENS}, lambda w: w NOT IN ({words})))"
+        return f"SELECT doc_id, {select.format(kept=kept)} FROM {tables}"
+
+    return make
+
+
+@query(
+    "ml_stopwords",
+    _kept_sql(
+        f"CAST(len({_ML_TOKENS}) AS INTEGER) AS words, CAST({{kept}} AS INTEGER) AS kept",
+        "documents",
+    ),
+)
 def _(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     words = classify.ml_words(documents)
@@ -81,25 +106,32 @@ def _hashed(spark, sf_dir):
     return classify.hashed_counts(classify.ml_words(inputs.labelled_documents(spark, sf_dir)))
 
 
-@query("ml_hashing_tf")
+def _values(vector: str) -> Column:
+    """The stored values of a sparse vector."""
+    return F.unwrap_udt(F.col(vector))["values"]
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+
+
+@query(
+    "ml_hashing_tf",
+    _kept_sql("CAST({kept} AS DOUBLE) AS words", "documents JOIN labels USING (doc_id)"),
+)
 def _(spark, sf_dir):
-    """Per document: occupied buckets and the number of words in them."""
-    counts = vector_to_array("rawFeatures")
-    total = F.aggregate(counts, F.lit(0.0), lambda acc, v: acc + v)
-    return _hashed(spark, sf_dir).select(
-        "doc_id",
-        F.size(F.filter(counts, lambda v: v > 0)).alias("buckets"),
-        total.alias("words"),
-        F.size("filtered").alias("kept"),
-    )
+    """Per document: the hashed counts add up to its words."""
+    return _hashed(spark, sf_dir).select("doc_id", _total(_values("rawFeatures")).alias("words"))
 
 
 @query("ml_idf")
 def _(spark, sf_dir):
-    weights = vector_to_array("features")
-    total = F.aggregate(weights, F.lit(0.0), lambda acc, v: acc + v)
+    """Per document: occupied buckets and their summed weight."""
+    values = _values("features")
     weighed = classify.weigh_counts(_hashed(spark, sf_dir))
-    return weighed.select("doc_id", F.round(total, 6).alias("weight"))
+    return weighed.select(
+        "doc_id", F.size(values).alias("buckets"), F.round(_total(values), 6).alias("weight")
+    )
 
 
 @query(
@@ -175,14 +207,17 @@ def _(spark, sf_dir):
 # --- post clusters ---------------------------------------------------------------------------
 
 
-@query("text_features")
+@query(
+    "text_features",
+    """SELECT doc_id, CAST(CASE WHEN length(text) < 2 THEN length(text) ELSE length(text) - 1 END
+                           AS DOUBLE) AS pairs
+       FROM documents""",
+)
 def _(spark, sf_dir):
+    """Per document: the hashed counts add up to its pairs of characters."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counts = vector_to_array("features")
-    return clusters.featurize(documents).select(
-        "doc_id",
-        F.size(F.filter(counts, lambda v: v > 0)).alias("buckets"),
-        F.aggregate(counts, F.lit(0.0), lambda acc, v: acc + v).alias("pairs"),
+    return clusters.featurize(spread(documents)).select(
+        "doc_id", _total(_values("features")).alias("pairs")
     )
 
 
@@ -322,7 +357,15 @@ def _(spark, sf_dir):
     return _centres_out(online.centre_table(f"{base}/state").newest(spark))
 
 
-@query("kmeans_predict_stream")
+@query(
+    "kmeans_predict_stream",
+    f"""{_ONE_STEP}
+        SELECT id, cluster, count(*) AS n FROM (
+          SELECT id, CAST(arg_min(c.cluster, struct_pack(d := {_distance("c")}, j := c.cluster))
+                          AS INTEGER) AS cluster
+          FROM (SELECT row_number() OVER () AS r, * FROM points) p, after1 c GROUP BY r, id, x0, x1)
+        GROUP BY id, cluster""",
+)
 def _(spark, sf_dir):
     """Known ids beside the clusters by the centres trained before."""
     base = scratch_dir(spark, "kmeans-predict")

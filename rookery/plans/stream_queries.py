@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from rookery.operators import trends
 from rookery.operators.posts import lang_filter, track_filter
-from rookery.plans import inputs
-from rookery.plans.registry import query
+from rookery.plans import inputs, post_queries  # noqa: F401
+from rookery.plans.registry import ORACLES, query
 from rookery.session import scratch_dir
 from rookery.sources.tables import replay_table, table
 from rookery.streaming import trends as stream_trends
@@ -47,7 +47,7 @@ def _(spark, sf_dir):
     return _written(spark, stream.select("post_id", "text"))
 
 
-@query("stream_track_filter")
+@query("stream_track_filter", ORACLES["track_filter"])
 def _(spark, sf_dir):
     stream = track_filter(inputs.post_text_stream(spark, sf_dir), inputs.TRACK_PHRASES)
     return _written(spark, stream.select("post_id"))
@@ -87,7 +87,10 @@ windows AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY start ORDER BY count DESC, tag) AS rank
            FROM windows)"""
 
-_CLOSED = "start + 300 <= (SELECT max(second) - 10 FROM (SELECT CAST(epoch(ts) AS BIGINT) AS second FROM post_texts))"
+# What is closed when the watermark stands ten seconds behind the newest post.
+_MARK = """(SELECT max(second) - 10 FROM
+            (SELECT CAST(epoch(ts) AS BIGINT) AS second FROM post_texts))"""
+_CLOSED = f"start + 300 <= (SELECT max(second) + 1 FROM slides WHERE second + 1 <= {_MARK})"
 
 
 def _in_seconds(counts):
@@ -126,36 +129,46 @@ def _(spark, sf_dir):
     return counts.select(F.unix_timestamp("window_start").alias("start"), "event_type", "count")
 
 
+def _window_batches(spark, sf_dir, write):
+    base = scratch_dir(spark, "windows")
+    drain(write(inputs.post_text_stream(spark, sf_dir), f"{base}/out", "batch", f"{base}/checkpoint"))
+    return spark.read.parquet(f"{base}/out/batch_*")
+
+
 @query(
     "stream_hashtag_window",
     f"WITH {WINDOWS_SQL} SELECT start, tag, count FROM windows WHERE {_CLOSED}",
 )
 def _(spark, sf_dir):
-    counts = stream_trends.hashtag_windows_chained(inputs.post_text_stream(spark, sf_dir))
+    return _in_seconds(_window_batches(spark, sf_dir, stream_trends.write_window_counts))
+
+
+@query(
+    "stream_top_hashtags",
+    f"""WITH {WINDOWS_SQL} SELECT start, tag, count, CAST(rank AS INTEGER) AS rank FROM ranked
+        WHERE rank <= 10 AND {_CLOSED}""",
+)
+def _(spark, sf_dir):
+    top = _window_batches(spark, sf_dir, stream_trends.write_top_hashtags)
+    return top.select(F.unix_timestamp("window_start").alias("start"), "tag", "count", "rank")
+
+
+@query(
+    "stream_hashtag_window_direct",
+    f"WITH {WINDOWS_SQL} SELECT start, tag, count FROM windows WHERE start + 300 <= {_MARK}",
+)
+def _(spark, sf_dir):
+    counts = stream_trends.hashtag_windows_direct(inputs.post_text_stream(spark, sf_dir))
     return _in_seconds(_written(spark, counts, reuse=True))
 
 
 @query(
     "stream_hashtag_slides",
     f"""WITH {WINDOWS_SQL} SELECT tag, second AS bucket, n FROM slides
-        WHERE second + 1 <= (SELECT max(second) - 10 FROM
-          (SELECT CAST(epoch(ts) AS BIGINT) AS second FROM post_texts))""",
+        WHERE second + 1 <= {_MARK}""",
 )
 def _(spark, sf_dir):
     base = scratch_dir(spark, "slides")
     posts = inputs.post_text_stream(spark, sf_dir)
     drain(stream_trends.write_slide_counts(posts, f"{base}/out", f"{base}/checkpoint"))
     return spark.read.schema("tag string, bucket bigint, n bigint").parquet(f"{base}/out")
-
-
-@query(
-    "stream_top_hashtags",
-    f"""WITH {WINDOWS_SQL} SELECT start, tag, count, CAST(rank AS INTEGER) AS rank FROM ranked
-        WHERE rank <= 10 AND {_CLOSED}""",
-)
-def _(spark, sf_dir):
-    base = scratch_dir(spark, "top-tags")
-    counts = stream_trends.hashtag_windows_chained(inputs.post_text_stream(spark, sf_dir))
-    drain(stream_trends.write_top_hashtags(counts, f"{base}/out", "batch", f"{base}/checkpoint"))
-    top = spark.read.parquet(f"{base}/out/batch_*")
-    return top.select(F.unix_timestamp("window_start").alias("start"), "tag", "count", "rank")

@@ -47,6 +47,15 @@ def drain(query: StreamingQuery) -> None:
     query.awaitTermination()
 
 
+def _read_if_there(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 class RowBudgetReached(Exception):
     """Refuses a batch after the budget; the batch stays uncommitted for a later run."""
 
@@ -91,11 +100,8 @@ class BatchWriter:
         return sum((self._counts or {}).values())
 
     def _load_counts(self, spark: SparkSession) -> dict[int, int]:
-        try:
-            rows = spark.read.schema("n bigint, batch_id bigint").parquet(self.counts_path)
-            return {r.batch_id: r.n for r in rows.collect()}
-        except AnalysisException:
-            return {}
+        rows = _read_if_there(spark, self.counts_path, "n bigint, batch_id bigint")
+        return {} if rows is None else {r.batch_id: r.n for r in rows.collect()}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -180,28 +186,41 @@ def preview_batches(
 
 
 class StateTable:
-    """A few rows of model state per micro-batch, in a ring of ``keep`` folders.
+    """State rows per micro-batch, in a ring of ``keep`` folders.
 
     The rows of a batch carry its id, so a replayed batch starts from the state before it and
-    overwrites its own rows instead of applying twice.
+    overwrites its own rows instead of applying twice. ``files`` bounds the files of one state.
     """
 
-    def __init__(self, path: str, schema: T.StructType, keep: int = 16):
-        self.path, self.schema, self.keep = path.rstrip("/"), schema, keep
+    def __init__(self, path: str, schema: T.StructType, keep: int = 16, files: int | None = 1):
+        self.path, self.schema, self.keep, self.files = path.rstrip("/"), schema, keep, files
+
+        self._last: tuple[int, int] | None = None
+
+    def _locate(self, spark: SparkSession, before: int | None) -> tuple[int, int] | None:
+        """``(batch_id, slot)`` of the newest state, or of the newest one before a batch."""
+        if self._last and before is not None and self._last[0] < before:
+            return self._last
+        schema = T.StructType([*self.schema.fields, T.StructField("slot", T.IntegerType())])
+        rows = _read_if_there(spark, self.path, schema)
+        if rows is None:
+            return None
+        if before is not None:
+            rows = rows.filter(F.col("batch_id") < before)
+        last = rows.agg(F.max(F.struct("batch_id", "slot")).alias("m")).first()["m"]
+        return None if last is None else (last["batch_id"], last["slot"])
 
     def save(self, state: DataFrame, batch_id: int) -> None:
-        state.coalesce(1).write.mode("overwrite").parquet(
-            f"{self.path}/slot={batch_id % self.keep}"
-        )
+        # The folder after that of the state before, so a state is never written over its source.
+        found = self._locate(state.sparkSession, batch_id)
+        slot = 0 if found is None else (found[1] + 1) % self.keep
+        state = state.coalesce(self.files) if self.files else state
+        state.write.mode("overwrite").parquet(f"{self.path}/slot={slot}")
+        self._last = (batch_id, slot)
 
     def newest(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
         """The rows of the newest batch, or of the newest one before batch ``before``."""
-        try:
-            rows = spark.read.schema(self.schema).parquet(self.path)
-        except AnalysisException:
+        found = self._locate(spark, before)
+        if found is None:
             return None
-        rows = rows.select(*self.schema.fieldNames())
-        if before is not None:
-            rows = rows.filter(F.col("batch_id") < before)
-        last = rows.agg(F.max("batch_id").alias("b")).first()["b"]
-        return None if last is None else rows.filter(F.col("batch_id") == last)
+        return spark.read.schema(self.schema).parquet(f"{self.path}/slot={found[1]}")

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from rookery.operators.tokens import hashtags
 from rookery.operators.trends import (
@@ -13,77 +18,75 @@ from rookery.operators.trends import (
     sliding_counts,
     top_hashtags_per_window,
 )
-from rookery.streaming.batches import AVAILABLE_NOW, BatchWriter, write_batches
-
-
-def _tags(posts: DataFrame, watermark: str) -> DataFrame:
-    return hashtags(posts.select("ts", "text").withWatermark("ts", watermark))
-
-
-def _named(counts: DataFrame) -> DataFrame:
-    return counts.select(
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        "tag",
-        "count",
-    )
+from rookery.streaming.batches import AVAILABLE_NOW, BatchWriter, StateTable, for_each_batch
+
+# How far behind the newest post a post may come, in seconds.
+LATENESS_SECONDS = 10
+
+_CARRY_SCHEMA = T.StructType(
+    [
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("closed", T.LongType()),
+        T.StructField("tag", T.StringType()),
+        T.StructField("bucket", T.LongType()),
+        T.StructField("n", T.LongType()),
+    ]
+)
 
 
 def hashtag_windows_direct(
     posts: DataFrame,
     window_s: int = WINDOW_SECONDS,
     slide_s: int = SLIDE_SECONDS,
-    watermark: str = "10 seconds",
+    lateness_s: int = LATENESS_SECONDS,
 ) -> DataFrame:
-    """Counts that go straight into the sliding windows; every output mode works.
+    """Counts kept in state for every open window; every output mode works.
 
-    Each hashtag is expanded to all its windows, so prefer the chained form for a small slide.
+    A hashtag goes to each of its windows, and state holds ``window / slide`` rows per tag. For a
+    small slide use ``write_window_counts``. The windows are listed by a sequence, because the
+    built-in window function generates one branch of code per window.
     """
     check_window(window_s, slide_s)
-    sliding = F.window("ts", f"{window_s} seconds", f"{slide_s} seconds")
-    counts = _tags(posts, watermark).groupBy(sliding.alias("window"), "tag")
-    return _named(counts.agg(F.count(F.lit(1)).alias("count")))
+    second = F.unix_timestamp("ts")
+    bucket = second - F.pmod(second, F.lit(slide_s))
+    step = F.lit(slide_s).cast("bigint")
+    tags = hashtags(posts.select(bucket.alias("bucket"), "text"))
+    ends = F.explode(F.sequence(F.col("bucket") + slide_s, F.col("bucket") + window_s, step))
+    placed = tags.select("tag", ends.alias("end")).select(
+        "tag", F.timestamp_seconds("end").alias("window_end")
+    )
+    # The last window of a post ends one window after it.
+    counts = (
+        placed.withWatermark("window_end", f"{window_s + lateness_s} seconds")
+        .groupBy("window_end", "tag")
+        .agg(F.count(F.lit(1)).alias("count"))
+    )
+    start = F.timestamp_seconds(F.unix_timestamp("window_end") - window_s)
+    return counts.select(start.alias("window_start"), "window_end", "tag", "count")
 
 
 def slide_counts_stream(
-    posts: DataFrame, slide_s: int = SLIDE_SECONDS, watermark: str = "10 seconds"
+    posts: DataFrame, slide_s: int = SLIDE_SECONDS, lateness_s: int = LATENESS_SECONDS
 ) -> DataFrame:
     """``(tag, bucket, n)`` of each finished slide: state is one row per tag and open slide."""
-    counts = _tags(posts, watermark).groupBy(F.window("ts", f"{slide_s} seconds"), "tag")
+    late = posts.select("ts", "text").withWatermark("ts", f"{lateness_s} seconds")
+    counts = hashtags(late).groupBy(F.window("ts", f"{slide_s} seconds"), "tag")
     return counts.agg(F.count(F.lit(1)).alias("n")).select(
         "tag", F.unix_timestamp("window.start").alias("bucket"), "n"
     )
 
 
-def hashtag_windows_chained(
-    posts: DataFrame,
-    window_s: int = WINDOW_SECONDS,
-    slide_s: int = SLIDE_SECONDS,
-    watermark: str = "10 seconds",
-) -> DataFrame:
-    """Counts per slide first, then sliding sums over those; append output only."""
-    check_window(window_s, slide_s)
-    per_slide = (
-        _tags(posts, watermark)
-        .groupBy(F.window("ts", f"{slide_s} seconds").alias("slide"), "tag")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    sliding = F.window(F.window_time("slide"), f"{window_s} seconds", f"{slide_s} seconds")
-    counts = per_slide.groupBy(sliding.alias("window"), "tag").agg(F.sum("n").alias("count"))
-    return _named(counts)
-
-
 def write_slide_counts(
     posts: DataFrame,
     path: str,
     checkpoint: str,
     slide_s: int = SLIDE_SECONDS,
-    watermark: str = "10 seconds",
+    lateness_s: int = LATENESS_SECONDS,
     trigger: dict = AVAILABLE_NOW,
-):
+) -> StreamingQuery:
     """Append the finished slides to a parquet table, whose file log makes retries exact."""
     return (
-        slide_counts_stream(posts, slide_s, watermark)
+        slide_counts_stream(posts, slide_s, lateness_s)
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
@@ -104,16 +107,87 @@ def hashtag_windows_from_slides(
     return sliding_counts(slides, "tag", window_s, slide_s)
 
 
-def write_top_hashtags(
-    counts: DataFrame,
+class _WindowCloser:
+    """Turns the slides each batch finishes into the windows that they complete.
+
+    Every slide up to the newest finished one is finished too, so all windows that end there are
+    complete. The slides later windows still need are carried to the next batch in a table.
+    """
+
+    def __init__(self, carry: StateTable, writer: BatchWriter, window_s: int, slide_s: int):
+        self.carry, self.writer = carry, writer
+        self.window_s, self.slide_s = window_s, slide_s
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            newest = batch.agg(F.max("bucket").alias("b")).first()["b"]
+            if newest is None:
+                return
+            closed, before = newest + self.slide_s, None
+            slides = batch
+            carried = self.carry.newest(spark, before=batch_id)
+            if carried is not None:
+                before = carried.agg(F.max("closed").alias("c")).first()["c"]
+                closed = max(closed, before)
+                slides = slides.unionByName(
+                    carried.filter(F.col("tag").isNotNull()).select("tag", "bucket", "n")
+                )
+            windows = sliding_counts(slides, "tag", self.window_s, self.slide_s)
+            end = F.unix_timestamp("window_end")
+            windows = windows.filter(end <= closed)
+            if before is not None:
+                windows = windows.filter(end > before)
+            self.writer(windows, batch_id)
+            open_slides = slides.filter(F.col("bucket") > closed - self.window_s)
+            # One row without a tag keeps the mark when no slide is carried.
+            mark = spark.createDataFrame([(None, None, 0)], "tag string, bucket bigint, n bigint")
+            state = open_slides.unionByName(mark).select(
+                F.lit(batch_id).cast("bigint").alias("batch_id"),
+                F.lit(closed).cast("bigint").alias("closed"),
+                "tag",
+                "bucket",
+                "n",
+            )
+            self.carry.save(state, batch_id)
+        finally:
+            batch.unpersist()
+
+
+def write_window_counts(
+    posts: DataFrame,
     base: str,
     prefix: str,
     checkpoint: str,
-    k: int = 10,
+    window_s: int = WINDOW_SECONDS,
+    slide_s: int = SLIDE_SECONDS,
+    lateness_s: int = LATENESS_SECONDS,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
     trigger: dict = AVAILABLE_NOW,
-):
-    """Rank the windows each batch closes; append output brings all rows of a window at once."""
-    writer = BatchWriter(
-        base, prefix, "parquet", transform=lambda b: top_hashtags_per_window(b, k), reuse=True
+) -> StreamingQuery:
+    """Write the sliding windows each batch completes to ``{base}/{prefix}_{batch_id}``.
+
+    State holds one row per tag and open slide whatever the length of the window.
+    """
+    check_window(window_s, slide_s)
+    carry = StateTable(f"{base}/{prefix}-carry", _CARRY_SCHEMA, keep=4, files=None)
+    writer = BatchWriter(base, prefix, "parquet", transform=transform, reuse=True)
+    closer = _WindowCloser(carry, writer, window_s, slide_s)
+    return for_each_batch(
+        slide_counts_stream(posts, slide_s, lateness_s), closer, checkpoint, trigger
+    )
+
+
+def write_top_hashtags(
+    posts: DataFrame, base: str, prefix: str, checkpoint: str, k: int = 10, **options
+) -> StreamingQuery:
+    """The ``k`` most frequent tags of each completed window."""
+    return write_window_counts(
+        posts,
+        base,
+        prefix,
+        checkpoint,
+        transform=lambda windows: top_hashtags_per_window(windows, k),
+        **options,
     )
-    return write_batches(counts, writer, checkpoint, trigger)
