@@ -30,28 +30,31 @@ def parse_ts(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit(POST_TIME_FORMAT))
 
 
-def _numbers(body: Column, separator: str) -> Column:
-    """Doubles of a separated list; NULL when any entry is not a number."""
-    # The cast trims each entry and leaves NULL where it finds no number.
+def numbers(body: Column, separator: str) -> Column:
+    """Doubles of a separated list; an entry that is no number is NULL."""
+    # The cast trims each entry.
     parsed = F.split(body, separator).try_cast("array<double>")
-    return F.when(F.trim(body) == "", F.array().cast("array<double>")).when(
-        F.forall(parsed, lambda v: v.isNotNull()), parsed
-    )
+    return F.when(F.trim(body) == "", F.array().cast("array<double>")).otherwise(parsed)
+
+
+def complete(values: Column) -> Column:
+    """The array if it has no NULL entry, else NULL."""
+    return F.when(F.forall(values, lambda v: v.isNotNull()), values)
 
 
-def _inside(text: Column) -> Column:
+def inside(text: Column) -> Column:
     """The text without its first and last character."""
     return F.substr(text, F.lit(2), F.length(text) - 2)
 
 
 def _dense(text: Column) -> Column:
-    return F.when(text.startswith("[") & text.endswith("]"), _numbers(_inside(text), ","))
+    return F.when(text.startswith("[") & text.endswith("]"), numbers(inside(text), ","))
 
 
 def _sparse(text: Column) -> Column:
     size = F.regexp_extract(text, _SPARSE, 1).try_cast("int")
-    positions = _numbers(F.regexp_extract(text, _SPARSE, 2), ",")
-    values = _numbers(F.regexp_extract(text, _SPARSE, 3), ",")
+    positions = complete(numbers(F.regexp_extract(text, _SPARSE, 2), ","))
+    values = complete(numbers(F.regexp_extract(text, _SPARSE, 3), ","))
     filled = F.transform(
         F.sequence(F.lit(0), size - 1),
         lambda i: F.coalesce(
@@ -62,26 +65,10 @@ def _sparse(text: Column) -> Column:
     return F.when((size > 0) & (F.size(positions) == F.size(values)), filled)
 
 
-def parse_vector(text: Column) -> Column:
-    """``[1.0,2.0]`` or the sparse ``(size,[positions],[values])`` as ``array<double>``, else NULL."""
-    text = F.trim(text)
-    return F.when(text.startswith("("), _sparse(text)).otherwise(_dense(text))
+def vector_entries(text: Column) -> Column:
+    """``[1.0,2.0]`` or the sparse ``(size,[positions],[values])`` as ``array<double>``.
 
-
-def parse_labeled_point(text: Column) -> Column:
-    """``(1.0,[2.0,3.0])`` or the plain ``1.0,2.0 3.0`` as ``struct<label, features>``.
-
-    Both fields are NULL when the line cannot be read.
+    NULL for other texts; a dense entry that is no number is a NULL entry, see ``complete``.
     """
     text = F.trim(text)
-    tupled = text.startswith("(") & text.endswith(")")
-    body = F.when(tupled, _inside(text)).otherwise(text)
-    comma = F.locate(",", body)
-    rest = F.substr(body, comma + 1)
-    label = F.when(comma > 0, F.substr(body, F.lit(1), comma - 1).try_cast("double"))
-    features = F.when(tupled, parse_vector(rest)).otherwise(_numbers(F.trim(rest), " +"))
-    readable = label.isNotNull() & features.isNotNull()
-    return F.struct(
-        F.when(readable, label).alias("label"),
-        F.when(readable, features).alias("features"),
-    )
+    return F.when(text.startswith("("), _sparse(text)).otherwise(_dense(text))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -15,14 +15,9 @@ _SALTS = 16
 _GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
-def collect_within(df: DataFrame, bound: int) -> list[Row] | None:
-    """The rows when there are at most ``bound`` of them, else None. Reads at most ``bound + 1``."""
-    rows = df.limit(bound + 1).collect()
-    return rows if len(rows) <= bound else None
-
-
-def rows_within(df: DataFrame, bound: int) -> bool:
-    return df.limit(bound + 1).count() <= bound
+def rows_up_to(df: DataFrame, bound: int) -> int:
+    """The number of rows, or ``bound + 1`` when there are more than ``bound``."""
+    return df.limit(bound + 1).count()
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -38,14 +33,21 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def word_join(
-    tokens: DataFrame, words: DataFrame, spread_by: str, how: str = "inner", key: str = "word"
+    tokens: DataFrame,
+    words: DataFrame,
+    spread_by: str,
+    how: str = "inner",
+    key: str = "word",
+    rows: int | None = None,
 ) -> DataFrame:
     """Join tokens to a word table on ``key`` although a few words make up most tokens.
 
     A small word table is broadcast. A large one is repeated once per salt, so the rows of a
-    frequent word spread over several tasks by the hash of ``spread_by``.
+    frequent word spread over several tasks by the hash of ``spread_by``. ``rows`` saves counting
+    the words again when their number is known.
     """
-    if rows_within(words, BROADCAST_ROWS):
+    rows = rows_up_to(words, BROADCAST_ROWS) if rows is None else rows
+    if rows <= BROADCAST_ROWS:
         return tokens.join(F.broadcast(words), key, how)
     salted_tokens = tokens.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(_SALTS)))
     salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(_SALTS - 1).cast("bigint")))

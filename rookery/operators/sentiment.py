@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rookery.functions.text import only_words, space_tokens
-from rookery.operators.bounds import collect_within, word_join
+from rookery.operators import bounds
+from rookery.operators.bounds import rows_up_to, word_join
 from rookery.operators.tokens import explode_tokens
 
 # Weights up to this many words travel inside the plan.
@@ -22,19 +23,12 @@ def sentiment_label(score: Column) -> Column:
     return F.when(score > 0, POSITIVE).when(score < 0, NEGATIVE).otherwise(NEUTRAL)
 
 
-def _inline_weights(weights: DataFrame) -> tuple[Column, int] | None:
-    """The weights as an array of small maps, addressed by the hash of a word."""
-    slots = 4096
-    rows = collect_within(
-        weights.select(
-            "word", "weight", F.pmod(F.xxhash64("word"), F.lit(slots)).cast("int").alias("slot")
-        ),
-        INLINE_WORDS,
-    )
-    if rows is None:
-        return None
+def _inline_weights(weights: DataFrame, rows: int) -> tuple[Column, int]:
+    """A short word table as an array of small maps, addressed by the hash of a word."""
+    slots = max(rows, 1)
+    slot = F.pmod(F.xxhash64("word"), F.lit(slots)).cast("int").alias("slot")
     maps: list[dict[str, int]] = [{} for _ in range(slots)]
-    for row in rows:
+    for row in weights.select("word", "weight", slot).collect():
         maps[row.slot][row.word] = row.weight
     literal = F.from_json(F.lit(json.dumps(maps)), "array<map<string,bigint>>")
     return literal, slots
@@ -49,13 +43,15 @@ def _inline_score(text: Column, maps: Column, slots: int) -> Column:
     return F.aggregate(space_tokens(F.lower(text)), zero, add)
 
 
-def _joined_scores(posts: DataFrame, weights: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _joined_scores(
+    posts: DataFrame, weights: DataFrame, rows: int, id_col: str, text_col: str
+) -> DataFrame:
     """``(id, score)`` of the posts with at least one listed word."""
     lowered = posts.select(id_col, F.lower(text_col).alias("text"))
     words = explode_tokens(lowered, "text", "word").filter("word <> ''")
     # One row per word of a post before the join.
     counted = words.groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("times"))
-    hits = word_join(counted, weights, spread_by=id_col)
+    hits = word_join(counted, weights, spread_by=id_col, rows=rows)
     return hits.groupBy(id_col).agg(F.sum(F.col("times") * F.col("weight")).alias("score"))
 
 
@@ -66,16 +62,17 @@ def lexicon_sentiment(
 
     ``weights`` holds ``(word, weight)``. The score is the sum of the weights of the lower-cased
     space tokens of the raw text. A short word table makes this a projection, on streams too;
-    a long one is joined to the tokens, and only ids and scores are shuffled with the posts.
+    a long one is joined to the tokens, and only ids and scores are shuffled with the posts. The
+    word table is read more than once; write it out first when it is costly to make.
     """
-    inline = _inline_weights(weights)
-    if inline is not None:
-        score = F.coalesce(_inline_score(F.col(text_col), *inline), F.lit(0))
-        scored = posts.withColumn("score", score)
+    rows = rows_up_to(weights, max(INLINE_WORDS, bounds.BROADCAST_ROWS))
+    if rows <= INLINE_WORDS:
+        score = _inline_score(F.col(text_col), *_inline_weights(weights, rows))
+        scored = posts.withColumn("score", F.coalesce(score, F.lit(0)))
     elif posts.isStreaming:
         raise ValueError(f"a stream is scored against at most {INLINE_WORDS} words")
     else:
-        scores = _joined_scores(posts, weights, id_col, text_col)
+        scores = _joined_scores(posts, weights, rows, id_col, text_col)
         scored = posts.join(scores, id_col, "left").fillna(0, ["score"])
     return scored.withColumn("sentiment", sentiment_label(F.col("score")))
 

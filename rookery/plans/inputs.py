@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from rookery.operators.bounds import spread
 from rookery.operators.posts import flatten_posts
 from rookery.operators.regression import standardise
+from rookery.operators.sinks import write_parquet
+from rookery.session import scratch_dir
 from rookery.sources.lexicon import count_entries, word_weights
 from rookery.sources.tables import replay_table, table
 
@@ -54,8 +56,13 @@ def post_texts_from(documents: DataFrame) -> DataFrame:
     )
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, dealt out to all cores when their file is small."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def post_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return post_texts_from(table(spark, sf_dir, "documents"))
+    return post_texts_from(documents(spark, sf_dir))
 
 
 def post_text_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,10 +188,14 @@ def turn_words(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
 
 
 def long_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_weights(
+    """Weights of the two long lists, written out because scoring reads them more than once."""
+    path = scratch_dir(spark, "weights")
+    weights = word_weights(
         count_entries(turn_words(spark, sf_dir, "user")),
         count_entries(turn_words(spark, sf_dir, "assistant")),
     )
+    write_parquet(weights, path)
+    return spark.read.schema(weights.schema).parquet(path)
 
 
 def _values(words: list[str]) -> str:
@@ -211,8 +222,7 @@ weights AS (
 
 def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of all documents, column ``text``."""
-    documents = spread(table(spark, sf_dir, "documents").select("text"))
-    return documents.select(F.explode(F.split("text", "\n")).alias("text"))
+    return documents(spark, sf_dir).select(F.explode(F.split("text", "\n")).alias("text"))
 
 
 def people_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,5 +335,4 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select(
         "doc_id", F.col("quality").cast("double").alias("label")
     )
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return documents.join(labels, "doc_id")
+    return documents(spark, sf_dir).select("doc_id", "text").join(labels, "doc_id")

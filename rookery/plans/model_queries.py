@@ -10,7 +10,6 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from rookery.operators import classify, clusters, regression
-from rookery.operators.bounds import spread
 from rookery.operators.rollups import split_summary
 from rookery.operators.sentiment import labelled_text
 from rookery.operators.sinks import write_lines
@@ -28,7 +27,7 @@ _TRAIN_SQL = "CAST(('0x' || substr(md5(doc_id || '-12345'), 1, 8)) AS BIGINT) %
 
 @query("train_test_split", f"SELECT doc_id, {_TRAIN_SQL} AS train FROM documents")
 def _(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
+    documents = inputs.documents(spark, sf_dir)
     return documents.select("doc_id", classify.in_train("doc_id").alias("train"))
 
 
@@ -41,7 +40,7 @@ def _(spark, sf_dir):
               FROM documents)""",
 )
 def _(spark, sf_dir):
-    summary = split_summary(table(spark, sf_dir, "documents"), classify.in_train("doc_id"))
+    summary = split_summary(inputs.documents(spark, sf_dir), classify.in_train("doc_id"))
     return summary.withColumns(
         {c: F.round(c, 6) for c in ("train_pct", "test_pct")}
     )
@@ -55,7 +54,7 @@ _ML_TOKENS = "string_split_regex(regexp_replace(lower(text), '\\s+$', ''), '\\s'
     f"SELECT doc_id, CAST(len({_ML_TOKENS}) AS INTEGER) AS n, array_to_string({_ML_TOKENS}, ' ') AS words FROM documents",
 )
 def _(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = inputs.documents(spark, sf_dir).select("doc_id", "text")
     words = classify.ml_words(documents)
     return words.select("doc_id", F.size("words").alias("n"), F.array_join("words", " ").alias("words"))
 
@@ -82,7 +81,7 @@ def _kept_sql(select: str, tables: str) -> Callable[[], str | None]:
     ),
 )
 def _(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = inputs.documents(spark, sf_dir).select("doc_id", "text")
     words = classify.ml_words(documents)
     return words.select("doc_id", F.size("words").alias("words"), F.size("filtered").alias("kept"))
 
@@ -97,7 +96,7 @@ _STOP_SQL = ", ".join(f"'{w}'" for w in inputs.STOP_WORDS)
         FROM documents""",
 )
 def _(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = inputs.documents(spark, sf_dir).select("doc_id", "text")
     words = classify.ml_words(documents, stop_words=inputs.STOP_WORDS)
     return words.select("doc_id", F.size("filtered").alias("kept"))
 
@@ -141,7 +140,7 @@ def _(spark, sf_dir):
         FROM (SELECT DISTINCT doc_id, unnest({_ML_TOKENS}) AS term FROM documents) GROUP BY term""",
 )
 def _(spark, sf_dir):
-    terms = classify.term_idf(table(spark, sf_dir, "documents"), "doc_id")
+    terms = classify.term_idf(inputs.documents(spark, sf_dir), "doc_id")
     return terms.withColumn("idf", F.round("idf", 6))
 
 
@@ -215,14 +214,14 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     """Per document: the hashed counts add up to its pairs of characters."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return clusters.featurize(spread(documents)).select(
+    documents = inputs.documents(spark, sf_dir).select("doc_id", "text")
+    return clusters.featurize(documents).select(
         "doc_id", _total(_values("features")).alias("pairs")
     )
 
 
 def _post_clusters(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = inputs.documents(spark, sf_dir).select("doc_id", "text")
     return clusters.cluster_posts(documents, k=5, iterations=10), documents
 
 

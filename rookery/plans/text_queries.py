@@ -11,7 +11,6 @@ from rookery.plans.registry import query
 from rookery.session import scratch_dir
 from rookery.sources.lexicon import read_lexicon, word_weights
 from rookery.sources.lines import read_lines
-from rookery.sources.tables import table
 
 _WORDS_SQL = """
 words AS (
@@ -27,7 +26,7 @@ words AS (
        FROM documents WHERE text = '' OR rtrim(text, ' ') <> ''""",
 )
 def _(spark, sf_dir):
-    return tokens.explode_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return tokens.explode_tokens(inputs.documents(spark, sf_dir).select("doc_id", "text"))
 
 
 @query("word_count", f"WITH {_WORDS_SQL} SELECT word, count FROM words")
@@ -88,13 +87,13 @@ _ONLY_WORDS_SQL = """array_to_string(list_filter(string_split(text, ' '),
 
 @query("only_words", f"SELECT doc_id, {_ONLY_WORDS_SQL} AS words FROM documents")
 def _(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
+    documents = inputs.documents(spark, sf_dir)
     return documents.select("doc_id", only_words(F.col("text")).alias("words"))
 
 
 @query("text_length", "SELECT doc_id, CAST(length(text) AS INTEGER) AS n FROM documents")
 def _(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
+    documents = inputs.documents(spark, sf_dir)
     return documents.select("doc_id", utf16_length(F.col("text")).alias("n"))
 
 
@@ -178,7 +177,7 @@ _STOP_SQL = ", ".join(f"'{w}'" for w in inputs.STOP_WORDS)
 )
 def _(spark, sf_dir):
     words = tokens.explode_tokens(
-        table(spark, sf_dir, "documents").select("doc_id", "text"), out="word"
+        inputs.documents(spark, sf_dir).select("doc_id", "text"), out="word"
     )
     kept = sentiment.remove_stop_words(words, inputs.word_list(spark, inputs.STOP_WORDS), "doc_id")
     return kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("kept"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rookery.functions.text import space_tokens
-from rookery.functions.values import parse_labeled_point, parse_vector
+from rookery.functions.values import complete, inside, numbers, vector_entries
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -47,17 +47,38 @@ def parse_people(lines: DataFrame, strict: bool = False) -> DataFrame:
 
 def parse_vectors(lines: DataFrame, strict: bool = False) -> DataFrame:
     """Vector lines as a ``features array<double>`` column; NULL when unreadable."""
-    features = parse_vector(F.col("value"))
+    # Two steps, so that the line is taken apart once and only its entries are looked at twice.
+    entries = lines.select("value", vector_entries(F.col("value")).alias("entries"))
+    features = complete(F.col("entries"))
     if strict:
         features = _or_raise(features, F.col("value"), "vector")
-    return lines.select(features.alias("features"))
+    return entries.select(features.alias("features"))
 
 
 def parse_labeled_points(lines: DataFrame, strict: bool = False) -> DataFrame:
-    """Labelled-point lines as ``(label, features)``; both NULL when unreadable."""
-    point = parse_labeled_point(F.col("value"))
-    points = lines.select(point.alias("p"), "value")
-    label, features = F.col("p.label"), F.col("p.features")
+    """``(1.0,[2.0,3.0])`` or plain ``1.0,2.0 3.0`` lines as ``(label, features)``.
+
+    Both are NULL when the line is unreadable. The steps keep each part from being cut out again
+    for every use of it.
+    """
+    trimmed = F.trim("value")
+    tupled = trimmed.startswith("(") & trimmed.endswith(")")
+    cut = lines.select("value", tupled.alias("tupled"), trimmed.alias("line"))
+    body = F.when(F.col("tupled"), inside(F.col("line"))).otherwise(F.col("line"))
+    cut = cut.select("value", "tupled", body.alias("body"))
+    comma = F.locate(",", F.col("body"))
+    cut = cut.select(
+        "value",
+        "tupled",
+        F.when(comma > 0, F.substr("body", F.lit(1), comma - 1)).try_cast("double").alias("label"),
+        F.trim(F.substr("body", comma + 1)).alias("rest"),
+    )
+    entries = F.when(F.col("tupled"), vector_entries(F.col("rest")))
+    entries = entries.otherwise(numbers(F.col("rest"), " +"))
+    points = cut.select("value", "label", entries.alias("entries"))
+    points = points.select("value", "label", complete(F.col("entries")).alias("features"))
+    readable = F.col("label").isNotNull() & F.col("features").isNotNull()
+    features = F.when(readable, F.col("features"))
     if strict:
         features = _or_raise(features, F.col("value"), "labelled point")
-    return points.select(label.alias("label"), features.alias("features"))
+    return points.select(F.when(readable, F.col("label")).alias("label"), features.alias("features"))
