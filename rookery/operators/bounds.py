@@ -10,7 +10,6 @@ from pyspark.sql.window import Window
 
 # Word lists up to this many rows are sent to every executor.
 BROADCAST_ROWS = 200_000
-_SALTS = 16
 # Spark prunes row_number() <= k before the shuffle only below this k.
 _GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 
@@ -32,6 +31,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+def _salts(df: DataFrame) -> int:
+    """More salts on a larger cluster; what is still uneven then is left to AQE's skew join."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(16, min(256, partitions))
+
+
 def word_join(
     tokens: DataFrame,
     words: DataFrame,
@@ -49,8 +54,9 @@ def word_join(
     rows = rows_up_to(words, BROADCAST_ROWS) if rows is None else rows
     if rows <= BROADCAST_ROWS:
         return tokens.join(F.broadcast(words), key, how)
-    salted_tokens = tokens.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(_SALTS)))
-    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(_SALTS - 1).cast("bigint")))
+    n = _salts(tokens)
+    salted_tokens = tokens.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(n)))
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
     salted_words = words.withColumn("_salt", salts)
     return salted_tokens.join(salted_words, [key, "_salt"], how).drop("_salt")
 

@@ -46,13 +46,15 @@ def _inline_score(text: Column, maps: Column, slots: int) -> Column:
 def _joined_scores(
     posts: DataFrame, weights: DataFrame, rows: int, id_col: str, text_col: str
 ) -> DataFrame:
-    """``(id, score)`` of the posts with at least one listed word."""
+    """``(id, score)`` of the posts with at least one listed word.
+
+    Words that are not listed go out in the join. With a broadcast table the sums are formed where
+    the tokens lie, so that one number per post is shuffled.
+    """
     lowered = posts.select(id_col, F.lower(text_col).alias("text"))
     words = explode_tokens(lowered, "text", "word").filter("word <> ''")
-    # One row per word of a post before the join.
-    counted = words.groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("times"))
-    hits = word_join(counted, weights, spread_by=id_col, rows=rows)
-    return hits.groupBy(id_col).agg(F.sum(F.col("times") * F.col("weight")).alias("score"))
+    hits = word_join(words, weights, spread_by=id_col, rows=rows)
+    return hits.groupBy(id_col).agg(F.sum("weight").alias("score"))
 
 
 def lexicon_sentiment(

@@ -31,7 +31,7 @@ def as_of() -> Column:
 # --- posts -----------------------------------------------------------------------------------
 
 
-def post_texts_from(documents: DataFrame) -> DataFrame:
+def post_texts_from(documents: DataFrame, *keep: str) -> DataFrame:
     """``(post_id, ts, lang, text)``: a document with a hashtag or phrase head on three of four.
 
     A plain projection, so it also works on a replayed table.
@@ -53,6 +53,7 @@ def post_texts_from(documents: DataFrame) -> DataFrame:
         F.timestamp_seconds(start + (doc * 137) % 7200).alias("ts"),
         "lang",
         text.alias("text"),
+        *keep,
     )
 
 
@@ -70,12 +71,13 @@ def post_text_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested posts: three posts per user, users from the customer table where it has them."""
-    users = table(spark, sf_dir, "customer").join(
-        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
-    )
-    users = users.select(F.col("c_custkey").alias("u"), "c_name", "c_mktsegment", "n_name")
-    texts = post_texts(spark, sf_dir).withColumn("u", F.floor(F.col("post_id") / 3))
+    """Nested posts, three per user.
+
+    A projection, but for the 25 nations that name the locations.
+    """
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    docs = documents(spark, sf_dir)
+    texts = post_texts_from(docs, "source").withColumn("u", F.expr("post_id div 3"))
     u = F.col("u")
     geo = F.struct(
         (F.col("post_id") % 180 - 90).cast("double").alias("lat"),
@@ -84,10 +86,10 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     noon = F.unix_timestamp(F.lit("2023-12-31 12:00:00").cast("timestamp"))
     user = F.struct(
         u.alias("id"),
-        F.col("c_name").alias("name"),
+        F.concat(F.lit("User "), u.cast("string")).alias("name"),
         F.concat(F.lit("u"), u.cast("string")).alias("screen_name"),
         F.when(u % 5 == 1, F.lit("short"))
-        .when(u % 5 != 0, F.concat(F.col("c_mktsegment"), F.lit(" customer of long standing")))
+        .when(u % 5 != 0, F.concat(F.col("source"), F.lit(" writer of long standing")))
         .alias("description"),
         F.col("lang").alias("lang"),
         F.when(u % 11 != 0, F.col("n_name")).alias("location"),
@@ -98,7 +100,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((u * 17) % 120).cast("int").alias("statuses_count"),
         F.timestamp_seconds(noon - (u % 6) * 43200).alias("created_at"),
     )
-    return texts.join(users, "u", "left").select(
+    return texts.join(nations, (u % 25) == F.col("n_nationkey"), "left").select(
         "post_id",
         "ts",
         "lang",
@@ -121,16 +123,18 @@ post_texts AS (
            WHEN 1 THEN '#' || lang || ' #t' || (doc_id % 7) || ' ' || text
            WHEN 2 THEN '#a #b #c #d #e ' || text
            WHEN 3 THEN 'RT & follow ' || text
-           ELSE text END AS text
+           ELSE text END AS text,
+         source
   FROM documents)"""
 
 POSTS_SQL = (
     POST_TEXTS_SQL
     + """,
 posts AS (
-  SELECT p.post_id, p.ts, p.lang, p.text, p.u, c.c_name AS name, 'u' || p.u AS screen_name,
+  SELECT p.post_id, p.ts, p.lang, p.text, p.u, 'User ' || p.u AS name,
+         'u' || p.u AS screen_name,
          CASE WHEN p.u % 5 = 1 THEN 'short'
-              WHEN p.u % 5 <> 0 THEN c.c_mktsegment || ' customer of long standing' END
+              WHEN p.u % 5 <> 0 THEN p.source || ' writer of long standing' END
            AS description,
          CASE WHEN p.u % 11 <> 0 THEN n.n_name END AS location,
          p.u % 3 = 0 AS verified,
@@ -142,8 +146,7 @@ posts AS (
          CASE WHEN p.post_id % 10 = 0 THEN CAST(p.post_id % 180 - 90 AS DOUBLE) END AS lat,
          CASE WHEN p.post_id % 10 = 0 THEN CAST(p.post_id % 360 - 180 AS DOUBLE) END AS lon
   FROM (SELECT *, post_id // 3 AS u FROM post_texts) p
-  LEFT JOIN customer c ON c.c_custkey = p.u
-  LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey)"""
+  LEFT JOIN nation n ON n.n_nationkey = p.u % 25)"""
 )
 
 FLAT_SQL = (

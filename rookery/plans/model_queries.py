@@ -27,7 +27,7 @@ _TRAIN_SQL = "CAST(('0x' || substr(md5(doc_id || '-12345'), 1, 8)) AS BIGINT) %
 
 @query("train_test_split", f"SELECT doc_id, {_TRAIN_SQL} AS train FROM documents")
 def _(spark, sf_dir):
-    documents = inputs.documents(spark, sf_dir)
+    documents = table(spark, sf_dir, "documents")
     return documents.select("doc_id", classify.in_train("doc_id").alias("train"))
 
 
@@ -40,7 +40,7 @@ def _(spark, sf_dir):
               FROM documents)""",
 )
 def _(spark, sf_dir):
-    summary = split_summary(inputs.documents(spark, sf_dir), classify.in_train("doc_id"))
+    summary = split_summary(table(spark, sf_dir, "documents"), classify.in_train("doc_id"))
     return summary.withColumns(
         {c: F.round(c, 6) for c in ("train_pct", "test_pct")}
     )
@@ -245,7 +245,7 @@ def _(spark, sf_dir):
     model, documents = _post_clusters(spark, sf_dir)
     chosen = clusters.assign_clusters(model, documents.orderBy("doc_id").limit(1)).first()
     stream = inputs.post_text_stream(spark, sf_dir).select("post_id", "text")
-    return _written(spark, clusters.cluster_filter(model, stream, chosen["cluster"]))
+    return _written(spark, clusters.cluster_filter(model, stream, chosen["cluster"]), reuse=True)
 
 
 # --- online k-means --------------------------------------------------------------------------

@@ -50,7 +50,7 @@ def _(spark, sf_dir):
 @query("stream_track_filter", ORACLES["track_filter"])
 def _(spark, sf_dir):
     stream = track_filter(inputs.post_text_stream(spark, sf_dir), inputs.TRACK_PHRASES)
-    return _written(spark, stream.select("post_id"))
+    return _written(spark, stream.select("post_id"), reuse=True)
 
 
 @query("stream_row_budget")

@@ -61,10 +61,11 @@ class RowBudgetReached(Exception):
 
 
 class BatchWriter:
-    """Writes every non-empty batch to ``{base}/{prefix}_{batch_id}``.
+    """Writes every non-empty batch to ``{base}/{prefix}_{batch_id}{suffix}``.
 
-    A replayed batch overwrites its own folder. Rows are counted while they are written, and the
-    counts lie beside the output, so a restarted query goes on with the same total.
+    A replayed batch overwrites its own folder. With a ``budget`` rows are counted while they are
+    written, and the counts lie beside the output, so a restarted query goes on with the same
+    total; once the total is above the budget, batches are refused.
 
     ``reuse`` keeps the batch while it is tested and written; use it when the stream is stateful
     or dear to compute. Without it the emptiness test reads one row.
@@ -75,12 +76,13 @@ class BatchWriter:
         base: str,
         prefix: str,
         fmt: str = "text",
+        suffix: str = "",
         files_per_batch: int | None = None,
         budget: int | None = None,
         transform: Callable[[DataFrame], DataFrame] | None = None,
         reuse: bool = False,
     ):
-        self.base, self.prefix, self.fmt = base.rstrip("/"), prefix, fmt
+        self.base, self.prefix, self.suffix, self.fmt = base.rstrip("/"), prefix, suffix, fmt
         self.files_per_batch, self.budget = files_per_batch, budget
         self.transform, self.reuse = transform, reuse
         self.refused = False
@@ -93,24 +95,30 @@ class BatchWriter:
     @property
     def batches_path(self) -> str:
         """A glob over all batch folders."""
-        return f"{self.base}/{self.prefix}_*"
+        return f"{self.base}/{self.prefix}_*{self.suffix}"
 
     @property
     def total(self) -> int:
         return sum((self._counts or {}).values())
 
-    def _load_counts(self, spark: SparkSession) -> dict[int, int]:
-        rows = _read_if_there(spark, self.counts_path, "n bigint, batch_id bigint")
-        return {} if rows is None else {r.batch_id: r.n for r in rows.collect()}
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+    def _check_budget(self, spark: SparkSession, batch_id: int) -> None:
         if self._counts is None:
-            self._counts = self._load_counts(spark)
+            rows = _read_if_there(spark, self.counts_path, "n bigint, batch_id bigint")
+            self._counts = {} if rows is None else {r.batch_id: r.n for r in rows.collect()}
         before = sum(n for b, n in self._counts.items() if b != batch_id)
-        if self.budget is not None and before > self.budget:
+        if before > self.budget:
             self.refused = True
             raise RowBudgetReached(f"{before} rows written, the budget is {self.budget}")
+
+    def _record(self, spark: SparkSession, batch_id: int, n: int) -> None:
+        one = spark.createDataFrame([(n,)], "n bigint").coalesce(1)
+        one.write.mode("overwrite").parquet(f"{self.counts_path}/batch_id={batch_id}")
+        self._counts[batch_id] = n
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if self.budget is not None:
+            self._check_budget(spark, batch_id)
         if self.transform:
             batch = self.transform(batch)
         if self.reuse:
@@ -120,17 +128,15 @@ class BatchWriter:
                 return
             out = batch.coalesce(self.files_per_batch) if self.files_per_batch else batch
             seen = Observation()
-            out.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").format(
-                self.fmt
-            ).save(f"{self.base}/{self.prefix}_{batch_id}")
-            n = seen.get["n"]
+            if self.budget is not None:
+                out = out.observe(seen, F.count(F.lit(1)).alias("n"))
+            folder = f"{self.base}/{self.prefix}_{batch_id}{self.suffix}"
+            out.write.mode("overwrite").format(self.fmt).save(folder)
+            if self.budget is not None:
+                self._record(spark, batch_id, seen.get["n"])
         finally:
             if self.reuse:
                 batch.unpersist()
-        if self.budget is not None:
-            one = spark.createDataFrame([(n,)], "n bigint").coalesce(1)
-            one.write.mode("overwrite").parquet(f"{self.counts_path}/batch_id={batch_id}")
-        self._counts[batch_id] = n
 
 
 def write_batches(
