@@ -14,9 +14,9 @@ BROADCAST_ROWS = 200_000
 _GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
-def rows_up_to(df: DataFrame, bound: int) -> int:
-    """The number of rows, or ``bound + 1`` when there are more than ``bound``."""
-    return df.limit(bound + 1).count()
+def rows_within(df: DataFrame, bound: int) -> bool:
+    """Whether there are at most ``bound`` rows; counts no further."""
+    return df.limit(bound + 1).count() <= bound
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -43,16 +43,13 @@ def word_join(
     spread_by: str,
     how: str = "inner",
     key: str = "word",
-    rows: int | None = None,
 ) -> DataFrame:
     """Join tokens to a word table on ``key`` although a few words make up most tokens.
 
     A small word table is broadcast. A large one is repeated once per salt, so the rows of a
-    frequent word spread over several tasks by the hash of ``spread_by``. ``rows`` saves counting
-    the words again when their number is known.
+    frequent word spread over several tasks by the hash of ``spread_by``.
     """
-    rows = rows_up_to(words, BROADCAST_ROWS) if rows is None else rows
-    if rows <= BROADCAST_ROWS:
+    if rows_within(words, BROADCAST_ROWS):
         return tokens.join(F.broadcast(words), key, how)
     n = _salts(tokens)
     salted_tokens = tokens.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(n)))

@@ -176,7 +176,8 @@ posts_flat AS (
 
 
 def word_list(spark: SparkSession, words: list[str]) -> DataFrame:
-    return count_entries(spark.createDataFrame([(w,) for w in words], "word string"))
+    listed = spark.range(1).select(F.explode(F.lit(words)).alias("word"))
+    return count_entries(listed)
 
 
 def short_weights(spark: SparkSession) -> DataFrame:
