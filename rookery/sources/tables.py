@@ -12,11 +12,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _is_file(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getFileStatus(hadoop_path).isFile()
+
+
 def replay_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The same table as a file stream."""
-    schema = table(spark, sf_dir, name).schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(sf_dir)
-    )
+    """The same table as a file stream, be it one file or a folder of files."""
+    reader = spark.readStream.schema(table(spark, sf_dir, name).schema)
+    path = f"{sf_dir}/{name}.parquet"
+    if _is_file(spark, path):
+        # A file stream watches a folder.
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    return reader.parquet(path)

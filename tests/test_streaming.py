@@ -11,6 +11,7 @@ from rookery.plans import inputs
 from rookery.session import scratch_dir
 from rookery.sources.lines import parse_labeled_points, parse_vectors, read_line_stream
 from rookery.sources.posts import POST_SCHEMA, read_post_stream
+from rookery.sources.tables import replay_table, table
 from rookery.streaming import online
 from rookery.streaming import trends as stream_trends
 from rookery.streaming.batches import (
@@ -247,3 +248,14 @@ def test_batches_without_two_classes_are_recorded_as_skipped(spark, base):
     assert [(r.batch_id, r.status, r.f1) for r in got] == [(0, "trained", 1.0), (1, "skipped", None)]
     assert got[0].train + got[0].test == 60
 
+
+
+def test_a_table_replays_from_one_file_and_from_a_folder(spark, sf_dir, base):
+    one_file = table(spark, sf_dir, "events")
+    one_file.repartition(3).write.parquet(f"{base}/tables/events.parquet")
+    for i, folder in enumerate((sf_dir, f"{base}/tables")):
+        stream = replay_table(spark, folder, "events")
+        writer = BatchWriter(f"{base}/out{i}", "b", "parquet")
+        drain(write_batches(stream, writer, f"{base}/checkpoint{i}"))
+        assert spark.read.parquet(f"{base}/out{i}/b_*").exceptAll(one_file).isEmpty()
+        assert spark.read.parquet(f"{base}/out{i}/b_*").count() == one_file.count()
