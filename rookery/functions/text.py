@@ -55,7 +55,7 @@ def string_or_empty(value: Column) -> Column:
 
 
 def mentions_terms(text: Column, phrase: str) -> Column:
-    """True when every term of ``phrase`` occurs in ``text`` as a whole word, in any case or order."""
+    """Whether every term of ``phrase`` occurs in ``text`` as a whole word, in any order and case."""
     terms = re.findall(r"[^\W_]+", phrase.lower())
     if not terms:
         raise ValueError(f"no word in track phrase {phrase!r}")

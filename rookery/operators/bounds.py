@@ -3,20 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Word lists up to this many rows are sent to every executor.
+# Word lists up to this size are sent to every executor.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 # Spark prunes row_number() <= k before the shuffle only below this k.
 _GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
-def rows_within(df: DataFrame, bound: int) -> bool:
-    """Whether there are at most ``bound`` rows; counts no further."""
-    return df.limit(bound + 1).count() <= bound
+@dataclass(frozen=True)
+class WordListSize:
+    """Rows and bytes of a word list, counted up to just above the broadcast bound."""
+
+    rows: int
+    bytes: int
+
+    def within(self, rows: int, size: int) -> bool:
+        return self.rows <= rows and self.bytes <= size
+
+
+def word_list_size(words: DataFrame, key: str = "word") -> WordListSize:
+    counted = words.select(key).limit(BROADCAST_ROWS + 1)
+    row = counted.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(F.octet_length(key)), F.lit(0)).alias("bytes"),
+    ).first()
+    return WordListSize(row["rows"], row["bytes"])
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -43,13 +60,16 @@ def word_join(
     spread_by: str,
     how: str = "inner",
     key: str = "word",
+    size: WordListSize | None = None,
 ) -> DataFrame:
     """Join tokens to a word table on ``key`` although a few words make up most tokens.
 
     A small word table is broadcast. A large one is repeated once per salt, so the rows of a
-    frequent word spread over several tasks by the hash of ``spread_by``.
+    frequent word spread over several tasks by the hash of ``spread_by``. A known ``size`` saves
+    counting the words again.
     """
-    if rows_within(words, BROADCAST_ROWS):
+    size = size or word_list_size(words, key)
+    if size.within(BROADCAST_ROWS, BROADCAST_BYTES):
         return tokens.join(F.broadcast(words), key, how)
     n = _salts(tokens)
     salted_tokens = tokens.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(n)))

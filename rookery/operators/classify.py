@@ -132,8 +132,9 @@ def metrics(predictions: DataFrame) -> DataFrame:
     One pass over the predictions; everything after it is a handful of rows.
     """
     cells = confusion_matrix(predictions)
+    right = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
     by_class = cells.groupBy(F.col("label").alias("class")).agg(
-        F.sum("n").alias("actual"), F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("hit")
+        F.sum("n").alias("actual"), F.sum(right).alias("hit")
     )
     predicted = cells.groupBy(F.col("prediction").alias("class")).agg(F.sum("n").alias("guessed"))
     joined = by_class.join(predicted, "class", "left").fillna(0, ["guessed"])

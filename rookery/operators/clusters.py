@@ -127,7 +127,8 @@ class Centres:
 
     @staticmethod
     def from_model(model: KMeansModel) -> Centres:
-        return Centres.of([c.tolist() for c in model.clusterCenters()], [1.0] * len(model.clusterCenters()))
+        centres = [c.tolist() for c in model.clusterCenters()]
+        return Centres.of(centres, [1.0] * len(centres))
 
 
 def save_centres(centres: Centres, spark: SparkSession, path: str) -> None:

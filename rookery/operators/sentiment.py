@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rookery.functions.text import only_words, space_tokens
-from rookery.operators.bounds import word_join
+from rookery.operators.bounds import WordListSize, word_join, word_list_size
 from rookery.operators.tokens import explode_tokens
 
-# Weights up to this many words travel inside the plan.
+# Weights up to this size travel inside the plan.
 INLINE_WORDS = 20_000
+INLINE_BYTES = 1 << 20
 
 # The label texts.
 POSITIVE, NEGATIVE, NEUTRAL = "1", "0", "2"
@@ -22,12 +23,9 @@ def sentiment_label(score: Column) -> Column:
     return F.when(score > 0, POSITIVE).when(score < 0, NEGATIVE).otherwise(NEUTRAL)
 
 
-def _inline_weights(weights: DataFrame) -> tuple[Column, int] | None:
+def _inline_weights(weights: DataFrame) -> tuple[Column, int]:
     """A short word table as an array of small maps, addressed by the hash of a word."""
-    hashed = weights.select("word", "weight", F.xxhash64("word").alias("hash"))
-    rows = hashed.limit(INLINE_WORDS + 1).collect()
-    if len(rows) > INLINE_WORDS:
-        return None
+    rows = weights.select("word", "weight", F.xxhash64("word").alias("hash")).collect()
     slots = max(len(rows), 1)
     maps: list[dict[str, int]] = [{} for _ in range(slots)]
     for row in rows:
@@ -44,7 +42,9 @@ def _inline_score(text: Column, maps: Column, slots: int) -> Column:
     return F.aggregate(space_tokens(F.lower(text)), zero, add)
 
 
-def _joined_scores(posts: DataFrame, weights: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _joined_scores(
+    posts: DataFrame, weights: DataFrame, size: WordListSize, id_col: str, text_col: str
+) -> DataFrame:
     """``(id, score)`` of the posts with at least one listed word.
 
     Words that are not listed go out in the join. With a broadcast table the sums are formed where
@@ -52,7 +52,7 @@ def _joined_scores(posts: DataFrame, weights: DataFrame, id_col: str, text_col:
     """
     lowered = posts.select(id_col, F.lower(text_col).alias("text"))
     words = explode_tokens(lowered, "text", "word").filter("word <> ''")
-    hits = word_join(words, weights, spread_by=id_col)
+    hits = word_join(words, weights, spread_by=id_col, size=size)
     return hits.groupBy(id_col).agg(F.sum("weight").alias("score"))
 
 
@@ -66,14 +66,14 @@ def lexicon_sentiment(
     a long one is joined to the tokens, and only ids and scores are shuffled with the posts. The
     word table is read more than once; write it out first when it is costly to make.
     """
-    inline = _inline_weights(weights)
-    if inline is not None:
-        score = F.coalesce(_inline_score(F.col(text_col), *inline), F.lit(0))
-        scored = posts.withColumn("score", score)
+    size = word_list_size(weights)
+    if size.within(INLINE_WORDS, INLINE_BYTES):
+        score = _inline_score(F.col(text_col), *_inline_weights(weights))
+        scored = posts.withColumn("score", F.coalesce(score, F.lit(0)))
     elif posts.isStreaming:
         raise ValueError(f"a stream is scored against at most {INLINE_WORDS} words")
     else:
-        scores = _joined_scores(posts, weights, id_col, text_col)
+        scores = _joined_scores(posts, weights, size, id_col, text_col)
         scored = posts.join(scores, id_col, "left").fillna(0, ["score"])
     return scored.withColumn("sentiment", sentiment_label(F.col("score")))
 

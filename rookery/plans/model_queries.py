@@ -51,12 +51,15 @@ _ML_TOKENS = "string_split_regex(regexp_replace(lower(text), '\\s+$', ''), '\\s'
 
 @query(
     "ml_tokens",
-    f"SELECT doc_id, CAST(len({_ML_TOKENS}) AS INTEGER) AS n, array_to_string({_ML_TOKENS}, ' ') AS words FROM documents",
+    f"""SELECT doc_id, CAST(len({_ML_TOKENS}) AS INTEGER) AS n,
+               array_to_string({_ML_TOKENS}, ' ') AS words
+        FROM documents""",
 )
 def _(spark, sf_dir):
     documents = inputs.documents(spark, sf_dir).select("doc_id", "text")
     words = classify.ml_words(documents)
-    return words.select("doc_id", F.size("words").alias("n"), F.array_join("words", " ").alias("words"))
+    joined = F.array_join("words", " ")
+    return words.select("doc_id", F.size("words").alias("n"), joined.alias("words"))
 
 
 def _kept_sql(select: str, tables: str) -> Callable[[], str | None]:
@@ -274,8 +277,10 @@ def _step_sql(old: str, new: str, where: str) -> str:
 _START_SQL = "start_centres AS (SELECT * FROM (VALUES {}) t(cluster, c0, c1, weight))".format(
     ", ".join(f"({j}, {a}, {b}, 0.0)" for j, (a, b) in enumerate(inputs.START_CENTRES))
 )
-_CENTRES_OUT = "SELECT CAST(cluster AS INTEGER) AS cluster, round(CAST(c0 AS DOUBLE), 6) AS c0, round(CAST(c1 AS DOUBLE), 6) AS c1, CAST(weight AS DOUBLE) AS weight FROM"
-_ONE_STEP = f"WITH {inputs.CLUSTER_POINTS_SQL}, {_START_SQL}, {_step_sql('start_centres', 'after1', 'true')}"
+_CENTRES_OUT = """SELECT CAST(cluster AS INTEGER) AS cluster, round(CAST(c0 AS DOUBLE), 6) AS c0,
+       round(CAST(c1 AS DOUBLE), 6) AS c1, CAST(weight AS DOUBLE) AS weight FROM"""
+_ONE_STEP = f"""WITH {inputs.CLUSTER_POINTS_SQL}, {_START_SQL},
+{_step_sql("start_centres", "after1", "true")}"""
 
 
 def _centres_out(rows):

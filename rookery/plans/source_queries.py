@@ -87,7 +87,8 @@ def _(spark, sf_dir):
 @query("parse_vector", f"WITH {inputs.CLUSTER_POINTS_SQL} SELECT x0, x1 FROM points")
 def _(spark, sf_dir):
     parsed = parse_vectors(inputs.vector_lines(table(spark, sf_dir, "lineitem")))
-    return parsed.select(F.get("features", F.lit(0)).alias("x0"), F.get("features", F.lit(1)).alias("x1"))
+    x0, x1 = F.get("features", F.lit(0)), F.get("features", F.lit(1))
+    return parsed.select(x0.alias("x0"), x1.alias("x1"))
 
 
 @query(

@@ -123,7 +123,8 @@ def _(spark, sf_dir):
        GROUP BY start, event_type""",
 )
 def _(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    at = F.col("ts").cast("timestamp")
+    events = table(spark, sf_dir, "events").select(at.alias("ts"), "event_type")
     hours = trends.slide_counts(events, "event_type", 3600)
     counts = trends.sliding_counts(hours, "event_type", 86400, 3600)
     return counts.select(F.unix_timestamp("window_start").alias("start"), "event_type", "count")
@@ -131,7 +132,8 @@ def _(spark, sf_dir):
 
 def _window_batches(spark, sf_dir, write):
     base = scratch_dir(spark, "windows")
-    drain(write(inputs.post_text_stream(spark, sf_dir), f"{base}/out", "batch", f"{base}/checkpoint"))
+    posts = inputs.post_text_stream(spark, sf_dir)
+    drain(write(posts, f"{base}/out", "batch", f"{base}/checkpoint"))
     return spark.read.parquet(f"{base}/out/batch_*")
 
 

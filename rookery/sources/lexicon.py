@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
-    """A list with one entry per line as ``(word, n)``: lower-cased, blanks dropped, repeats counted."""
+    """A list with one entry per line as ``(word, n)``: lower-cased, no blanks, repeats counted."""
     return count_entries(spark.read.text(path).select(F.col("value").alias("word")))
 
 

@@ -81,4 +81,5 @@ def parse_labeled_points(lines: DataFrame, strict: bool = False) -> DataFrame:
     features = F.when(readable, F.col("features"))
     if strict:
         features = _or_raise(features, F.col("value"), "labelled point")
-    return points.select(F.when(readable, F.col("label")).alias("label"), features.alias("features"))
+    label = F.when(readable, F.col("label"))
+    return points.select(label.alias("label"), features.alias("features"))

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,14 +32,22 @@ EXPECTED = {1: (1, "1"), 2: (1, "1"), 3: (-1, "0"), 4: (0, "2"), 5: (0, "2"), 6:
 
 
 @pytest.mark.parametrize(
-    "inline, broadcast", [(20_000, 200_000), (0, 200_000), (0, 0)],
-    ids=["in the plan", "broadcast join", "salted join"],
+    "lowered, plan",
+    [
+        ({}, "LocalTableScan|Project"),
+        ({"INLINE_WORDS": 0}, "BroadcastHashJoin \\[word"),
+        ({"INLINE_BYTES": 3}, "BroadcastHashJoin \\[word"),
+        ({"INLINE_WORDS": 0, "BROADCAST_ROWS": 0}, "_salt"),
+        ({"INLINE_WORDS": 0, "BROADCAST_BYTES": 3}, "_salt"),
+    ],
+    ids=["in the plan", "too many words", "too many bytes", "too many rows", "too large"],
 )
-def test_scores_on_every_route(spark, monkeypatch, inline, broadcast):
-    monkeypatch.setattr(sentiment, "INLINE_WORDS", inline)
-    monkeypatch.setattr(bounds, "BROADCAST_ROWS", broadcast)
+def test_scores_on_every_route(spark, monkeypatch, lowered, plan):
+    for name, bound in lowered.items():
+        monkeypatch.setattr(bounds if name.startswith("BROADCAST") else sentiment, name, bound)
     scored = sentiment.lexicon_sentiment(posts(spark), weights(spark))
     assert {r.post_id: (r.score, r.sentiment) for r in scored.collect()} == EXPECTED
+    assert re.search(plan, scored._jdf.queryExecution().toString())
 
 
 def test_short_lists_need_no_shuffle(spark):
