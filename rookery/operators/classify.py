@@ -131,16 +131,24 @@ def metrics(predictions: DataFrame) -> DataFrame:
 
     One pass over the predictions; everything after it is a handful of rows.
     """
-    cells = confusion_matrix(predictions)
     right = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
-    by_class = cells.groupBy(F.col("label").alias("class")).agg(
-        F.sum("n").alias("actual"), F.sum(right).alias("hit")
+    none = F.lit(0).cast("bigint")
+
+    def part(of, actual, hit, guessed):
+        return F.struct(
+            F.col(of).alias("class"), actual.alias("actual"), hit.alias("hit"),
+            guessed.alias("guessed"),
+        )
+
+    # A cell counts for the class it is in and for the class it was taken for.
+    n = F.col("n")
+    parts = F.array(part("label", n, right, none), part("prediction", none, none, n))
+    joined = confusion_matrix(predictions).select(F.inline(parts)).groupBy("class").agg(
+        F.sum("actual").alias("actual"), F.sum("hit").alias("hit"), F.sum("guessed").alias("guessed")
     )
-    predicted = cells.groupBy(F.col("prediction").alias("class")).agg(F.sum("n").alias("guessed"))
-    joined = by_class.join(predicted, "class", "left").fillna(0, ["guessed"])
     actual, hit, guessed = (F.col(c).cast("double") for c in ("actual", "hit", "guessed"))
     precision = F.when(guessed > 0, hit / F.nullif(guessed, F.lit(0.0))).otherwise(0.0)
-    recall = hit / actual
+    recall = F.when(actual > 0, hit / F.nullif(actual, F.lit(0.0))).otherwise(0.0)
     f1 = F.when(hit > 0, 2 * hit / (actual + guessed)).otherwise(0.0)
     total = F.sum("actual")
     return joined.agg(

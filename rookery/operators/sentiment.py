@@ -7,9 +7,8 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rookery.functions.text import only_words, space_tokens
+from rookery.functions.text import only_words
 from rookery.operators.bounds import WordListSize, word_join, word_list_size
-from rookery.operators.tokens import explode_tokens
 
 # Weights up to this size travel inside the plan.
 INLINE_WORDS = 20_000
@@ -38,8 +37,8 @@ def _inline_score(text: Column, maps: Column, slots: int) -> Column:
         slot = F.pmod(F.xxhash64(word), F.lit(slots)).cast("int")
         return total + F.coalesce(F.try_element_at(F.get(maps, slot), word), F.lit(0))
 
-    zero = F.lit(0).cast("bigint")
-    return F.aggregate(space_tokens(F.lower(text)), zero, add)
+    # Empty tokens are not listed, so they need no care here.
+    return F.aggregate(F.split(F.lower(text), " "), F.lit(0).cast("bigint"), add)
 
 
 def _joined_scores(
@@ -51,7 +50,7 @@ def _joined_scores(
     the tokens lie, so that one number per post is shuffled.
     """
     lowered = posts.select(id_col, F.lower(text_col).alias("text"))
-    words = explode_tokens(lowered, "text", "word").filter("word <> ''")
+    words = lowered.select(id_col, F.explode(F.split("text", " ")).alias("word"))
     hits = word_join(words, weights, spread_by=id_col, size=size)
     return hits.groupBy(id_col).agg(F.sum("weight").alias("score"))
 

@@ -166,14 +166,6 @@ def _(spark, sf_dir):
 _JSON_FIELDS = [f for f in FLAT_FIELDS if f != "UserFollowersRatio"]
 
 
-@query("post_json")
-def _(spark, sf_dir):
-    verdicts = spam.spam_verdict(inputs.posts_flat(spark, sf_dir), inputs.as_of())
-    return post_ops.posts_to_json(
-        verdicts.select("post_id", *FLAT_FIELDS, "Spam"), keep=["post_id"]
-    )
-
-
 @query(
     "parquet_roundtrip",
     f'WITH {_FLAT} SELECT post_id, "UserName", "UserLang" FROM posts_flat',
@@ -324,3 +316,28 @@ def _(spark, sf_dir):
     schema = flat.drop("post_id").schema
     body = post_ops.posts_to_json(flat, keep=["post_id"])
     return body.select("post_id", F.from_json("value", schema).alias("p")).select("post_id", "p.*")
+
+
+def _json_value(field: str) -> str:
+    """The JSON text of one flat field; JSON has no number for NaN and infinity."""
+    name = f'"{field}"'
+    if field == "UserFollowersRatio":
+        return f"""CASE WHEN isnan({name}) THEN '"NaN"' WHEN isinf({name}) THEN '"Infinity"'
+                   ELSE CAST({name} AS VARCHAR) END"""
+    return f"coalesce(CAST(to_json({name}) AS VARCHAR), 'null')"
+
+
+_JSON_SQL = " || ',' || ".join(
+    f"""'"{field}":' || {_json_value(field)}""" for field in [*FLAT_FIELDS, "Spam"]
+)
+
+
+@query(
+    "post_json",
+    f"""WITH {VERDICT_SQL} SELECT post_id, '{{' || {_JSON_SQL} || '}}' AS value FROM verdicts""",
+)
+def _(spark, sf_dir):
+    verdicts = spam.spam_verdict(inputs.posts_flat(spark, sf_dir), inputs.as_of())
+    return post_ops.posts_to_json(
+        verdicts.select("post_id", *FLAT_FIELDS, "Spam"), keep=["post_id"]
+    )

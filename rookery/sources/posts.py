@@ -72,8 +72,12 @@ def read_post_stream(
     fmt: str = "json",
     max_files: int | None = None,
 ) -> DataFrame:
-    """Posts from the files that land in ``path``."""
-    reader = spark.readStream.schema(schema).format(fmt)
+    """Posts from the files that land in ``path``; unreadable JSON lines in ``_corrupt_record``."""
+    reader = spark.readStream.format(fmt)
+    if fmt == "json":
+        reader = reader.schema(with_corrupt(schema)).option("columnNameOfCorruptRecord", CORRUPT)
+    else:
+        reader = reader.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)

@@ -259,3 +259,12 @@ def test_a_table_replays_from_one_file_and_from_a_folder(spark, sf_dir, base):
         drain(write_batches(stream, writer, f"{base}/checkpoint{i}"))
         assert spark.read.parquet(f"{base}/out{i}/b_*").exceptAll(one_file).isEmpty()
         assert spark.read.parquet(f"{base}/out{i}/b_*").count() == one_file.count()
+
+
+def test_unreadable_lines_of_a_post_stream_are_kept(spark, base):
+    land(spark, f"{base}/in", ['{"post_id": 1, "text": "x"}', "nope"])
+    stream = read_post_stream(spark, f"{base}/in").select("post_id", "_corrupt_record")
+    writer = BatchWriter(f"{base}/out", "b", "parquet")
+    drain(write_batches(stream, writer, f"{base}/checkpoint"))
+    rows = {tuple(r) for r in spark.read.parquet(f"{base}/out/b_*").collect()}
+    assert rows == {(1, None), (None, "nope")}
