@@ -248,7 +248,11 @@ def _(spark, sf_dir):
     model, documents = _post_clusters(spark, sf_dir)
     chosen = clusters.assign_clusters(model, documents.orderBy("doc_id").limit(1)).first()
     stream = inputs.post_text_stream(spark, sf_dir).select("post_id", "text")
-    return _written(spark, clusters.cluster_filter(model, stream, chosen["cluster"]), reuse=True)
+
+    def chosen_posts(batch):
+        return clusters.cluster_filter(model, batch, chosen["cluster"])
+
+    return _written(spark, stream, transform=chosen_posts, reuse=True)
 
 
 # --- online k-means --------------------------------------------------------------------------

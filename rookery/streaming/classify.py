@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
+from rookery.operators.bounds import spread
 from rookery.operators.classify import (
     fit_sentiment,
     in_train,
@@ -38,7 +39,8 @@ def train_per_batch(
     """
 
     def fit_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.select(id_col, "text", "label").persist(StorageLevel.MEMORY_AND_DISK)
+        batch = spread(batch.select(id_col, "text", "label"))
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             sizes = batch.agg(
                 F.count_if(in_train(id_col)).alias("train"),

@@ -12,6 +12,7 @@ from rookery.operators.clusters import Centres
 from rookery.operators.regression import LinearState
 from rookery.plans import inputs
 from rookery.session import scratch_dir
+from rookery.streaming.batches import BatchWriter, drain, write_batches
 
 
 def points(spark, rows):
@@ -204,6 +205,13 @@ def test_post_clusters(spark):
     assert clusters.cluster_filter(model, df, chosen).filter(F.col("text").startswith("z")).count() == 0
     assert len(clusters.Centres.from_model(model).centres) == 2
 
+    base = scratch_dir(spark, "cluster-filter")
+    df.write.parquet(f"{base}/in")
+    landed = spark.readStream.schema(df.schema).parquet(f"{base}/in")
+    stream = clusters.cluster_filter(model, landed, chosen)
+    drain(write_batches(stream, BatchWriter(f"{base}/out", "b", "parquet"), f"{base}/checkpoint"))
+    assert {r.text[0] for r in spark.read.parquet(f"{base}/out/b_*").collect()} == {"a"}
+
 
 def test_features_count_pairs(spark):
     df = spark.createDataFrame([("abab",), ("x",), ("",)], "text string")
