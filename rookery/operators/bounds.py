@@ -40,9 +40,10 @@ def spread(df: DataFrame) -> DataFrame:
     """Deal the rows of a small scan out to all cores, ahead of costly work on each row.
 
     A scan with at least as many tasks as there are cores is returned as it is, so no large table
-    is ever shuffled by this.
+    is ever shuffled by this. So is a frame that shuffles anyway: asking for its tasks would run
+    its stages.
     """
-    if df.isStreaming:
+    if df.isStreaming or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

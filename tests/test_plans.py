@@ -73,6 +73,12 @@ def test_only_small_scans_are_dealt_out(spark):
     assert bounds.spread(small).agg(F.sum("id")).first()[0] == 4950
 
 
+def test_a_shuffled_frame_is_not_run_to_count_its_tasks(spark):
+    fails = F.raise_error(F.lit("this frame was run"))
+    counts = spark.range(10).groupBy((F.col("id") % 2).alias("g")).agg(F.count(fails).alias("n"))
+    assert bounds.spread(counts) is counts
+
+
 def test_spam_verdicts_have_the_recorded_counts(spark):
     verdicts = spam.spam_verdict(
         inputs.posts_flat(spark, "/root/testdata/sf0.01"), inputs.as_of()
