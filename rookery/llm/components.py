@@ -26,13 +26,15 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
     for _ in range(most_rounds):
         both = stars.select("a", "b").union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
+        least = materialise(least, "least")
         large = (
             both.join(least, "a")
             .filter("b > a")
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
             .distinct()
         )
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = materialise(large, "large")
+        least = materialise(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = (
             large.join(least, "a")
             .select(F.col("b").alias("a"), F.col("m").alias("b"))

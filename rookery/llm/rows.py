@@ -20,6 +20,9 @@ SLAB_BYTES = 1 << 20
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back: lost executors redo nothing above.
 
+    Sums per key that are joined back to their rows are written first, too: AQE splits a hot key of
+    a join only if both sides come out of a plain exchange, not out of an aggregation.
+
     Spark removes the files of a shuffle once the driver has collected its owner as garbage. The
     owners end here, so the driver is asked to collect: a job of many steps then holds the files of
     one step, not of all.

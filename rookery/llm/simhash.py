@@ -251,7 +251,8 @@ def near_groups(
     grouped = least.join(nodes, least["fp"] == nodes["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("root")
     )
-    named = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
+    grouped = materialise(grouped, "groups")
+    named = materialise(grouped.groupBy("root").agg(F.min("least").alias("component_id")), "names")
     classes = grouped.join(named, "root").select("fp", "root", "component_id")
     return fps.join(classes, "fp").select("id", "k1", "k2", "fp", "root", "component_id")
 

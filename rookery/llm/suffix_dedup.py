@@ -90,12 +90,14 @@ def _settled(rows: DataFrame) -> DataFrame:
     for all as a partner in the next pass, so thousands of copies cost as much as two.
     """
     twice = rows.groupBy("i").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("i")
+    twice = materialise(twice, "digits")
     rows = materialise(rows.join(twice, "i", "left_semi"), "suffixes")
     classes = rows.groupBy("i", "u").agg(
         F.count(F.lit(1)).alias("members"), F.min(F.struct("k1", "k2", "start")).alias("first")
     )
-    kinds = classes.groupBy("i").agg(F.count(F.lit(1)).alias("kinds"))
-    classes = classes.join(kinds, "i").filter("members > 1 or kinds > 1")
+    classes = materialise(classes, "classes")
+    kinds = materialise(classes.groupBy("i").agg(F.count(F.lit(1)).alias("kinds")), "kinds")
+    classes = materialise(classes.join(kinds, "i").filter("members > 1 or kinds > 1"), "classes")
     mark = F.col("members") > 1
     stands = ~mark | (F.struct("k1", "k2", "start") == F.col("first"))
     return materialise(
@@ -134,6 +136,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     second = _settled(materialise(_next_pass(some, length, False), "suffixes"))
     last = materialise(_next_pass(_with_cells(some, second), length, True), "suffixes")
     twice = last.groupBy("i", "u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("i", "u")
+    twice = materialise(twice, "digits")
     third = last.join(twice, ["i", "u"], "left_semi")
     whole = first.filter("mark").union(second.filter("mark")).select("k1", "k2", "start", "count")
     return whole.union(third.select("k1", "k2", "start", "count")).select(

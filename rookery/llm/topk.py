@@ -87,8 +87,8 @@ def search(q_ids, q, x_ids, x, k: int, dims: int = _DIMS) -> Iterator[tuple[int,
     x_ids, x = x_ids[order], x[order]
     width = max(q.shape[1], x.shape[1])
     q, x = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (q, x))
-    large = max(abs(q).max(initial=0), 1) * max(abs(x).max(initial=0), 1) * max(width, 1)
-    if q.dtype == object or x.dtype == object or float(large) >= _EXACT / 4:
+    large = float(abs(q).max(initial=0)) * float(abs(x).max(initial=0)) * width
+    if q.dtype == object or x.dtype == object or large >= _EXACT / 4:
         q, x = q.astype(object), x.astype(object)
         for query, row in zip(q_ids, q):
             own = x_ids != query

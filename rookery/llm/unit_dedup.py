@@ -89,10 +89,11 @@ def later_spans(rows: DataFrame) -> DataFrame:
     """
     rows = materialise(rows, "units")
     twice = rows.groupBy("d1").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("d1")
-    rows = materialise(rows.join(twice, "d1", "left_semi"), "units")
+    rows = materialise(rows.join(materialise(twice, "digests"), "d1", "left_semi"), "units")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "k1", "k2", "a")
     first = rows.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    again = rows.join(first.filter("n > 1").drop("n"), ["d1", "d2"]).filter(place != F.col("first"))
+    first = materialise(first.filter("n > 1").drop("n"), "first")
+    again = rows.join(first, ["d1", "d2"]).filter(place != F.col("first"))
     return materialise(again.select("k1", "k2", "a", "b"), "spans")
 
 

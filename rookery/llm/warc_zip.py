@@ -127,6 +127,7 @@ def record_kinds(
     )
     first = rows.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
     first = first.filter("n > 1 and first is not null").select("digest", "first")
+    first = materialise(first, "digests")
     again = F.col("first").isNotNull() & (F.octet_length("html") >= least) & ~F.col("page_id").eqNullSafe(F.col("first"))
     return rows.join(first, "digest", "left").select(
         "page_id", "url", "html",
