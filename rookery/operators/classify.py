@@ -105,9 +105,9 @@ def fit_sentiment(train: DataFrame, **options) -> PipelineModel:
     return Pipeline(stages=sentiment_stages(**options)).fit(train)
 
 
-def fit_logistic(train: DataFrame, **options) -> PipelineModel:
-    """The same features under logistic regression."""
-    return fit_sentiment(train, classifier=LogisticRegression(maxIter=20), **options)
+def fit_logistic(train: DataFrame, iterations: int = 100, **options) -> PipelineModel:
+    """The same features under logistic regression of at most so many steps."""
+    return fit_sentiment(train, classifier=LogisticRegression(maxIter=iterations), **options)
 
 
 def score(model: PipelineModel, test: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
-from rookery.functions.vectors import nearest_centre
+from rookery.functions.vectors import is_complete, nearest_centre
 from rookery.operators.bounds import spread
 from rookery.operators.rollups import sample_rows
 
@@ -142,10 +142,11 @@ def load_centres(spark: SparkSession, path: str) -> Centres:
 def cluster_sums(points: DataFrame, centres: Centres) -> DataFrame:
     """``(cluster, n, sums)`` of a ``features`` column: one row per cluster that got a point.
 
-    Points are summed where they lie, so a cluster that holds most of them costs no more.
+    Points are summed where they lie, so a cluster that holds most of them costs no more. Features
+    that are not whole (see ``unreadable_points``) are no points.
     """
     dims = len(centres.centres[0])
-    placed = points.select(
+    placed = points.filter(is_complete(F.col("features"), dims)).select(
         "features", nearest_centre(F.col("features"), centres.centres).alias("cluster")
     )
     count = F.count(F.lit(1)).alias("n")
@@ -161,6 +162,11 @@ def cluster_sums(points: DataFrame, centres: Centres) -> DataFrame:
     return placed.groupBy("cluster").agg(count, F.array(*sums).alias("sums"))
 
 
+def unreadable_points(points: DataFrame, dims: int) -> DataFrame:
+    """The rows which a model of ``dims`` features leaves out, for a count or a look at them."""
+    return points.filter(~is_complete(F.col("features"), dims))
+
+
 def merge_centres(
     state: Centres, sums: Sequence, decay: float = ONLINE_DECAY, unit: str = "batches"
 ) -> Centres:
@@ -168,6 +174,7 @@ def merge_centres(
 
     With ``unit="points"`` the decay applies once per point. A cluster whose weight is next to
     nothing beside the heaviest one takes half of that one's weight and a place right beside it.
+    A batch without points only discounts the weights.
     """
     centres = np.array(state.centres)
     arrived = sum(row.n for row in sums)
@@ -193,5 +200,5 @@ def kmeans_update(
 
 
 def kmeans_predict(state: Centres, points: DataFrame) -> DataFrame:
-    """Adds the ``cluster`` of each point's ``features``, beside any known id."""
+    """Adds the ``cluster`` of each point's ``features``, beside any known id; null if unreadable."""
     return points.withColumn("cluster", nearest_centre(F.col("features"), state.centres))

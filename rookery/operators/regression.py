@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rookery.functions.vectors import dot
+from rookery.functions.vectors import dot, is_complete
 
 # Features of the model and defaults of the trainer.
 FEATURES = 1
@@ -53,8 +53,12 @@ class LinearState:
 def sufficient_stats(points: DataFrame, features: int = FEATURES) -> DataFrame:
     """One row: ``n``, ``s_y`` and, per feature, ``s_x*``, ``s_xy*`` and the products ``s_xx*_*``.
 
-    Gradient steps over the whole batch depend on the points only through these sums.
+    Gradient steps over the whole batch depend on the points only through these sums. Rows without
+    a label or without whole features are no points.
     """
+    points = points.filter(
+        F.col("label").isNotNull() & ~F.isnan("label") & is_complete(F.col("features"), features)
+    )
     x = [F.get("features", F.lit(i)) for i in range(features)]
     y = F.col("label")
     columns = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("s_y")]
@@ -100,9 +104,10 @@ def linreg_update(state: LinearState, points: DataFrame, **options) -> LinearSta
 
 
 def linreg_predict(state: LinearState, points: DataFrame) -> DataFrame:
-    """Adds ``prediction``, beside the known label."""
+    """Adds ``prediction``, beside the known label; null if the features are unreadable."""
     value = dot(F.col("features"), state.weights) + F.lit(state.intercept)
-    return points.withColumn("prediction", value)
+    whole = is_complete(F.col("features"), len(state.weights))
+    return points.withColumn("prediction", F.when(whole, value))
 
 
 @dataclass(frozen=True)

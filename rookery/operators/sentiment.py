@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rookery.functions.text import only_words
+from rookery.operators import bounds
 from rookery.operators.bounds import WordListSize, word_join, word_list_size
 
 # Weights up to this size travel inside the plan.
@@ -41,39 +42,82 @@ def _inline_score(text: Column, maps: Column, slots: int) -> Column:
     return F.aggregate(F.split(F.lower(text), " "), F.lit(0).cast("bigint"), add)
 
 
+def _map_table(weights: DataFrame, rows: int) -> tuple[DataFrame, int]:
+    """The same array of maps as a table of one row, for lists that are too long for a plan."""
+    slots = max(rows, 1)
+    slot = F.pmod(F.xxhash64("word"), F.lit(slots)).cast("int").alias("slot")
+    entry = F.struct("word", F.col("weight").cast("bigint").alias("weight"))
+    filled = weights.groupBy(slot).agg(F.map_from_entries(F.collect_list(entry)).alias("map"))
+    every = weights.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot"))
+    empty = F.map_from_entries(F.array().cast("array<struct<word:string,weight:bigint>>"))
+    maps = every.join(filled, "slot", "left").select("slot", F.coalesce("map", empty).alias("map"))
+    ordered = F.array_sort(F.collect_list(F.struct("slot", "map")), lambda x, y: x["slot"] - y["slot"])
+    return maps.agg(F.transform(ordered, lambda x: x["map"]).alias("_maps")).withColumn("_one", F.lit(1)), slots
+
+
+def _with_map_score(posts: DataFrame, weights: DataFrame, rows: int, text_col: str) -> DataFrame:
+    """Adds ``score`` by a broadcast table of one row: no shuffle, no ids, batch and stream alike.
+
+    The optimizer drops the constant key; each post meets the one row of the table and no other.
+    """
+    table, slots = _map_table(weights, rows)
+    joined = posts.withColumn("_one", F.lit(1)).join(F.broadcast(table), "_one")
+    scored = _inline_score(F.col(text_col), F.col("_maps"), slots)
+    return joined.withColumn("score", F.coalesce(scored, F.lit(0))).drop("_one", "_maps")
+
+
 def _joined_scores(
-    posts: DataFrame, weights: DataFrame, size: WordListSize, id_col: str, text_col: str
+    posts: DataFrame, weights: DataFrame, size: WordListSize, text_col: str
 ) -> DataFrame:
-    """``(id, score)`` of the posts with at least one listed word.
+    """``(_text, score)`` of the texts with at least one listed word, ``_text`` being a digest.
 
-    Words that are not listed go out in the join. With a broadcast table the sums are formed where
-    the tokens lie, so that one number per post is shuffled.
+    Words that are not listed go out in the join. The score is a matter of the text alone, so posts
+    that are delivered twice, and posts without an id, need no care.
     """
-    lowered = posts.select(id_col, F.lower(text_col).alias("text"))
-    words = lowered.select(id_col, F.explode(F.split("text", " ")).alias("word"))
-    hits = word_join(words, weights, spread_by=id_col, size=size)
-    return hits.groupBy(id_col).agg(F.sum("weight").alias("score"))
+    lowered = posts.select(F.lower(text_col).alias("text")).filter("text is not null")
+    lowered = lowered.withColumn("_text", F.md5(F.col("text").cast("binary"))).dropDuplicates(["_text"])
+    words = lowered.select("_text", F.explode(F.split("text", " ")).alias("word"))
+    hits = word_join(words, weights, spread_by="_text", size=size)
+    return hits.groupBy("_text").agg(F.sum("weight").alias("score"))
+
+
+def _chunks(weights: DataFrame, size: WordListSize) -> int:
+    """Parts of a list that each keep to the bounds of a broadcast, by a hash of the word."""
+    row = weights.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("word")).alias("bytes")).first()
+    return 1 + 2 * max(row["n"] // max(1, bounds.BROADCAST_ROWS), row["bytes"] // max(1, bounds.BROADCAST_BYTES))
 
 
 def lexicon_sentiment(
     posts: DataFrame, weights: DataFrame, id_col: str = "post_id", text_col: str = "text"
 ) -> DataFrame:
-    """Adds ``score`` and ``sentiment`` to each post.
-
-    ``weights`` holds ``(word, weight)``. The score is the sum of the weights of the lower-cased
-    space tokens of the raw text. A short word table makes this a projection, on streams too;
-    a long one is joined to the tokens, and only ids and scores are shuffled with the posts. The
-    word table is read more than once; write it out first when it is costly to make.
+    """Adds ``score`` and ``sentiment`` to each row of ``posts``, whatever the length of the list.
+
+    ``weights`` holds ``(word, weight)``; weights of a word listed twice add up. The score is the sum
+    of the weights of the lower-cased space tokens of the raw text, 0 for a null text. Up to the
+    bound of a broadcast this is a projection, on streams too: a short list travels in the plan, a
+    longer one in a table of one row. Beyond the bound the tokens of a batch are joined to the list,
+    and a stream is scored by one part of the list after the other. The word table is read more than
+    once; write it out first when it is costly to make.
     """
+    weights = weights.groupBy("word").agg(F.sum("weight").cast("bigint").alias("weight"))
     size = word_list_size(weights)
     if size.within(INLINE_WORDS, INLINE_BYTES):
         score = _inline_score(F.col(text_col), *_inline_weights(weights))
         scored = posts.withColumn("score", F.coalesce(score, F.lit(0)))
+    elif size.within(bounds.BROADCAST_ROWS, bounds.BROADCAST_BYTES):
+        scored = _with_map_score(posts, weights, size.rows, text_col)
     elif posts.isStreaming:
-        raise ValueError(f"a stream is scored against at most {INLINE_WORDS} words")
+        parts = _chunks(weights, size)
+        scored = posts.withColumn("_sum", F.lit(0).cast("bigint"))
+        for i in range(parts):
+            part = weights.filter(F.pmod(F.xxhash64(F.lit("part"), "word"), F.lit(parts)) == i)
+            scored = _with_map_score(scored, part, part.count(), text_col)
+            scored = scored.withColumn("_sum", F.col("_sum") + F.col("score")).drop("score")
+        scored = scored.withColumnRenamed("_sum", "score")
     else:
-        scores = _joined_scores(posts, weights, size, id_col, text_col)
-        scored = posts.join(scores, id_col, "left").fillna(0, ["score"])
+        scores = _joined_scores(posts, weights, size, text_col)
+        keyed = posts.withColumn("_text", F.md5(F.lower(text_col).cast("binary")))
+        scored = keyed.join(scores, "_text", "left").drop("_text").fillna(0, ["score"])
     return scored.withColumn("sentiment", sentiment_label(F.col("score")))
 
 

@@ -365,6 +365,34 @@ def _(spark, sf_dir):
     return _centres_out(online.centre_table(f"{base}/state").newest(spark))
 
 
+def _with_bad_lines(lines, every: int):
+    """Lines and, for about one in ``every``, an unreadable one beside it."""
+    picked = lines.filter(F.pmod(F.xxhash64("value"), F.lit(every)) == 0)
+    bad = F.array(*[F.lit(x) for x in ("garbage", "[]", "[1.0]", "", "(3.0,[])", "(x,[1.0,2.0])")])
+    broken = picked.select(F.get(bad, F.pmod(F.xxhash64("value", F.lit(1)), F.lit(6)).cast("int")).alias("value"))
+    return lines.unionByName(broken)
+
+
+@query(
+    "kmeans_stream_dirty",
+    f"""WITH {inputs.CLUSTER_POINTS_SQL}, {_START_SQL},
+        {_step_sql("start_centres", "after1", "status = 'F'")},
+        {_step_sql("after1", "after2", "status <> 'F'")} {_CENTRES_OUT} after2""",
+)
+def _(spark, sf_dir):
+    """The centres of ``kmeans_stream`` although unreadable lines land among the others."""
+    base = scratch_dir(spark, "kmeans")
+
+    def run():
+        points = parse_vectors(read_line_stream(spark, f"{base}/in"))
+        start = clusters.Centres.of(inputs.START_CENTRES)
+        drain(online.train_kmeans(points, f"{base}/state", f"{base}/checkpoint", start))
+
+    dirty = lambda items: _with_bad_lines(inputs.vector_lines(items), 50)
+    _two_landings(spark, sf_dir, f"{base}/in", dirty, run)
+    return _centres_out(online.centre_table(f"{base}/state").newest(spark))
+
+
 @query(
     "kmeans_predict_stream",
     f"""{_ONE_STEP}
@@ -455,6 +483,22 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     """Weights after two landings of labelled-point lines."""
+    return _trained_linreg(spark, sf_dir, lambda lines: lines)
+
+
+@query(
+    "linreg_stream_dirty",
+    f"""WITH RECURSIVE {inputs.REGRESSION_POINTS_SQL}, {_ZERO},
+        {_descent_sql("done1", "zero", "status = 'F'")},
+        {_descent_sql("done2", "done1", "status <> 'F'")}
+        SELECT round(w, 6) AS w, round(b, 6) AS b FROM done2""",
+)
+def _(spark, sf_dir):
+    """The weights of ``linreg_stream`` although unreadable lines land among the others."""
+    return _trained_linreg(spark, sf_dir, lambda lines: _with_bad_lines(lines, 50))
+
+
+def _trained_linreg(spark, sf_dir, landed):
     base = scratch_dir(spark, "linreg")
     points = inputs.regression_points(spark, sf_dir)
     for part in (F.col("status") == "F", F.col("status") != "F"):
@@ -465,7 +509,8 @@ def _(spark, sf_dir):
             F.col("features")[0].cast("string"),
             F.lit("])"),
         )
-        points.filter(part).select(line.alias("value")).write.mode("append").text(f"{base}/in")
+        lines = points.filter(part).select(line.alias("value"))
+        landed(lines).write.mode("append").text(f"{base}/in")
         stream = parse_labeled_points(read_line_stream(spark, f"{base}/in"))
         drain(online.train_linreg(stream, f"{base}/state", f"{base}/checkpoint"))
     return _weights_out(online.weight_table(f"{base}/state").newest(spark))

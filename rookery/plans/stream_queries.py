@@ -55,15 +55,23 @@ def _(spark, sf_dir):
 
 @query(
     "stream_row_budget",
-    """SELECT count(*) > 1000 AS over_budget, count(*) = count(DISTINCT event_id) AS each_once
-       FROM events""",
+    """SELECT count(*) AS kept, count(DISTINCT event_id) AS distinct_kept, true AS stopped_in_time
+       FROM (SELECT event_id, event_id % 16 AS part FROM events) e
+       WHERE part < (SELECT coalesce(min(part), 15) + 1 FROM (
+         SELECT part, sum(count(*)) OVER (ORDER BY part) AS upto
+         FROM (SELECT event_id % 16 AS part FROM events) GROUP BY part) WHERE upto > 1000)""",
 )
 def _(spark, sf_dir):
-    """What a collector keeps that stops after more than 1000 rows."""
+    """What a collector keeps that stops after more than 1000 rows.
+
+    The rows land in 16 files in order, one per batch: it keeps those of the first batches up to the
+    one that passes the budget, and had at most the budget before that one.
+    """
     base = scratch_dir(spark, "budget")
-    table(spark, sf_dir, "events").select("event_id", "user_id").repartition(16).write.parquet(
-        f"{base}/in"
-    )
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id")
+    for part in range(16):
+        own = rows.filter(F.col("event_id") % 16 == part)
+        own.coalesce(1).write.mode("append").parquet(f"{base}/in")
     stream = (
         spark.readStream.schema("event_id bigint, user_id bigint")
         .option("maxFilesPerTrigger", 1)
@@ -72,9 +80,11 @@ def _(spark, sf_dir):
     run_until(stream, f"{base}/out", "batch", f"{base}/checkpoint", budget=1000, fmt="parquet")
     kept = spark.read.parquet(f"{base}/out/batch_*")
     n = F.count(F.lit(1))
-    return kept.agg(
-        (n > 1000).alias("over_budget"), (n == F.count_distinct("event_id")).alias("each_once")
-    )
+    last = kept.groupBy((F.col("event_id") % 16).alias("part")).agg(n.alias("n"))
+    before = last.agg((F.sum("n") - F.max_by("n", "part")).alias("before"))
+    return kept.agg(n.alias("kept"), F.count_distinct("event_id").alias("distinct_kept")).join(
+        F.broadcast(before)
+    ).select("kept", "distinct_kept", (F.col("before") <= 1000).alias("stopped_in_time"))
 
 
 # --- windows ---------------------------------------------------------------------------------

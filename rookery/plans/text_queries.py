@@ -147,6 +147,22 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "stream_lexicon_sentiment",
+    f"""WITH {_scores_sql(inputs.LONG_WEIGHTS_SQL)}
+        SELECT post_id, score, sentiment FROM scored""",
+)
+def _(spark, sf_dir):
+    """Scores of a stream of posts against the long lists."""
+    base = scratch_dir(spark, "sentiment")
+    scored = sentiment.lexicon_sentiment(
+        inputs.post_text_stream(spark, sf_dir), inputs.long_weights(spark, sf_dir)
+    )
+    out = scored.drop("text").writeStream.format("parquet").option("checkpointLocation", f"{base}/c")
+    out.trigger(availableNow=True).start(f"{base}/out").awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("post_id", "score", "sentiment")
+
+
 @query(
     "lexicon_sentiment_long_lists",
     f"""WITH {_scores_sql(inputs.LONG_WEIGHTS_SQL)}

@@ -218,3 +218,30 @@ def test_features_count_pairs(spark):
     vectors = [r.features for r in clusters.featurize(df).collect()]
     assert [sum(v.values) for v in vectors] == [3.0, 1.0, 0.0]
     assert sorted(vectors[0].values) == [1.0, 2.0]
+
+
+@pytest.mark.parametrize("dims", [2, 70, 300])
+def test_unreadable_features_are_no_points(spark, dims):
+    whole = [[float(i)] * dims for i in (10, 12)]
+    bad = [None, [], [1.0], [1.0] * (dims + 1), [None] * dims, [float("nan")] * dims]
+    schema = "label double, features array<double>"
+    points = lambda rows: spark.createDataFrame([(1.0, r) for r in rows], schema)
+    start = clusters.Centres.of([[10.0] * dims], [1.0])
+    clean = clusters.kmeans_update(start, points(whole))
+    assert clusters.kmeans_update(start, points(whole + bad)) == clean
+    assert clusters.kmeans_update(start, points(bad)) == start
+    assert clusters.unreadable_points(points(whole + bad), dims).count() == len(bad)
+    placed = clusters.kmeans_predict(start, points(bad + whole)).collect()
+    assert [r.cluster for r in placed] == [None] * len(bad) + [0, 0]
+
+
+def test_unreadable_points_leave_the_line_alone(spark):
+    schema = "label double, features array<double>"
+    good = [(1.0, [2.0]), (3.0, [1.0])]
+    bad = [(None, [1.0]), (1.0, None), (1.0, []), (1.0, [None]), (float("nan"), [1.0]), (1.0, [1.0, 2.0])]
+    start = regression.LinearState.zeros()
+    clean = regression.linreg_update(start, spark.createDataFrame(good, schema))
+    assert regression.linreg_update(start, spark.createDataFrame(good + bad, schema)) == clean
+    assert regression.linreg_update(start, spark.createDataFrame(bad, schema)) == start
+    predicted = regression.linreg_predict(clean, spark.createDataFrame(bad[1:4], schema))
+    assert all(r.prediction is None for r in predicted.collect())

@@ -35,8 +35,8 @@ EXPECTED = {1: (1, "1"), 2: (1, "1"), 3: (-1, "0"), 4: (0, "2"), 5: (0, "2"), 6:
     "lowered, plan",
     [
         ({}, "LocalTableScan|Project"),
-        ({"INLINE_WORDS": 0}, "BroadcastHashJoin \\[word"),
-        ({"INLINE_BYTES": 3}, "BroadcastHashJoin \\[word"),
+        ({"INLINE_WORDS": 0}, "BroadcastNestedLoopJoin BuildRight, Inner"),
+        ({"INLINE_BYTES": 3}, "BroadcastNestedLoopJoin BuildRight, Inner"),
         ({"INLINE_WORDS": 0, "BROADCAST_ROWS": 0}, "_salt"),
         ({"INLINE_WORDS": 0, "BROADCAST_BYTES": 3}, "_salt"),
     ],
@@ -48,6 +48,11 @@ def test_scores_on_every_route(spark, monkeypatch, lowered, plan):
     scored = sentiment.lexicon_sentiment(posts(spark), weights(spark))
     assert {r.post_id: (r.score, r.sentiment) for r in scored.collect()} == EXPECTED
     assert re.search(plan, scored._jdf.queryExecution().toString())
+    # Posts delivered twice, posts without an id or a text, and words listed twice.
+    odd = [(1, "good good"), (1, "bad"), (None, "good"), (None, None), (1, "bad")]
+    twice = spark.createDataFrame([("good", 1), ("bad", -1), ("bad", -1)], "word string, weight long")
+    got = sentiment.lexicon_sentiment(spark.createDataFrame(odd, "post_id long, text string"), twice)
+    assert sorted(r.score for r in got.collect()) == [-2, -2, 0, 1, 2]
 
 
 def test_short_lists_need_no_shuffle(spark):
@@ -55,11 +60,17 @@ def test_short_lists_need_no_shuffle(spark):
     assert "Exchange" not in plan and "Join" not in plan
 
 
-def test_long_lists_are_refused_on_streams(spark, sf_dir, monkeypatch):
+@pytest.mark.parametrize("rows", [200_000, 1], ids=["one table", "in parts"])
+def test_long_lists_on_streams(spark, tmp_path, monkeypatch, rows):
     monkeypatch.setattr(sentiment, "INLINE_WORDS", 0)
-    stream = spark.readStream.schema("doc_id long, text string").parquet(sf_dir)
-    with pytest.raises(ValueError):
-        sentiment.lexicon_sentiment(stream, weights(spark), "doc_id")
+    monkeypatch.setattr(bounds, "BROADCAST_ROWS", rows)
+    posts(spark).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("post_id long, text string").parquet(f"{tmp_path}/in")
+    scored = sentiment.lexicon_sentiment(stream, weights(spark))
+    out = scored.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c")
+    out.trigger(availableNow=True).start(f"{tmp_path}/out").awaitTermination()
+    rows = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert {r.post_id: (r.score, r.sentiment) for r in rows} == EXPECTED
 
 
 def test_counts_and_labels(spark):
