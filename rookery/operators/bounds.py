@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -46,7 +46,9 @@ def spread(df: DataFrame) -> DataFrame:
     if df.isStreaming or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    # The rows stay in Spark's own form: ``df.rdd`` would plan their way to Python as well.
+    tasks = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df if tasks >= cores else df.repartition(cores)
 
 
 def _salts(df: DataFrame) -> int:
@@ -55,6 +57,16 @@ def _salts(df: DataFrame) -> int:
     return max(16, min(256, partitions))
 
 
+def hot_words(tokens: DataFrame, key: str, salts: int) -> list[str]:
+    """Words that make up more than one in ``4 * salts`` of the tokens; so there are fewer than that."""
+    seen = Observation()
+    counts = tokens.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.observe(seen, F.coalesce(F.sum("_n"), F.lit(0)).alias("total"))
+    most = counts.orderBy(F.desc("_n")).limit(4 * salts).collect()
+    total = seen.get["total"]
+    return [row[key] for row in most if row[key] is not None and row["_n"] * 4 * salts > total]
+
+
 def word_join(
     tokens: DataFrame,
     words: DataFrame,
@@ -65,17 +77,25 @@ def word_join(
 ) -> DataFrame:
     """Join tokens to a word table on ``key`` although a few words make up most tokens.
 
-    A small word table is broadcast. A large one is repeated once per salt, so the rows of a
-    frequent word spread over several tasks by the hash of ``spread_by``. A known ``size`` saves
-    counting the words again.
+    A small word table is broadcast. For a large one the tokens are counted first. The rows of a hot
+    word are spread over several tasks by the hash of ``spread_by``, and its row of the table is
+    repeated once per salt; all other words are joined as they are. On a stream, which cannot be
+    counted, every word counts as hot. A known ``size`` saves counting the word table again.
     """
     size = size or word_list_size(words, key)
     if size.within(BROADCAST_ROWS, BROADCAST_BYTES):
         return tokens.join(F.broadcast(words), key, how)
     n = _salts(tokens)
-    salted_tokens = tokens.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(n)))
-    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
-    salted_words = words.withColumn("_salt", salts)
+    # Tokens that are null meet no word, but may be many.
+    hot = F.lit(True)
+    if not tokens.isStreaming:
+        hot = F.coalesce(F.col(key).isin(hot_words(tokens, key, n)), F.lit(True))
+    none = F.lit(0).cast("bigint")
+    salted_tokens = tokens.withColumn(
+        "_salt", F.when(hot, F.pmod(F.xxhash64(spread_by), F.lit(n))).otherwise(none)
+    )
+    last = F.when(hot, F.lit(n - 1)).otherwise(F.lit(0)).cast("bigint")
+    salted_words = words.withColumn("_salt", F.explode(F.sequence(none, last)))
     return salted_tokens.join(salted_words, [key, "_salt"], how).drop("_salt")
 
 

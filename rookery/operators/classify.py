@@ -101,8 +101,21 @@ def sentiment_stages(
 
 
 def fit_sentiment(train: DataFrame, **options) -> PipelineModel:
-    """Fit on columns ``text`` and ``label``."""
-    return Pipeline(stages=sentiment_stages(**options)).fit(train)
+    """Fit on columns ``text`` and ``label``.
+
+    Words are made and hashed once: the document frequencies and the classifier read the kept counts,
+    however often they pass over them. The model holds all five stages.
+    """
+    tokenizer, remover, hashing, idf, classifier = sentiment_stages(**options)
+    counts = train
+    for stage in (tokenizer, remover, hashing):
+        counts = stage.transform(counts)
+    counts = counts.select("label", "rawFeatures").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = Pipeline(stages=[idf, classifier]).fit(counts)
+    finally:
+        counts.unpersist()
+    return PipelineModel([tokenizer, remover, hashing, *fitted.stages])
 
 
 def fit_logistic(train: DataFrame, iterations: int = 100, **options) -> PipelineModel:

@@ -14,7 +14,9 @@ from rookery.operators.rollups import split_summary
 from rookery.operators.sentiment import labelled_text
 from rookery.operators.sinks import write_lines
 from rookery.plans import inputs
+from rookery.plans.classify_sql import METRICS, hashed_terms, naive_bayes
 from rookery.plans.registry import query
+from rookery.plans.text_queries import LABELLED_TEXT_SQL
 from rookery.session import scratch_dir
 from rookery.sources.lines import parse_labeled_points, parse_vectors, read_line_stream
 from rookery.sources.tables import table
@@ -62,15 +64,22 @@ def _(spark, sf_dir):
     return words.select("doc_id", F.size("words").alias("n"), joined.alias("words"))
 
 
+def _default_stop_words() -> list[str] | None:
+    """The English list that Spark holds; None without a session to ask."""
+    if SparkSession.getActiveSession() is None:
+        return None
+    return StopWordsRemover.loadDefaultStopWords("english")
+
+
 def _kept_sql(select: str, tables: str) -> Callable[[], str | None]:
     """SQL with the default stop words, which Spark itself holds."""
 
     def make() -> str | None:
-        if SparkSession.getActiveSession() is None:
+        listed = _default_stop_words()
+        if listed is None:
             return None
-        listed = StopWordsRemover.loadDefaultStopWords("english")
         words = ", ".join("'" + w.lower().replace("'", "''") + "'" for w in listed)
-        kept = f"len(list_filter({_ML_TOKENS}, lambda w: w NOT IN ({words})))"
+        kept = f"list_filter({_ML_TOKENS}, lambda w: w NOT IN ({words}))"
         return f"SELECT doc_id, {select.format(kept=kept)} FROM {tables}"
 
     return make
@@ -79,14 +88,20 @@ def _kept_sql(select: str, tables: str) -> Callable[[], str | None]:
 @query(
     "ml_stopwords",
     _kept_sql(
-        f"CAST(len({_ML_TOKENS}) AS INTEGER) AS words, CAST({{kept}} AS INTEGER) AS kept",
+        f"""CAST(len({_ML_TOKENS}) AS INTEGER) AS words, CAST(len({{kept}}) AS INTEGER) AS kept,
+            array_to_string({{kept}}, ' ') AS kept_words""",
         "documents",
     ),
 )
 def _(spark, sf_dir):
     documents = inputs.documents(spark, sf_dir).select("doc_id", "text")
     words = classify.ml_words(documents)
-    return words.select("doc_id", F.size("words").alias("words"), F.size("filtered").alias("kept"))
+    return words.select(
+        "doc_id",
+        F.size("words").alias("words"),
+        F.size("filtered").alias("kept"),
+        F.array_join("filtered", " ").alias("kept_words"),
+    )
 
 
 _STOP_SQL = ", ".join(f"'{w}'" for w in inputs.STOP_WORDS)
@@ -94,14 +109,64 @@ _STOP_SQL = ", ".join(f"'{w}'" for w in inputs.STOP_WORDS)
 
 @query(
     "ml_stopwords_custom",
-    f"""SELECT doc_id, CAST(len(list_filter({_ML_TOKENS}, lambda w: w NOT IN ({_STOP_SQL}))) AS INTEGER)
-               AS kept
-        FROM documents""",
+    f"""SELECT doc_id, CAST(len(kept) AS INTEGER) AS kept, array_to_string(kept, ' ') AS kept_words FROM (
+          SELECT doc_id, list_filter({_ML_TOKENS}, lambda w: w NOT IN ({_STOP_SQL})) AS kept FROM documents)""",
 )
 def _(spark, sf_dir):
     documents = inputs.documents(spark, sf_dir).select("doc_id", "text")
     words = classify.ml_words(documents, stop_words=inputs.STOP_WORDS)
-    return words.select("doc_id", F.size("filtered").alias("kept"))
+    return words.select(
+        "doc_id", F.size("filtered").alias("kept"), F.array_join("filtered", " ").alias("kept_words")
+    )
+
+
+# --- the classifier and its SQL --------------------------------------------------------------
+
+_DOCS_SQL = f"""
+docs AS (
+  SELECT doc_id AS id, quality::DOUBLE AS label, text, {_TRAIN_SQL} AS train,
+         CAST(('0x' || substr(md5(doc_id || '-12346'), 1, 8)) AS BIGINT) % 2 AS fold
+  FROM documents JOIN labels USING (doc_id))"""
+_BASE = classify.NUM_FEATURES
+
+
+def _hashed_sql(select: str, docs: str = _DOCS_SQL, chain: str = "") -> Callable[[], str | None]:
+    """SQL over the hashed terms of ``docs``; the stop words come from Spark."""
+
+    def make() -> str | None:
+        listed = _default_stop_words()
+        return listed and f"WITH {docs}, {hashed_terms(listed)}{chain} {select}"
+
+    return make
+
+
+_BUCKETS = f""",
+tf AS (SELECT id, ((h % {_BASE}) + {_BASE}) % {_BASE} AS bucket, count(*) AS n
+       FROM words JOIN hashes USING (term) GROUP BY ALL),
+idf AS (SELECT bucket, ln(((SELECT count(*) FROM docs) + 1.0) / (count(*) + 1.0)) AS idf FROM tf GROUP BY bucket)"""
+_ONE_FIT = f""",
+uses AS (SELECT 0 AS fit, id, train FROM docs), {naive_bayes(f"SELECT 0 AS fit, {_BASE} AS features, 0 AS min_df")},
+{METRICS}"""
+_SETTINGS = ", ".join(
+    f"({i}, {f}, {d})"
+    for i, (f, d) in enumerate((f, d) for f in classify.GRID_FEATURES for d in classify.GRID_DOC_FREQ)
+)
+# Fit 3i + 2 is setting i on all training rows, 3i and 3i + 1 leave one fold of them out; -1 is untuned.
+_GRID_FITS = f""",
+settings AS (SELECT * FROM (VALUES {_SETTINGS}) t(setting, features, min_df)),
+uses AS (
+  SELECT 3 * setting + r AS fit, id, CASE WHEN r = 2 THEN train ELSE fold <> r END AS train
+  FROM docs, settings, range(3) p(r) WHERE train OR r = 2
+  UNION ALL SELECT -1, id, train FROM docs),
+{naive_bayes(f"""SELECT 3 * setting + r AS fit, features, min_df FROM settings, range(3) p(r)
+                 UNION ALL SELECT -1, {_BASE}, 0""")},
+{METRICS},
+searched AS (
+  SELECT setting, features, min_df, sum(f1) / 2 AS f1 FROM settings JOIN rated ON fit // 3 = setting AND fit % 3 < 2
+  WHERE fit >= 0 GROUP BY ALL),
+best_one AS (SELECT setting FROM searched ORDER BY round(f1, 9) DESC, setting LIMIT 1),
+gain AS (SELECT (t.f1 - b.f1) * 100 / b.f1 AS pct FROM rated t, rated b, best_one
+         WHERE t.fit = 3 * best_one.setting + 2 AND b.fit = -1)"""
 
 
 def _hashed(spark, sf_dir):
@@ -119,14 +184,24 @@ def _total(values: Column) -> Column:
 
 @query(
     "ml_hashing_tf",
-    _kept_sql("CAST({kept} AS DOUBLE) AS words", "documents JOIN labels USING (doc_id)"),
+    _hashed_sql("SELECT id AS doc_id, bucket::INTEGER AS bucket, n::DOUBLE AS n FROM tf", chain=_BUCKETS),
 )
 def _(spark, sf_dir):
-    """Per document: the hashed counts add up to its words."""
-    return _hashed(spark, sf_dir).select("doc_id", _total(_values("rawFeatures")).alias("words"))
+    """Per document and occupied bucket: its count."""
+    pairs = F.arrays_zip(
+        F.unwrap_udt("rawFeatures")["indices"].alias("bucket"), _values("rawFeatures").alias("n")
+    )
+    return _hashed(spark, sf_dir).select("doc_id", F.inline(pairs).alias("bucket", "n"))
 
 
-@query("ml_idf")
+@query(
+    "ml_idf",
+    _hashed_sql(
+        """SELECT id AS doc_id, count(bucket)::INTEGER AS buckets, round(coalesce(sum(n * idf), 0), 6) AS weight
+           FROM docs LEFT JOIN tf USING (id) LEFT JOIN idf USING (bucket) GROUP BY id""",
+        chain=_BUCKETS,
+    ),
+)
 def _(spark, sf_dir):
     """Per document: occupied buckets and their summed weight."""
     values = _values("features")
@@ -152,7 +227,12 @@ def _predictions(spark, sf_dir, fit=classify.fit_sentiment):
     return classify.score(fit(train), test, keep=["doc_id"])
 
 
-@query("nb_predictions")
+@query(
+    "nb_predictions",
+    _hashed_sql(
+        "SELECT id AS doc_id, label, prediction, round(probability, 6) AS probability FROM guesses", chain=_ONE_FIT
+    ),
+)
 def _(spark, sf_dir):
     return _predictions(spark, sf_dir).select(
         "doc_id",
@@ -162,23 +242,42 @@ def _(spark, sf_dir):
     )
 
 
-@query("nb_metrics")
+_RATES = ("accuracy", "weighted_precision", "weighted_recall", "f1")
+
+
+@query(
+    "nb_metrics",
+    _hashed_sql(f"SELECT n, {', '.join(f'round({c}, 6) AS {c}' for c in _RATES)} FROM rated", chain=_ONE_FIT),
+)
 def _(spark, sf_dir):
-    return classify.metrics(_predictions(spark, sf_dir))
+    rates = classify.metrics(_predictions(spark, sf_dir))
+    return rates.withColumns({c: F.round(c, 6) for c in _RATES})
 
 
-@query("confusion_matrix")
+@query(
+    "confusion_matrix",
+    _hashed_sql("SELECT label, prediction, n FROM cells", chain=_ONE_FIT),
+)
 def _(spark, sf_dir):
     return classify.confusion_matrix(_predictions(spark, sf_dir))
 
 
-@query("nb_tuning")
+@query(
+    "nb_tuning",
+    _hashed_sql(
+        """SELECT features::INTEGER AS features, min_df::INTEGER AS min_doc_freq, round(f1, 6) AS f1,
+                  setting = (SELECT setting FROM best_one) AS best,
+                  (SELECT round(pct, 6) + 0.0 FROM gain) AS improvement_pct
+           FROM searched""",
+        chain=_GRID_FITS,
+    ),
+)
 def _(spark, sf_dir):
     """One row per setting of the grid, with the best one's gain over the untuned model."""
     train, test = classify.split_train_test(inputs.labelled_documents(spark, sf_dir), "doc_id")
     tuned = classify.tune(train, test, "doc_id")
     rows = [
-        (f, d, m, (f, d) == (tuned.num_features, tuned.min_doc_freq), tuned.improvement_pct)
+        (f, d, round(m, 6), (f, d) == (tuned.num_features, tuned.min_doc_freq), round(tuned.improvement_pct, 6) + 0.0)
         for f, d, m in tuned.grid
     ]
     return spark.createDataFrame(
@@ -186,12 +285,28 @@ def _(spark, sf_dir):
     )
 
 
-@query("nb_stream")
+_POST_DOCS_SQL = f"""{LABELLED_TEXT_SQL},
+docs AS (
+  SELECT post_id AS id, label, text, {_TRAIN_SQL.replace("doc_id", "post_id")} AS train, 0 AS fold FROM labelled)"""
+
+
+@query(
+    "nb_stream",
+    _hashed_sql(
+        """SELECT 0::BIGINT AS batch_id, 'trained' AS status,
+                  (SELECT count(*) FROM docs WHERE train) AS train, (SELECT count(*) FROM docs WHERE NOT train) AS test,
+                  round(accuracy, 6) AS accuracy, round(f1, 6) AS f1, NULL::DOUBLE AS tuned_f1
+           FROM rated""",
+        docs=_POST_DOCS_SQL,
+        chain=_ONE_FIT,
+    ),
+)
 def _(spark, sf_dir):
     base = scratch_dir(spark, "nb")
     labelled = labelled_text(inputs.post_text_stream(spark, sf_dir), inputs.short_weights(spark))
     drain(train_per_batch(labelled, f"{base}/out", f"{base}/checkpoint", "post_id"))
-    return spark.read.schema(RESULT_SCHEMA).parquet(f"{base}/out/batch_*")
+    rows = spark.read.schema(RESULT_SCHEMA).parquet(f"{base}/out/batch_*")
+    return rows.withColumns({c: F.round(c, 6) for c in ("accuracy", "f1")})
 
 
 @query("lr_predictions")
@@ -201,8 +316,15 @@ def _(spark, sf_dir):
 
 @query("lr_metrics")
 def _(spark, sf_dir):
-    predictions = _predictions(spark, sf_dir, classify.fit_logistic)
-    cells = classify.confusion_matrix(predictions)
+    """The cells of the confusion matrix, each beside the area under the ROC curve."""
+    train, test = classify.split_train_test(inputs.labelled_documents(spark, sf_dir), "doc_id")
+    # Scored once, for the cells and for the curve.
+    path = scratch_dir(spark, "lr")
+    scored = classify.fit_logistic(train).transform(test).select("label", "prediction", "rawPrediction")
+    scored.write.parquet(path)
+    predictions = spark.read.parquet(path)
+    area = classify.area_under_roc(predictions)
+    cells = classify.confusion_matrix(predictions).withColumn("area_under_roc", F.lit(round(area, 9)))
     return cells.orderBy("label", "prediction")
 
 

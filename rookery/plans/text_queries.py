@@ -173,10 +173,14 @@ def _(spark, sf_dir):
     return sentiment.lexicon_sentiment(texts, inputs.long_weights(spark, sf_dir)).drop("text")
 
 
+LABELLED_TEXT_SQL = f"""{_SHORT_SQL},
+labelled AS (
+  SELECT post_id, {_ONLY_WORDS_SQL} AS text, CAST(sentiment AS DOUBLE) AS label FROM scored)"""
+
+
 @query(
     "labelled_text",
-    f"""WITH {_SHORT_SQL}
-        SELECT post_id, {_ONLY_WORDS_SQL} AS text, CAST(sentiment AS DOUBLE) AS label FROM scored""",
+    f"WITH {LABELLED_TEXT_SQL} SELECT post_id, text, label FROM labelled",
 )
 def _(spark, sf_dir):
     return sentiment.labelled_text(inputs.post_texts(spark, sf_dir), inputs.short_weights(spark))

@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 _LOCAL_SCRATCH: str | None = None
+# Paths that scratch_dir has named and drop_scratch has not yet deleted.
+_MADE: list[str] = []
 
 
 def build_session(app: str = "rookery", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,20 +43,42 @@ def build_session(app: str = "rookery", master: str | None = None, **conf: str)
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` when the cluster names one.
 
-    Only a local master may fall back to a temporary folder, since there the driver and the
-    executors are one machine.
+    Only a local master may use a temporary folder of one machine, since there the driver and the
+    executors share it. Other local paths are taken on trust: they may be mounted everywhere.
     """
     global _LOCAL_SCRATCH
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.sparkContext.master.startswith("local")
     if shared:
+        path = os.path.realpath(shared.removeprefix("file:")) if _on_this_machine(shared) else ""
+        own = os.path.realpath(tempfile.gettempdir())
+        if not local and os.path.commonprefix([path + "/", own + "/"]) == own + "/":
+            raise ValueError(f"spark.checkpoint.dir is {shared}, which is local to one machine")
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     if _LOCAL_SCRATCH is None:
         _LOCAL_SCRATCH = tempfile.mkdtemp(prefix="rookery-")
     return _LOCAL_SCRATCH
 
 
+def _on_this_machine(path: str) -> bool:
+    """Whether a path says so itself; one without a scheme is left to the cluster's file system."""
+    return path.startswith("file:")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the scratch root; the folder itself is made by the first write."""
-    return os.path.join(scratch_root(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(scratch_root(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+    _MADE.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete what ``scratch_dir`` has named so far, when all results are read; returns how many were there."""
+    dropped = 0
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        dropped += bool(files.delete(path, True))
+    return dropped
