@@ -39,33 +39,35 @@ def post_text(posts: DataFrame) -> DataFrame:
     return posts.select("text")
 
 
-def flatten_posts(posts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """The flat fields of each nested post, after the columns named in ``keep``."""
+def flatten_posts(
+    posts: DataFrame, keep: Sequence[str] = (), only: Sequence[str] = FLAT_FIELDS
+) -> DataFrame:
+    """The flat fields of each nested post named in ``only``, after the columns named in ``keep``."""
     text = F.col("text")
     fields = {
-        "UserID": F.col("user.id"),
-        "UserDescription": F.col("user.description"),
-        "UserScreenName": F.col("user.screen_name"),
-        "UserFriendsCount": F.col("user.friends_count"),
-        "UserFavouritesCount": F.col("user.favourites_count"),
-        "UserFollowersCount": F.col("user.followers_count"),
-        "UserFollowersRatio": followers_ratio(
+        "UserID": lambda: F.col("user.id"),
+        "UserDescription": lambda: F.col("user.description"),
+        "UserScreenName": lambda: F.col("user.screen_name"),
+        "UserFriendsCount": lambda: F.col("user.friends_count"),
+        "UserFavouritesCount": lambda: F.col("user.favourites_count"),
+        "UserFollowersCount": lambda: F.col("user.followers_count"),
+        "UserFollowersRatio": lambda: followers_ratio(
             F.col("user.followers_count"), F.col("user.friends_count")
         ),
-        "GeoLatitude": F.col("geo.lat"),
-        "GeoLongitude": F.col("geo.lon"),
-        "UserLang": F.col("user.lang"),
-        "UserLocation": F.col("user.location"),
-        "UserVerification": F.col("user.verified"),
-        "UserName": F.col("user.name"),
-        "UserStatusCount": F.col("user.statuses_count"),
-        "UserCreated": format_ts(F.col("user.created_at")),
-        "Text": text,
-        "TextLength": utf16_length(text),
-        "HashTags": hashtag_string(text),
-        "StatusCreatedAt": format_ts(F.col("ts")),
+        "GeoLatitude": lambda: F.col("geo.lat"),
+        "GeoLongitude": lambda: F.col("geo.lon"),
+        "UserLang": lambda: F.col("user.lang"),
+        "UserLocation": lambda: F.col("user.location"),
+        "UserVerification": lambda: F.col("user.verified"),
+        "UserName": lambda: F.col("user.name"),
+        "UserStatusCount": lambda: F.col("user.statuses_count"),
+        "UserCreated": lambda: format_ts(F.col("user.created_at")),
+        "Text": lambda: text,
+        "TextLength": lambda: utf16_length(text),
+        "HashTags": lambda: hashtag_string(text),
+        "StatusCreatedAt": lambda: format_ts(F.col("ts")),
     }
-    return posts.select(*keep, *[fields[name].alias(name) for name in FLAT_FIELDS])
+    return posts.select(*keep, *[fields[name]().alias(name) for name in only])
 
 
 def lang_filter(posts: DataFrame, lang: str = "en") -> DataFrame:

@@ -36,6 +36,9 @@ RULES = [
     "no_follow_phrase",
 ]
 
+# The flat fields that the rules read.
+INPUTS = ["UserCreated", "UserStatusCount", "UserFollowersRatio", "UserDescription", "Text", "TextLength"]
+
 
 def _rules(as_of: Column) -> dict[str, Column]:
     age_millis = F.unix_millis(as_of) - F.unix_millis(parse_ts(F.col("UserCreated")))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rookery.operators.bounds import spread
-from rookery.operators.posts import flatten_posts
+from rookery.operators.posts import FLAT_FIELDS, flatten_posts
 from rookery.operators.regression import standardise
 from rookery.operators.sinks import write_parquet
 from rookery.session import scratch_dir
@@ -31,7 +31,7 @@ def as_of() -> Column:
 # --- posts -----------------------------------------------------------------------------------
 
 
-def post_texts_from(documents: DataFrame, *keep: str) -> DataFrame:
+def post_texts_from(documents: DataFrame, *keep: str | Column) -> DataFrame:
     """``(post_id, ts, lang, text)``: a document with a hashtag or phrase head on three of four.
 
     A plain projection, so it also works on a replayed table.
@@ -70,14 +70,18 @@ def post_text_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return post_texts_from(replay_table(spark, sf_dir, "documents"))
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def posts(spark: SparkSession, sf_dir: str, located: bool = True) -> DataFrame:
     """Nested posts, three per user.
 
-    A projection, but for the 25 nations that name the locations.
+    A projection, but for the 25 nations that name the locations; they are null unless ``located``.
     """
-    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     docs = documents(spark, sf_dir)
-    texts = post_texts_from(docs, "source").withColumn("u", F.expr("post_id div 3"))
+    texts = post_texts_from(docs, "source", F.expr("doc_id div 3").alias("u"))
+    place = F.lit(None).cast("string")
+    if located:
+        nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+        texts = texts.join(nations, (F.col("u") % 25) == F.col("n_nationkey"), "left")
+        place = F.when(F.col("u") % 11 != 0, F.col("n_name"))
     u = F.col("u")
     geo = F.struct(
         (F.col("post_id") % 180 - 90).cast("double").alias("lat"),
@@ -92,7 +96,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(u % 5 != 0, F.concat(F.col("source"), F.lit(" writer of long standing")))
         .alias("description"),
         F.col("lang").alias("lang"),
-        F.when(u % 11 != 0, F.col("n_name")).alias("location"),
+        place.alias("location"),
         (u % 3 == 0).alias("verified"),
         ((u % 8) * 50).cast("int").alias("friends_count"),
         ((u * 7) % 13).cast("int").alias("followers_count"),
@@ -100,7 +104,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((u * 17) % 120).cast("int").alias("statuses_count"),
         F.timestamp_seconds(noon - (u % 6) * 43200).alias("created_at"),
     )
-    return texts.join(nations, (u % 25) == F.col("n_nationkey"), "left").select(
+    return texts.select(
         "post_id",
         "ts",
         "lang",
@@ -110,8 +114,11 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def posts_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_posts(posts(spark, sf_dir), keep=["post_id"])
+def posts_flat(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
+    """The flat fields asked for, or all; nations are read for the location alone."""
+    fields = fields or tuple(FLAT_FIELDS)
+    nested = posts(spark, sf_dir, located="UserLocation" in fields)
+    return flatten_posts(nested, keep=["post_id"], only=fields)
 
 
 POST_TEXTS_SQL = """

@@ -74,7 +74,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return (
-        inputs.posts(spark, sf_dir)
+        inputs.posts(spark, sf_dir, located=False)
         .select("post_id", "user.lang", "user.name", "text")
         .orderBy("post_id")
         .limit(1000)
@@ -172,7 +172,7 @@ _JSON_FIELDS = [f for f in FLAT_FIELDS if f != "UserFollowersRatio"]
 )
 def _(spark, sf_dir):
     path = scratch_dir(spark, "users")
-    write_parquet(inputs.posts_flat(spark, sf_dir), path, ["post_id", "UserName", "UserLang"])
+    write_parquet(inputs.posts_flat(spark, sf_dir, "UserName", "UserLang"), path, ["post_id", "UserName", "UserLang"])
     return spark.read.parquet(path)
 
 
@@ -199,7 +199,7 @@ def _(spark, sf_dir):
         GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1000""",
 )
 def _(spark, sf_dir):
-    return rollups.lang_counts(inputs.posts_flat(spark, sf_dir), 1000)
+    return rollups.lang_counts(inputs.posts_flat(spark, sf_dir, "UserLang"), 1000)
 
 
 @query(
@@ -208,7 +208,7 @@ def _(spark, sf_dir):
         GROUP BY 1 ORDER BY 2 DESC, 1 NULLS LAST LIMIT 10""",
 )
 def _(spark, sf_dir):
-    return rollups.location_counts(inputs.posts_flat(spark, sf_dir), 10)
+    return rollups.location_counts(inputs.posts_flat(spark, sf_dir, "UserLocation"), 10)
 
 
 @query(
@@ -217,7 +217,7 @@ def _(spark, sf_dir):
         GROUP BY ALL ORDER BY 2 DESC, 1 NULLS LAST, 3 NULLS LAST LIMIT 10""",
 )
 def _(spark, sf_dir):
-    return rollups.top_friends(inputs.posts_flat(spark, sf_dir), 10)
+    return rollups.top_friends(inputs.posts_flat(spark, sf_dir, "UserName", "UserFriendsCount", "UserLang"), 10)
 
 
 @query(
@@ -225,7 +225,7 @@ def _(spark, sf_dir):
     f'WITH {_FLAT} SELECT DISTINCT "UserName", "UserVerification" FROM posts_flat',
 )
 def _(spark, sf_dir):
-    return rollups.verified_users(inputs.posts_flat(spark, sf_dir))
+    return rollups.verified_users(inputs.posts_flat(spark, sf_dir, "UserName", "UserVerification"))
 
 
 @query(
@@ -234,7 +234,7 @@ def _(spark, sf_dir):
         WHERE "UserLang" = 'en' ORDER BY post_id LIMIT 10""",
 )
 def _(spark, sf_dir):
-    return rollups.posts_in_language(inputs.posts_flat(spark, sf_dir), "en", 10)
+    return rollups.posts_in_language(inputs.posts_flat(spark, sf_dir, "UserLang", "UserName", "Text"), "en", 10)
 
 
 @query(
@@ -243,7 +243,7 @@ def _(spark, sf_dir):
         WHERE "UserLang" = 'en' ORDER BY post_id LIMIT 10""",
 )
 def _(spark, sf_dir):
-    return rollups.texts_in_language(inputs.posts_flat(spark, sf_dir), "en", 10)
+    return rollups.texts_in_language(inputs.posts_flat(spark, sf_dir, "UserLang", "Text"), "en", 10)
 
 
 # --- spam ------------------------------------------------------------------------------------
@@ -269,7 +269,7 @@ verdicts AS (SELECT *, NOT ({_ALL_HOLD}) AS "Spam" FROM ruled)"""
 def _register_rule(rule: str, key: str) -> None:
     @query(key, f"WITH {VERDICT_SQL} SELECT post_id, {rule} FROM verdicts")
     def _(spark, sf_dir):
-        ruled = spam.spam_rules(inputs.posts_flat(spark, sf_dir), inputs.as_of())
+        ruled = spam.spam_rules(inputs.posts_flat(spark, sf_dir, *spam.INPUTS), inputs.as_of())
         return ruled.select("post_id", rule)
 
 
@@ -290,7 +290,7 @@ for _rule, _key in zip(
 
 @query("spam_verdict", f'WITH {VERDICT_SQL} SELECT post_id, {", ".join(spam.RULES)}, "Spam" FROM verdicts')
 def _(spark, sf_dir):
-    verdicts = spam.spam_verdict(inputs.posts_flat(spark, sf_dir), inputs.as_of())
+    verdicts = spam.spam_verdict(inputs.posts_flat(spark, sf_dir, *spam.INPUTS), inputs.as_of())
     return verdicts.select("post_id", *spam.RULES, "Spam")
 
 
@@ -301,7 +301,7 @@ def _(spark, sf_dir):
         FROM verdicts GROUP BY "Spam" """,
 )
 def _(spark, sf_dir):
-    return spam.spam_counts(spam.spam_verdict(inputs.posts_flat(spark, sf_dir), inputs.as_of()))
+    return spam.spam_counts(spam.spam_verdict(inputs.posts_flat(spark, sf_dir, *spam.INPUTS), inputs.as_of()))
 
 
 @query(
