@@ -46,11 +46,17 @@ def _tail() -> str:
 
 
 def hashed_terms(stop_words: list[str]) -> str:
-    """``words(id, term)``, one row per kept word of ``docs``, and ``hashes(term, h)``, h signed."""
+    """``words(id, term)``, one row per kept word of ``docs``, and their ``hashes``."""
     listed = ", ".join("'" + w.lower().replace("'", "''") + "'" for w in stop_words)
     return f"""
 words AS (
   SELECT id, term FROM (SELECT id, unnest({TOKENS}) AS term FROM docs) WHERE term NOT IN ({listed})),
+{hashes()}"""
+
+
+def hashes() -> str:
+    """``hashes(term, h)`` of the terms of ``words``, h signed."""
+    return f"""
 spelt AS (SELECT term, hex(term) AS hx, strlen(term) AS n FROM (SELECT DISTINCT term FROM words)),
 blocks AS (
   SELECT term, n, list_transform(range(n // 4), lambda i: {_word32("4 * i")}) AS ks,

@@ -14,7 +14,7 @@ from rookery.operators.rollups import split_summary
 from rookery.operators.sentiment import labelled_text
 from rookery.operators.sinks import write_lines
 from rookery.plans import inputs
-from rookery.plans.classify_sql import METRICS, hashed_terms, naive_bayes
+from rookery.plans.classify_sql import METRICS, hashed_terms, hashes, naive_bayes
 from rookery.plans.registry import query
 from rookery.plans.text_queries import LABELLED_TEXT_SQL
 from rookery.session import scratch_dir
@@ -127,7 +127,7 @@ docs AS (
   SELECT doc_id AS id, quality::DOUBLE AS label, text, {_TRAIN_SQL} AS train,
          CAST(('0x' || substr(md5(doc_id || '-12346'), 1, 8)) AS BIGINT) % 2 AS fold
   FROM documents JOIN labels USING (doc_id))"""
-_BASE = classify.NUM_FEATURES
+_BASE, _TEXT = classify.NUM_FEATURES, clusters.TEXT_FEATURES
 
 
 def _hashed_sql(select: str, docs: str = _DOCS_SQL, chain: str = "") -> Callable[[], str | None]:
@@ -188,10 +188,7 @@ def _total(values: Column) -> Column:
 )
 def _(spark, sf_dir):
     """Per document and occupied bucket: its count."""
-    pairs = F.arrays_zip(
-        F.unwrap_udt("rawFeatures")["indices"].alias("bucket"), _values("rawFeatures").alias("n")
-    )
-    return _hashed(spark, sf_dir).select("doc_id", F.inline(pairs).alias("bucket", "n"))
+    return _buckets(_hashed(spark, sf_dir), "rawFeatures")
 
 
 @query(
@@ -331,18 +328,27 @@ def _(spark, sf_dir):
 # --- post clusters ---------------------------------------------------------------------------
 
 
+def _buckets(df, vector: str):
+    """``(doc_id, bucket, n)``, one row per occupied bucket of a sparse vector."""
+    pairs = F.arrays_zip(F.unwrap_udt(vector)["indices"].alias("bucket"), _values(vector).alias("n"))
+    return df.select("doc_id", F.inline(pairs).alias("bucket", "n"))
+
+
 @query(
     "text_features",
-    """SELECT doc_id, CAST(CASE WHEN length(text) < 2 THEN length(text) ELSE length(text) - 1 END
-                           AS DOUBLE) AS pairs
-       FROM documents""",
+    f"""WITH lowered AS (SELECT doc_id AS id, lower(text) AS t FROM documents),
+        words AS (
+          SELECT id, substr(t, CAST(i AS BIGINT), 2) AS term FROM
+            (SELECT id, t, unnest(range(1, greatest(length(t), 2))) AS i FROM lowered WHERE t <> '')),
+        {hashes()}
+        SELECT id AS doc_id, CAST(((h % {_TEXT}) + {_TEXT}) % {_TEXT} AS INTEGER) AS bucket,
+               CAST(count(*) AS DOUBLE) AS n
+        FROM words JOIN hashes USING (term) GROUP BY ALL""",
 )
 def _(spark, sf_dir):
-    """Per document: the hashed counts add up to its pairs of characters."""
+    """Per document and occupied bucket: its count of pairs of characters."""
     documents = inputs.documents(spark, sf_dir).select("doc_id", "text")
-    return clusters.featurize(documents).select(
-        "doc_id", _total(_values("features")).alias("pairs")
-    )
+    return _buckets(clusters.featurize(documents), "features")
 
 
 def _post_clusters(spark, sf_dir):

@@ -191,7 +191,7 @@ _STOP_SQL = ", ".join(f"'{w}'" for w in inputs.STOP_WORDS)
 
 @query(
     "stop_words_anti",
-    f"""SELECT doc_id, count(*) AS kept
+    f"""SELECT doc_id, count(*) AS kept, array_to_string(list_sort(list(word)), ' ') AS kept_words
         FROM (SELECT doc_id, unnest(string_split(rtrim(text, ' '), ' ')) AS word FROM documents
               WHERE text = '' OR rtrim(text, ' ') <> '')
         WHERE lower(word) NOT IN ({_STOP_SQL}) GROUP BY doc_id""",
@@ -201,4 +201,5 @@ def _(spark, sf_dir):
         inputs.documents(spark, sf_dir).select("doc_id", "text"), out="word"
     )
     kept = sentiment.remove_stop_words(words, inputs.word_list(spark, inputs.STOP_WORDS), "doc_id")
-    return kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("kept"))
+    listed = F.array_join(F.sort_array(F.collect_list("word")), " ")
+    return kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("kept"), listed.alias("kept_words"))

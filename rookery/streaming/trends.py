@@ -107,6 +107,29 @@ def hashtag_windows_from_slides(
     return sliding_counts(slides, "tag", window_s, slide_s)
 
 
+def finished_windows(
+    spark: SparkSession,
+    path: str,
+    window_s: int = WINDOW_SECONDS,
+    slide_s: int = SLIDE_SECONDS,
+) -> DataFrame:
+    """The windows that no later slide can change: those up to the end of the newest finished slide."""
+    slides = spark.read.schema("tag string, bucket bigint, n bigint").parquet(path)
+    newest = slides.agg(F.max("bucket").alias("b")).first()["b"]
+    windows = hashtag_windows_from_slides(spark, path, window_s, slide_s)
+    closed = F.lit(newest).cast("bigint") + F.lit(slide_s)
+    return windows.filter(F.unix_timestamp("window_end") <= closed)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows of state updates that came behind the watermark and were dropped, over the batches reported."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+
+
 class _WindowCloser:
     """Turns the slides each batch finishes into the windows that they complete.
 

@@ -1,5 +1,7 @@
 """What the planner makes of the operators, and where scratch data goes."""
 
+import os
+import tempfile
 import types
 
 import pytest
@@ -110,5 +112,28 @@ def test_a_cluster_without_a_shared_folder_is_refused():
         session.scratch_dir(fake_session("yarn"), "x")
 
 
+def test_a_folder_of_one_machine_is_refused_on_a_cluster(tmp_path):
+    own = f"file:{tempfile.gettempdir()}/checkpoints"
+    with pytest.raises(ValueError, match="local to one machine"):
+        session.scratch_dir(fake_session("spark://host:7077", own), "x")
+    # A mounted folder and a path of the cluster's own file system are taken on trust.
+    for shared in ("file:///mnt/shared", "/user/me/checkpoints"):
+        assert session.scratch_dir(fake_session("spark://host:7077", shared), "x").startswith(shared)
+
+
+def test_scratch_data_can_be_dropped(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "_MADE", [])
+    monkeypatch.setattr(session, "scratch_root", lambda spark: str(tmp_path))
+    path, unused = session.scratch_dir(spark, "x"), session.scratch_dir(spark, "y")
+    spark.range(3).write.parquet(path)
+    assert session.drop_scratch(spark) == 1 and not os.path.exists(path) and not session._MADE
+    assert not os.path.exists(unused)
+
+
+def test_flat_fields_read_nations_for_the_location_alone(spark, sf_dir):
+    assert "Join" not in plan(rollups.lang_counts(inputs.posts_flat(spark, sf_dir, "UserLang")))
+    assert "Join" in plan(rollups.location_counts(inputs.posts_flat(spark, sf_dir, "UserLocation")))
+
+
 def test_a_local_master_may_use_a_temporary_folder():
     assert session.scratch_dir(fake_session("local[2]"), "x")

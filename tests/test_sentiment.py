@@ -105,3 +105,20 @@ def test_salted_join_spreads_one_hot_word(spark, monkeypatch):
     assert joined.count() == 1001
     plan = joined._jdf.queryExecution().toString()
     assert "_salt" in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+    # Only the hot word is repeated in the list and dealt out.
+    assert bounds.hot_words(rows, "word", 16) == ["hot"]
+    assert bounds.hot_words(rows.filter("word <> 'hot'"), "word", 16) == []
+    assert bounds.hot_words(rows.limit(0), "word", 16) == []
+    assert "IN (hot)" in plan or "= hot" in plan
+
+
+def test_large_lists_join_every_word_once(spark, monkeypatch):
+    words = spark.range(2000).select("id", F.concat(F.lit("w"), F.col("id") % 50).alias("word"))
+    words = words.unionByName(spark.range(900).select("id", F.lit(None).cast("string").alias("word")))
+    words = words.unionByName(spark.range(900).select("id", F.lit("hot").alias("word")))
+    listed = spark.range(0, 50, 2).select(F.concat(F.lit("w"), "id").alias("word"))
+    listed = listed.unionByName(spark.createDataFrame([("hot",), ("absent",)], "word string"))
+    want = {how: sorted(map(str, bounds.word_join(words, listed, "id", how).collect())) for how in ("inner", "left_anti")}
+    monkeypatch.setattr(bounds, "BROADCAST_ROWS", 0)
+    for how, rows in want.items():
+        assert sorted(map(str, bounds.word_join(words, listed, "id", how).collect())) == rows and rows
