@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
+from pyspark.storagelevel import StorageLevel
 
 # Word lists up to this size are sent to every executor.
 BROADCAST_ROWS = 200_000
@@ -59,11 +60,13 @@ def _salts(df: DataFrame) -> int:
 
 def hot_words(tokens: DataFrame, key: str, salts: int) -> list[str]:
     """Words that make up more than one in ``4 * salts`` of the tokens; so there are fewer than that."""
-    seen = Observation()
-    counts = tokens.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    counts = counts.observe(seen, F.coalesce(F.sum("_n"), F.lit(0)).alias("total"))
-    most = counts.orderBy(F.desc("_n")).limit(4 * salts).collect()
-    total = seen.get["total"]
+    # No observation here: a session that has made one can no longer ship some of Spark's own models.
+    counts = tokens.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total")).first()["total"]
+        most = counts.orderBy(F.desc("_n")).limit(4 * salts).collect()
+    finally:
+        counts.unpersist()
     return [row[key] for row in most if row[key] is not None and row["_n"] * 4 * salts > total]
 
 
