@@ -5,14 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rookery.llm import mixing, packing, quality_rules, simhash, unit_dedup
-from rookery.llm.queries import tokenizer_path
+from rookery.llm.queries import MIX_ENTROPY, MIX_REPEATS, tokenizer_path
 from rookery.llm.rows import materialise
 from rookery.llm.ship import ship
 from rookery.plans.registry import query
 
-# Shares of the highest possible entropy of the sources, and how often a source is read at most.
-ENTROPY, REPEATS = 0.9, 4.0
-
 ORACLE_SQL = None
 
 
@@ -37,7 +34,7 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies of documents in the mixture of sources: a document is there once per block it is in."""
-    return mixing.mixed_documents(docs, entropy=ENTROPY, repeats=REPEATS)
+    return mixing.mixed_documents(docs, entropy=MIX_ENTROPY, repeats=MIX_REPEATS)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """The corpus pipeline: its stages one by one, and the whole against them."""
 
 import collections
+import math
 
 import corpus_pipeline
 import pytest
@@ -37,6 +38,22 @@ def test_each_stage_works_on_what_its_predecessor_kept(stages):
     assert packed == collections.Counter(ids["mixing_sources"])
 
 
+def test_mixing_makes_sources_more_even(stages):
+    """The sources of these documents are less even than the target, so some are read again."""
+
+    def evenness(name):
+        total = collections.Counter()
+        for r in stages[name].collect():
+            total[r.source] += len((r.text or "").split())
+        whole = sum(total.values())
+        return -sum(n / whole * math.log(n / whole) for n in total.values() if n) / math.log(len(total))
+
+    copies = collections.Counter(r.doc_id for r in stages["mixing_sources"].select("doc_id").collect())
+    assert max(copies.values()) > 1
+    assert evenness("substring_dedup") < corpus_pipeline.MIX_ENTROPY
+    assert evenness("substring_dedup") < evenness("mixing_sources")
+
+
 def test_run_gives_the_last_stage(spark, sf_dir, stages):
     cells = ["doc_id", "piece", "start", "length", "ids_crc32"]
     rows = lambda df: sorted(map(tuple, df.select(cells).collect()))
