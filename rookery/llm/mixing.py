@@ -84,9 +84,14 @@ def budgets(totals: DataFrame, a: float, budget: int | None = None) -> DataFrame
     whole = int(row["all"] or 0)
     if not whole:
         return totals.select("source", "total", F.lit(1).cast("long").alias("full"), F.lit(0).cast("long").alias("rest"))
-    power = F.pow(F.col("total") / F.lit(float(whole)), F.lit(a))
-    z = totals.filter("total > 0").agg(F.sum(power)).first()[0]
-    tokens = F.floor(power / F.lit(z) * F.lit(float(whole if budget is None else budget))).cast("long")
+    budget = whole if budget is None else budget
+    if a == 1.0:
+        # In whole numbers, as doubles may come out one below a source's own total.
+        tokens = F.expr(f"cast(total as decimal(19, 0)) * cast({budget} as decimal(19, 0)) div {whole}")
+    else:
+        power = F.pow(F.col("total") / F.lit(float(whole)), F.lit(a))
+        z = totals.filter("total > 0").agg(F.sum(power)).first()[0]
+        tokens = F.floor(power / F.lit(z) * F.lit(float(budget))).cast("long")
     named = totals.withColumn("tokens", F.when(F.col("total") > 0, tokens))
     return named.select(
         "source", "total",

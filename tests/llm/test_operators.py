@@ -451,6 +451,22 @@ def test_mixing(docs, entropy, repeats):
     assert text(tuple(r) for r in got) == text(brute_mix(plain.collect(), entropy, repeats))
 
 
+def test_shares_as_they_are_take_every_document_once(spark):
+    """Two documents of each source: one token short, and the second would be left out."""
+    rng = random.Random(8)
+    rows = [(i, "a " * rng.randint(1, 3000), None, f"s{i % 300}", None) for i in range(600)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    total = collections.Counter()
+    for _, text, _, source, _ in rows:
+        total[source] += len(text) // 2
+    whole = sum(total.values())
+    assert any(math.floor(n / whole * whole) < n for n in total.values())
+    got = mixing.mix(df, entropy=0.5, repeats=None).collect()
+    assert sorted((r.id, r.block) for r in got) == [(i, 0) for i in range(600)]
+    part = mixing.budgets(mixing.source_totals(df.selectExpr("source", "length(text) div 2 as tokens")), 1.0, 3 * whole + 1)
+    assert all((r.full, r.rest) == divmod(r.total * (3 * whole + 1) // whole, r.total) for r in part.collect())
+
+
 def test_mixing_keeps_awkward_rows(docs, nothing):
     out = mixing.mixed_documents(docs, entropy=0.99)
     assert out.schema == docs.schema and out.count() > 0
