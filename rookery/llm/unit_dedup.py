@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from rookery.llm.rows import Packed, arrow_schema, materialise, text_bytes
 from rookery.llm.spans import cut, removed_bytes, removed_spans
 
-# A unit that is shorter takes in the ones after it until it has so many words.
+# A unit that is shorter takes in the ones after it until it has so many words, at the end of a text
+# the ones before it; a text that is shorter is one unit.
 MIN_WORDS = 8
 _CUTS = {
     "paragraph": re.compile(rb"\n[ \t\r]*\n\s*"),
@@ -33,18 +34,22 @@ def units(text: bytes, unit: str, min_words: int) -> Iterator[tuple[bytes, int,
     begins.append(first)
     ends.append(len(text))
     words = [text[a:b].lower().split() for a, b in zip(begins, ends)]
-    for i, own in enumerate(words):
-        if not own:
-            continue
-        last = i
+    pieces = [piece for piece in zip(begins, ends, words) if piece[2]]
+    reach = -1
+    for i, (_, _, own) in enumerate(pieces):
+        first = last = i
         if len(own) < min_words:
             own = list(own)
-            while len(own) < min_words and last + 1 < len(words):
+            while len(own) < min_words and last + 1 < len(pieces):
                 last += 1
-                own += words[last]
-            if len(own) < min_words:
-                return
-        yield xxhash.xxh3_128_digest(b" ".join(own)), begins[i], ends[last]
+                own += pieces[last][2]
+            if len(own) < min_words and reach == last:
+                return  # The unit before has taken in all that is left.
+            while len(own) < min_words and first:
+                first -= 1
+                own = pieces[first][2] + own
+        reach = last
+        yield xxhash.xxh3_128_digest(b" ".join(own)), pieces[first][0], pieces[last][1]
 
 
 def unit_rows(packed: DataFrame, unit: str, min_words: int) -> DataFrame:
@@ -115,7 +120,8 @@ def repeated_units(
     A unit is a line, a paragraph (cut at blank lines) or a sentence (a line cut after ``.!?``),
     compared in lower-case ASCII letters with white space as one blank. Units under ``min_words``
     words are compared together with the following ones, so that short lines which recur by chance
-    stay. The earliest occurrence stays: least id (null last), then least offset. ``spans`` are byte
+    stay; at the end of a text, where too little follows, together with the ones before. A text under
+    ``min_words`` words is compared as a whole, so all of a later copy of a text goes. The earliest occurrence stays: least id (null last), then least offset. ``spans`` are byte
     offsets into the input text, ``kept`` are the other bytes, valid UTF-8 as cuts lie at blanks.
     Null and empty texts have no unit. Rows equal as a whole count as one place and keep the same.
     """

@@ -143,6 +143,36 @@ def test_short_units_by_chance_stay(spark):
     assert all(r.n_removed == 0 for r in unit_dedup.repeated_units(docs).collect())
 
 
+def plain_windows(counts, min_words):
+    """First and last line of every unit, from the word counts of lines alone."""
+    n, out = len(counts), set()
+    for i in range(n):
+        enough = [j for j in range(i, n) if sum(counts[i : j + 1]) >= min_words]
+        back = [j for j in range(n) if sum(counts[j:]) >= min_words]
+        out.add((i, enough[0]) if enough else (max(back, default=0), n - 1))
+    return out
+
+
+@pytest.mark.parametrize("unit", ["sentence", "line"])
+def test_short_tails_and_short_texts_go_with_their_copies(spark, unit):
+    rng = random.Random(4)
+    lines = [" ".join(rng.choice("abc") + str(k) for _ in range(rng.choice([1, 2, 3, 5, 9, 12]))) for k in range(14)]
+    texts = [[rng.choice(lines) for _ in range(rng.randint(1, 5))] for _ in range(120)]
+    texts += [["so few words"], ["so few words"], [lines[0] * 9, "a tail"], [lines[0] * 9, "a tail"], [lines[0] * 9, "another"]]
+    rows = [(i, "\n".join(t)) for i, t in enumerate(texts)]
+    got = {r.id: bytes(r.kept).decode() for r in unit_dedup.repeated_units(spark.createDataFrame(rows, "doc_id long, text string"), unit).collect()}
+    seen, want = set(), {}
+    for n, t in enumerate(texts):
+        gone = set()
+        for i, j in sorted(plain_windows([len(x.split()) for x in t], 8)):
+            key = " ".join(t[i : j + 1])
+            gone |= set(range(i, j + 1)) if key in seen else set()
+            seen.add(key)
+        want[n] = [x for k, x in enumerate(t) if k not in gone]
+    assert {n: [x for x in kept.split("\n") if x] for n, kept in got.items()} == want
+    assert all(not want[n] for n, t in enumerate(texts) if t in texts[:n])
+
+
 def brute_fingerprint(text):
     words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
