@@ -1,4 +1,4 @@
-"""Exact removal of long repeated byte strings by depth-limited radix passes over suffixes."""
+"""Exact removal of long repeated byte strings by content anchors and hashes of windows."""
 
 from __future__ import annotations
 
@@ -123,10 +123,10 @@ def _with_cells(texts: DataFrame, settled: DataFrame) -> DataFrame:
 def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """``(k1, k2, a, b)``: byte spans that cover exactly the windows which start twice or more.
 
-    ``texts`` is the frame of a ``Packed``. Suffixes are ordered through ``length`` bytes only, most
-    significant digit first, and only within groups that are still equal. In the first pass a
-    digit is what all windows of one content anchor share, so one suffix in about a hundred is
-    ordered and the rest follow it. What is neither alone nor equal as a whole is cut into
+    ``texts`` is the frame of a ``Packed``. Nothing is ordered: windows are grouped by hashes, and
+    each pass cuts only groups that are still equal. In the first pass a row stands for all
+    windows of one content anchor, about a hundred; a row per byte, as a radix order of all
+    suffixes needs, would be 30 times the input. What is neither alone nor equal as a whole is cut into
     ranges of 16 windows and then into single windows, whose groups are the repeated windows.
     """
     if length < 64:

@@ -1,9 +1,9 @@
-"""Sorted-suffix digits of byte windows, in numpy: content anchors and the digests below them.
+"""Hashes of byte windows, in numpy: content anchors and the digests below them.
 
 A window is a string of ``length`` bytes. Its anchor is the leftmost place of the least 16-byte hash
 among its first ``REACH`` places, so equal windows have their anchors at the same offset, and
-neighbouring windows mostly share one. Windows of one anchor form a run. The suffix at the anchor
-is the only one that is ordered for the whole run.
+neighbouring windows mostly share one. Windows of one anchor form a run, which goes by the
+hashes at its anchor as one row.
 """
 
 from __future__ import annotations
