@@ -482,19 +482,15 @@ def test_mixing(docs, entropy, repeats):
 
 
 def test_shares_as_they_are_take_every_document_once(spark):
-    """Two documents of each source: one token short, and the second would be left out."""
-    rng = random.Random(8)
-    rows = [(i, "a " * rng.randint(1, 3000), None, f"s{i % 300}", None) for i in range(600)]
-    df = spark.createDataFrame(rows, SCHEMA)
-    total = collections.Counter()
-    for _, text, _, source, _ in rows:
-        total[source] += len(text) // 2
-    whole = sum(total.values())
-    assert any(math.floor(n / whole * whole) < n for n in total.values())
-    got = mixing.mix(df, entropy=0.5, repeats=None).collect()
-    assert sorted((r.id, r.block) for r in got) == [(i, 0) for i in range(600)]
-    part = mixing.budgets(mixing.source_totals(df.selectExpr("source", "length(text) div 2 as tokens")), 1.0, 3 * whole + 1)
-    assert all((r.full, r.rest) == divmod(r.total * (3 * whole + 1) // whole, r.total) for r in part.collect())
+    """In doubles one source comes out a token short, and a document would be left out."""
+    short = lambda n, m: math.floor(n / (n + m) / (n / (n + m) + m / (n + m)) * (n + m)) < n
+    n, m = next((n, m) for n in range(20, 200) for m in range(n, 2 * n) if short(n, m))
+    rows = [(i, "a " * size, None, source, None) for i, (source, size) in enumerate([("s", n - 9), ("s", 9), ("t", m - 9), ("t", 9)])]
+    got = mixing.mix(spark.createDataFrame(rows, SCHEMA), entropy=0.5, repeats=None).collect()
+    assert sorted((r.id, r.block) for r in got) == [(i, 0) for i in range(4)]
+    totals = spark.createDataFrame([("s", n), ("t", m)], "source string, total long")
+    twice = mixing.budgets(totals, 1.0, 2 * (n + m) + 1).collect()
+    assert all((r.full, r.rest) == divmod(r.total * (2 * (n + m) + 1) // (n + m), r.total) for r in twice)
 
 
 def test_mixing_keeps_awkward_rows(docs, nothing):
