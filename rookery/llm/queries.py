@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, and SQL where SQL can say the same."""
+"""Registered queries of the operators, and SQL where SQL can say the same."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rookery.llm import (
     byte_cnn,
+    merkle,
     mixing,
     packing,
     quality_rules,
@@ -15,6 +16,7 @@ from rookery.llm import (
     suffix_dedup,
     topk,
     unit_dedup,
+    url_rules,
     warc_zip,
 )
 from rookery.llm.ship import ship
@@ -162,3 +164,107 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
 )
 def _(spark, sf_dir):
     return topk.exact_top_k(_table(spark, sf_dir, "embeddings"))
+
+
+# Verdict, host and path of each rule.
+URL_RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
+_RULES_SQL = ", ".join(str(rule) for rule in URL_RULES)
+
+
+@query(
+    "op11_url_filters",
+    f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+), rules(verdict, h, p) AS (VALUES {_RULES_SQL})
+SELECT page_id, host, path, max_by(h || p, length(h || p) * 1000 + length(h)) AS rule,
+  coalesce(max_by(verdict, length(h || p) * 1000 + length(h)), 'allow') AS verdict
+FROM (SELECT *, row_number() OVER () AS n FROM parts)
+LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+GROUP BY n, page_id, host, path""",
+)
+def _(spark, sf_dir):
+    rules = spark.createDataFrame(URL_RULES, url_rules.RULES)
+    return url_rules.judge_urls(_table(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
+
+
+_LEAF = " || ".join(
+    f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "{n}", "text")
+)
+_BITWISE = """list_reduce(list_concat([4294967295], list_transform(range(1, length(doc_id::VARCHAR) + 1),
+    lambda i: ascii(substr(doc_id::VARCHAR, i, 1)))), lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)),
+    lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END))"""
+
+
+@query(
+    "op12_merkle_manifest",
+    f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf, claim FROM (
+    SELECT doc_id, lang, sha256({_LEAF.format(n="n_chars")}) AS leaf, sha256({_LEAF.format(n="tampered")}) AS claim
+    FROM (SELECT *, CASE WHEN xor({_BITWISE}, 4294967295) % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS tampered FROM documents))
+), numbered AS (
+  SELECT *, row_number() OVER (ORDER BY lang NULLS FIRST, i) AS n FROM leaves
+), lower(level, lang, i, h) AS (
+  SELECT 0, lang, i, leaf FROM leaves
+  UNION ALL
+  SELECT min(level) + 1, lang, i // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER (PARTITION BY lang) AS n FROM lower) WHERE n > 1 GROUP BY lang, i // 2
+), tops AS (
+  SELECT lang, max(level) AS height FROM lower GROUP BY lang
+), subroots AS (
+  SELECT lang, height, h AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS place
+  FROM (SELECT l.lang, l.h, t.height FROM lower l JOIN tops t ON l.lang IS NOT DISTINCT FROM t.lang AND l.level = t.height)
+), upper(level, i, h) AS (
+  SELECT 0, place, subroot FROM subroots
+  UNION ALL
+  SELECT min(level) + 1, i // 2, sha256(string_agg(h, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER () AS n FROM upper) WHERE n > 1 GROUP BY i // 2
+), summit AS (
+  SELECT h AS root, level AS rise FROM upper ORDER BY level DESC LIMIT 1
+), nodes AS (
+  SELECT level, lang, true AS below, i, h FROM lower UNION ALL SELECT level, NULL, false, i, h FROM upper
+), climb(n, lang, level, below, i, height, place, done, proof) AS (
+  SELECT l.n, l.lang, 0, true, l.i, s.height, s.place, l.claim, ''
+  FROM numbered l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+  UNION ALL
+  SELECT n, lang, CASE WHEN turn THEN 0 ELSE level + 1 END, below AND NOT turn,
+    CASE WHEN turn THEN place ELSE i // 2 END, CASE WHEN turn THEN (SELECT rise FROM summit) ELSE height END, place,
+    CASE WHEN turn THEN done WHEN i % 2 = 1 THEN sha256(sibling || done) ELSE sha256(done || sibling) END,
+    CASE WHEN turn THEN proof ELSE proof || sibling END
+  FROM (
+    SELECT c.*, c.level = c.height AS turn, coalesce(s.h, '') AS sibling
+    FROM climb c LEFT JOIN nodes s ON s.below = c.below AND s.level = c.level AND s.i = xor(c.i, 1)
+      AND (NOT c.below OR s.lang IS NOT DISTINCT FROM c.lang)
+    WHERE c.below OR c.level < c.height)
+), ends AS (
+  SELECT n, done, proof FROM climb WHERE NOT below AND level = height
+)
+SELECT l.doc_id, l.leaf, s.subroot, root, sha256(proof) AS proof_sha256, done AS folded_root, done = root AS verified
+FROM numbered l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang JOIN ends USING (n), summit""",
+)
+def _(spark, sf_dir):
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+
+    def tampered(cells):
+        """The leaf of a row that has gained a character, where 7 divides the CRC-32 of the id."""
+        hit = F.crc32(cells["doc_id"].cast("string")) % 7 == 0
+        changed = cells | {"n_chars": F.when(hit, cells["n_chars"] + 1).otherwise(cells["n_chars"])}
+        return merkle.cells_digest([changed[c] for c in columns])
+
+    rows = merkle.manifest(_table(spark, sf_dir, "documents"), columns, claims=tampered)
+    folded = merkle.folded(F.col("claim"), F.col("witness"))
+    rows = rows.withColumn("folded_root", folded).withColumn("proof_sha256", merkle.proof_digest(F.col("witness")))
+    return rows.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
