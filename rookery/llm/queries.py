@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rookery.llm import (
     byte_cnn,
+    hard_negatives,
     merkle,
     mixing,
     packing,
@@ -268,3 +269,31 @@ def _(spark, sf_dir):
         F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+@query(
+    "op13_hard_negatives",
+    """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id, list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM usable a JOIN usable c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5""",
+)
+def _(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(vectors)
