@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,82 +43,75 @@ def _inline_score(text: Column, maps: Column, slots: int) -> Column:
     return F.aggregate(F.split(F.lower(text), " "), F.lit(0).cast("bigint"), add)
 
 
-def _map_table(weights: DataFrame, rows: int) -> tuple[DataFrame, int]:
-    """The same array of maps as a table of one row, for lists that are too long for a plan."""
-    slots = max(rows, 1)
-    slot = F.pmod(F.xxhash64("word"), F.lit(slots)).cast("int").alias("slot")
-    entry = F.struct("word", F.col("weight").cast("bigint").alias("weight"))
-    filled = weights.groupBy(slot).agg(F.map_from_entries(F.collect_list(entry)).alias("map"))
-    every = weights.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot"))
-    empty = F.map_from_entries(F.array().cast("array<struct<word:string,weight:bigint>>"))
-    maps = every.join(filled, "slot", "left").select("slot", F.coalesce("map", empty).alias("map"))
-    ordered = F.array_sort(F.collect_list(F.struct("slot", "map")), lambda x, y: x["slot"] - y["slot"])
-    return maps.agg(F.transform(ordered, lambda x: x["map"]).alias("_maps")).withColumn("_one", F.lit(1)), slots
+@dataclass(frozen=True)
+class Lexicon:
+    """A word table with one row per word, and how large it is."""
 
+    weights: DataFrame
+    size: WordListSize
 
-def _with_map_score(posts: DataFrame, weights: DataFrame, rows: int, text_col: str) -> DataFrame:
-    """Adds ``score`` by a broadcast table of one row: no shuffle, no ids, batch and stream alike.
+    @property
+    def inline(self) -> bool:
+        return self.size.within(INLINE_WORDS, INLINE_BYTES)
 
-    The optimizer drops the constant key; each post meets the one row of the table and no other.
-    """
-    table, slots = _map_table(weights, rows)
-    joined = posts.withColumn("_one", F.lit(1)).join(F.broadcast(table), "_one")
-    scored = _inline_score(F.col(text_col), F.col("_maps"), slots)
-    return joined.withColumn("score", F.coalesce(scored, F.lit(0))).drop("_one", "_maps")
+
+def lexicon(weights: DataFrame) -> Lexicon:
+    """``(word, weight)`` with the weights of a word listed twice added up; counts the list."""
+    weights = weights.groupBy("word").agg(F.sum("weight").cast("bigint").alias("weight"))
+    return Lexicon(weights, word_list_size(weights))
 
 
-def _joined_scores(
-    posts: DataFrame, weights: DataFrame, size: WordListSize, text_col: str
-) -> DataFrame:
-    """``(_text, score)`` of the texts with at least one listed word, ``_text`` being a digest.
+def _hit_scores(keyed: DataFrame, words: Lexicon, text_col: str) -> DataFrame:
+    """``(_k1, _k2, score)`` of the rows with at least one listed word.
 
-    Words that are not listed go out in the join. The score is a matter of the text alone, so posts
-    that are delivered twice, and posts without an id, need no care.
+    Tokens meet the list in a hash join on the word. Each task sums the hits of a row key before
+    anything is shuffled, so what moves is one short row per post. Rows that share a key are
+    repeats of each other: their sum is divided by their number, which the first tokens count.
     """
-    lowered = posts.select(F.lower(text_col).alias("text")).filter("text is not null")
-    lowered = lowered.withColumn("_text", F.md5(F.col("text").cast("binary"))).dropDuplicates(["_text"])
-    words = lowered.select("_text", F.explode(F.split("text", " ")).alias("word"))
-    hits = word_join(words, weights, spread_by="_text", size=size)
-    return hits.groupBy("_text").agg(F.sum("weight").alias("score"))
+    lowered = keyed.select("_k1", "_k2", F.lower(text_col).alias("text")).filter("text is not null")
+    tokens = lowered.select("_k1", "_k2", F.posexplode(F.split("text", " ")).alias("_at", "word"))
+    if words.size.within(bounds.BROADCAST_ROWS, bounds.BROADCAST_BYTES):
+        hits = tokens.join(F.broadcast(words.weights), "word", "left")
+    else:
+        # Tokens that are not listed go out in the join.
+        none = F.lit(None).cast("bigint").alias("weight")
+        hits = word_join(tokens, words.weights, spread_by="_k1", size=words.size)
+        hits = hits.select("_k1", "_k2", F.lit(1).alias("_at"), "weight").unionByName(
+            tokens.filter("_at = 0").select("_k1", "_k2", "_at", none)
+        )
+    sums = hits.groupBy("_k1", "_k2").agg(F.sum("weight").alias("total"), F.count_if(F.col("_at") == 0).alias("rows"))
+    return sums.filter("total is not null").select("_k1", "_k2", F.expr("total div rows").alias("score"))
 
 
-def _chunks(weights: DataFrame, size: WordListSize) -> int:
-    """Parts of a list that each keep to the bounds of a broadcast, by a hash of the word."""
-    row = weights.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("word")).alias("bytes")).first()
-    return 1 + 2 * max(row["n"] // max(1, bounds.BROADCAST_ROWS), row["bytes"] // max(1, bounds.BROADCAST_BYTES))
+def _with_hit_score(posts: DataFrame, words: Lexicon, id_col: str, text_col: str) -> DataFrame:
+    """Adds ``score`` by a join on two hashes of id and text."""
+    key = [F.col(id_col), F.col(text_col)] if id_col in posts.columns else [F.col(text_col)]
+    keyed = posts.withColumns({"_k1": F.xxhash64(*key), "_k2": F.xxhash64(F.lit("post"), *key)})
+    scored = keyed.join(_hit_scores(keyed, words, text_col), ["_k1", "_k2"], "left")
+    return scored.drop("_k1", "_k2").fillna(0, ["score"])
 
 
 def lexicon_sentiment(
-    posts: DataFrame, weights: DataFrame, id_col: str = "post_id", text_col: str = "text"
+    posts: DataFrame, weights: DataFrame | Lexicon, id_col: str = "post_id", text_col: str = "text"
 ) -> DataFrame:
     """Adds ``score`` and ``sentiment`` to each row of ``posts``, whatever the length of the list.
 
     ``weights`` holds ``(word, weight)``; weights of a word listed twice add up. The score is the sum
-    of the weights of the lower-cased space tokens of the raw text, 0 for a null text. Up to the
-    bound of a broadcast this is a projection, on streams too: a short list travels in the plan, a
-    longer one in a table of one row. Beyond the bound the tokens of a batch are joined to the list,
-    and a stream is scored by one part of the list after the other. The word table is read more than
-    once; write it out first when it is costly to make.
+    of the weights of the lower-cased space tokens of the raw text, 0 for a null text. A short list
+    travels in the plan and scoring is a projection, on streams too. For a longer one the tokens are
+    joined to the list: broadcast up to a bound, by salted hash joins beyond it. The text itself moves
+    only if it is asked for beside the score. Streams take long lists batch by batch
+    (``streaming.sentiment``). The word table is read more than once; write it out first when it is
+    costly to make, or pass the ``lexicon`` of it to score many frames.
     """
-    weights = weights.groupBy("word").agg(F.sum("weight").cast("bigint").alias("weight"))
-    size = word_list_size(weights)
-    if size.within(INLINE_WORDS, INLINE_BYTES):
-        score = _inline_score(F.col(text_col), *_inline_weights(weights))
+    words = weights if isinstance(weights, Lexicon) else lexicon(weights)
+    if words.inline:
+        score = _inline_score(F.col(text_col), *_inline_weights(words.weights))
         scored = posts.withColumn("score", F.coalesce(score, F.lit(0)))
-    elif size.within(bounds.BROADCAST_ROWS, bounds.BROADCAST_BYTES):
-        scored = _with_map_score(posts, weights, size.rows, text_col)
     elif posts.isStreaming:
-        parts = _chunks(weights, size)
-        scored = posts.withColumn("_sum", F.lit(0).cast("bigint"))
-        for i in range(parts):
-            part = weights.filter(F.pmod(F.xxhash64(F.lit("part"), "word"), F.lit(parts)) == i)
-            scored = _with_map_score(scored, part, part.count(), text_col)
-            scored = scored.withColumn("_sum", F.col("_sum") + F.col("score")).drop("score")
-        scored = scored.withColumnRenamed("_sum", "score")
+        raise ValueError(f"{words.size.rows} words: score a stream by streaming.sentiment.write_sentiment")
     else:
-        scores = _joined_scores(posts, weights, size, text_col)
-        keyed = posts.withColumn("_text", F.md5(F.lower(text_col).cast("binary")))
-        scored = keyed.join(scores, "_text", "left").drop("_text").fillna(0, ["score"])
+        scored = _with_hit_score(posts, words, id_col, text_col)
     return scored.withColumn("sentiment", sentiment_label(F.col("score")))
 
 

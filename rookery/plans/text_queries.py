@@ -12,6 +12,8 @@ from rookery.session import scratch_dir
 from rookery.sources.lexicon import read_lexicon, word_weights
 from rookery.sources.lines import read_lines
 from rookery.sources.tables import table
+from rookery.streaming.batches import drain
+from rookery.streaming.sentiment import write_sentiment
 
 _WORDS_SQL = """
 words AS (
@@ -155,12 +157,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Scores of a stream of posts against the long lists."""
     base = scratch_dir(spark, "sentiment")
-    scored = sentiment.lexicon_sentiment(
-        inputs.post_text_stream(spark, sf_dir), inputs.long_weights(spark, sf_dir)
-    )
-    out = scored.drop("text").writeStream.format("parquet").option("checkpointLocation", f"{base}/c")
-    out.trigger(availableNow=True).start(f"{base}/out").awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("post_id", "score", "sentiment")
+    stream, weights = inputs.post_text_stream(spark, sf_dir), inputs.long_weights(spark, sf_dir)
+    drain(write_sentiment(stream, weights, f"{base}/out", "batch", f"{base}/c", keep=["post_id"]))
+    return spark.read.parquet(f"{base}/out/batch_*")
 
 
 @query(

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from rookery.operators import bounds, sentiment, tokens
 from rookery.sources.lexicon import count_entries, word_weights
+from rookery.streaming.batches import drain
+from rookery.streaming.sentiment import write_sentiment
 
 TEXTS = [
     (1, "a Good day"),
@@ -35,8 +37,8 @@ EXPECTED = {1: (1, "1"), 2: (1, "1"), 3: (-1, "0"), 4: (0, "2"), 5: (0, "2"), 6:
     "lowered, plan",
     [
         ({}, "LocalTableScan|Project"),
-        ({"INLINE_WORDS": 0}, "BroadcastNestedLoopJoin BuildRight, Inner"),
-        ({"INLINE_BYTES": 3}, "BroadcastNestedLoopJoin BuildRight, Inner"),
+        ({"INLINE_WORDS": 0}, "BroadcastHashJoin \\[word"),
+        ({"INLINE_BYTES": 3}, "BroadcastHashJoin \\[word"),
         ({"INLINE_WORDS": 0, "BROADCAST_ROWS": 0}, "_salt"),
         ({"INLINE_WORDS": 0, "BROADCAST_BYTES": 3}, "_salt"),
     ],
@@ -60,17 +62,47 @@ def test_short_lists_need_no_shuffle(spark):
     assert "Exchange" not in plan and "Join" not in plan
 
 
-@pytest.mark.parametrize("rows", [200_000, 1], ids=["one table", "in parts"])
-def test_long_lists_on_streams(spark, tmp_path, monkeypatch, rows):
-    monkeypatch.setattr(sentiment, "INLINE_WORDS", 0)
+@pytest.mark.parametrize("rows", [200_000, 1], ids=["broadcast", "salted"])
+@pytest.mark.parametrize("inline", [20_000, 0])
+def test_lists_of_any_length_on_streams(spark, tmp_path, monkeypatch, rows, inline):
+    monkeypatch.setattr(sentiment, "INLINE_WORDS", inline)
     monkeypatch.setattr(bounds, "BROADCAST_ROWS", rows)
+    # Two batches, the same posts in both.
+    for _ in range(2):
+        posts(spark).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("post_id long, text string").option("maxFilesPerTrigger", 1)
+    stream = stream.parquet(f"{tmp_path}/in")
+    drain(write_sentiment(stream, weights(spark), f"{tmp_path}/out", "b", f"{tmp_path}/c", keep=["post_id"]))
+    for batch in (0, 1):
+        out = spark.read.parquet(f"{tmp_path}/out/b_{batch}")
+        assert out.columns == ["post_id", "score", "sentiment"]
+        assert {r.post_id: (r.score, r.sentiment) for r in out.collect()} == EXPECTED and out.count() == len(EXPECTED)
+
+
+def test_long_lists_are_refused_where_a_stream_has_no_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sentiment, "INLINE_WORDS", 0)
     posts(spark).write.parquet(f"{tmp_path}/in")
     stream = spark.readStream.schema("post_id long, text string").parquet(f"{tmp_path}/in")
-    scored = sentiment.lexicon_sentiment(stream, weights(spark))
-    out = scored.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c")
-    out.trigger(availableNow=True).start(f"{tmp_path}/out").awaitTermination()
-    rows = spark.read.parquet(f"{tmp_path}/out").collect()
-    assert {r.post_id: (r.score, r.sentiment) for r in rows} == EXPECTED
+    with pytest.raises(ValueError, match="write_sentiment"):
+        sentiment.lexicon_sentiment(stream, weights(spark))
+
+
+def test_long_lists_are_joined_by_word_and_summed_before_the_shuffle(spark, monkeypatch):
+    """The list is on no row of posts: it meets tokens only, and hits are summed below the exchange."""
+    monkeypatch.setattr(sentiment, "INLINE_WORDS", 0)
+    scored = sentiment.lexicon_sentiment(posts(spark), weights(spark)).drop("text")
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "map<" not in plan
+    # From the top down: the final sum, its shuffle, the partial sum, the join on the word.
+    assert re.search(r"functions=\[sum\(weight.*Exchange hashpartitioning\(_k1.*partial_sum\(weight.*BroadcastHashJoin \[word", plan, re.S)
+
+
+def test_posts_without_an_id_column(spark, monkeypatch):
+    monkeypatch.setattr(sentiment, "INLINE_WORDS", 0)
+    odd = spark.createDataFrame([("good good",), ("good good",), ("bad",), (None,), ("",)], "text string")
+    got = sentiment.lexicon_sentiment(odd, sentiment.lexicon(weights(spark)))
+    assert sorted((r.text, r.score) for r in got.filter("text is not null").collect()) == [("", 0), ("bad", -1), ("good good", 2), ("good good", 2)]
+    assert got.filter("text is null").first().score == 0
 
 
 def test_counts_and_labels(spark):
