@@ -183,7 +183,41 @@ def _(spark, sf_dir):
         WHERE rank <= 10 AND {_CLOSED}""",
 )
 def _(spark, sf_dir):
-    """The most frequent tags of the windows that each batch completes, over four landings."""
+    """The most frequent tags of the windows over the finished slides, after four landings."""
+    base = scratch_dir(spark, "windows")
+    slides = f"{base}/slides"
+    _landed_in_order(
+        spark, sf_dir, base, lambda posts: stream_trends.write_slide_counts(posts, slides, f"{base}/checkpoint")
+    )
+    top = trends.top_hashtags_per_window(stream_trends.finished_windows(spark, slides), 10)
+    return top.select(F.unix_timestamp("window_start").alias("start"), "tag", "count", "rank")
+
+
+# What a chain of hops of 15 s has closed: the stretch that a window lies in ends at a multiple of them.
+_CHAIN_CLOSED = f"((start + 14) // 15) * 15 + 300 <= {_MARK}"
+
+
+@query(
+    "stream_hashtag_window_chain",
+    f"WITH {WINDOWS_SQL} SELECT start, tag, count FROM windows WHERE {_CHAIN_CLOSED}",
+)
+def _(spark, sf_dir):
+    """Windows by chained aggregations in one query, over four landings."""
+    base = scratch_dir(spark, "windows")
+    _landed_in_order(
+        spark, sf_dir, base,
+        lambda posts: stream_trends.write_window_counts(posts, f"{base}/out", "batch", f"{base}/checkpoint"),
+    )
+    return _in_seconds(spark.read.parquet(f"{base}/out/batch_*"))
+
+
+@query(
+    "stream_top_hashtags_chain",
+    f"""WITH {WINDOWS_SQL} SELECT start, tag, count, CAST(rank AS INTEGER) AS rank FROM ranked
+        WHERE rank <= 10 AND {_CHAIN_CLOSED}""",
+)
+def _(spark, sf_dir):
+    """The most frequent tags of the windows that each batch of the chain closes."""
     base = scratch_dir(spark, "windows")
     _landed_in_order(
         spark, sf_dir, base,

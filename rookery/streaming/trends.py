@@ -6,9 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.storagelevel import StorageLevel
 
 from rookery.operators.tokens import hashtags
 from rookery.operators.trends import (
@@ -18,22 +16,11 @@ from rookery.operators.trends import (
     sliding_counts,
     top_hashtags_per_window,
 )
-from rookery.streaming.batches import AVAILABLE_NOW, BatchWriter, StateTable, for_each_batch
+from rookery.streaming.batches import AVAILABLE_NOW, BatchWriter, for_each_batch
 
 # How far behind the newest post a post may come, in seconds.
 LATENESS_SECONDS = 10
 
-_CARRY_SCHEMA = T.StructType(
-    [
-        T.StructField("batch_id", T.LongType()),
-        T.StructField("closed", T.LongType()),
-        T.StructField("tag", T.StringType()),
-        T.StructField("bucket", T.LongType()),
-        T.StructField("n", T.LongType()),
-    ]
-)
-
-
 def hashtag_windows_direct(
     posts: DataFrame,
     window_s: int = WINDOW_SECONDS,
@@ -130,52 +117,49 @@ def late_rows(query: StreamingQuery) -> int:
     )
 
 
-class _WindowCloser:
-    """Turns the slides each batch finishes into the windows that they complete.
+def hop_seconds(window_s: int, slide_s: int) -> int:
+    """Length of the middle windows of a chain: the largest divisor up to the root of window / slide."""
+    ratio = window_s // slide_s
+    return slide_s * max(d for d in range(1, ratio + 1) if ratio % d == 0 and d * d <= ratio)
 
-    Every slide up to the newest finished one is finished too, so all windows that end there are
-    complete. The slides later windows still need are carried to the next batch in a table.
-    """
 
-    def __init__(self, carry: StateTable, writer: BatchWriter, window_s: int, slide_s: int):
-        self.carry, self.writer = carry, writer
-        self.window_s, self.slide_s = window_s, slide_s
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            newest = batch.agg(F.max("bucket").alias("b")).first()["b"]
-            if newest is None:
-                return
-            closed, before = newest + self.slide_s, None
-            slides = batch
-            carried = self.carry.newest(spark, before=batch_id)
-            if carried is not None:
-                before = carried.agg(F.max("closed").alias("c")).first()["c"]
-                closed = max(closed, before)
-                slides = slides.unionByName(
-                    carried.filter(F.col("tag").isNotNull()).select("tag", "bucket", "n")
-                )
-            windows = sliding_counts(slides, "tag", self.window_s, self.slide_s)
-            end = F.unix_timestamp("window_end")
-            windows = windows.filter(end <= closed)
-            if before is not None:
-                windows = windows.filter(end > before)
-            self.writer(windows, batch_id)
-            open_slides = slides.filter(F.col("bucket") > closed - self.window_s)
-            # One row without a tag keeps the mark when no slide is carried.
-            mark = spark.createDataFrame([(None, None, 0)], "tag string, bucket bigint, n bigint")
-            state = open_slides.unionByName(mark).select(
-                F.lit(batch_id).cast("bigint").alias("batch_id"),
-                F.lit(closed).cast("bigint").alias("closed"),
-                "tag",
-                "bucket",
-                "n",
-            )
-            self.carry.save(state, batch_id)
-        finally:
-            batch.unpersist()
+def window_counts_stream(
+    posts: DataFrame,
+    window_s: int = WINDOW_SECONDS,
+    slide_s: int = SLIDE_SECONDS,
+    lateness_s: int = LATENESS_SECONDS,
+) -> DataFrame:
+    """Sliding windows by chained aggregations, each over the windows that the one before it closed.
+
+    Posts are counted per slide, slides are added up to windows of a hop, and hops to whole windows.
+    With a hop of h slides a count is copied h times and then window / (h * slide) times, 15 and 20
+    for 300 s and 1 s, not 300 times. All state is Spark's own and leaves it with the watermark.
+
+    Hops of one phase (their start within the hop) lie end to end, so a window is the sum of the hops
+    of its phase in an aligned stretch of its length. A window is given out once the watermark has
+    passed the end of that stretch, at most one hop after its own end; all of its tags come in the
+    same batch.
+    """
+    check_window(window_s, slide_s)
+    hop_s = hop_seconds(window_s, slide_s)
+    late = posts.select("ts", "text").withWatermark("ts", f"{lateness_s} seconds")
+    slides = hashtags(late).groupBy(F.window("ts", f"{slide_s} seconds"), "tag").agg(F.count(F.lit(1)).alias("n"))
+    if hop_s > slide_s:
+        at = F.window_time("window")
+        slides = slides.select(at.alias("at"), "tag", "n")
+        slides = slides.groupBy(F.window("at", f"{hop_s} seconds", f"{slide_s} seconds"), "tag").agg(F.sum("n").alias("n"))
+    # A hop that starts on a whole multiple is the last one of the stretch, not the one before it.
+    phase = F.pmod(F.unix_timestamp("window.start") - 1, F.lit(hop_s)) + 1
+    hops = slides.select(F.window_time("window").alias("at"), phase.alias("phase"), "tag", "n")
+    whole = hops.groupBy(F.window("at", f"{window_s} seconds", f"{hop_s} seconds"), "phase", "tag")
+    start = F.unix_timestamp("window.start") - hop_s + F.col("phase")
+    counts = whole.agg(F.sum("n").alias("count")).select(start.alias("start"), "tag", "count")
+    return counts.select(
+        F.timestamp_seconds("start").alias("window_start"),
+        F.timestamp_seconds(F.col("start") + window_s).alias("window_end"),
+        "tag",
+        "count",
+    )
 
 
 def write_window_counts(
@@ -189,23 +173,16 @@ def write_window_counts(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     trigger: dict = AVAILABLE_NOW,
 ) -> StreamingQuery:
-    """Write the sliding windows each batch completes to ``{base}/{prefix}_{batch_id}``.
-
-    State holds one row per tag and open slide whatever the length of the window.
-    """
-    check_window(window_s, slide_s)
-    carry = StateTable(f"{base}/{prefix}-carry", _CARRY_SCHEMA, keep=4, files=None)
+    """Write the sliding windows that each batch closes to ``{base}/{prefix}_{batch_id}``."""
     writer = BatchWriter(base, prefix, "parquet", transform=transform, reuse=True)
-    closer = _WindowCloser(carry, writer, window_s, slide_s)
-    return for_each_batch(
-        slide_counts_stream(posts, slide_s, lateness_s), closer, checkpoint, trigger
-    )
+    counts = window_counts_stream(posts, window_s, slide_s, lateness_s)
+    return for_each_batch(counts, writer, checkpoint, trigger)
 
 
 def write_top_hashtags(
     posts: DataFrame, base: str, prefix: str, checkpoint: str, k: int = 10, **options
 ) -> StreamingQuery:
-    """The ``k`` most frequent tags of each completed window."""
+    """The ``k`` most frequent tags of each closed window; a batch holds all tags of its windows."""
     return write_window_counts(
         posts,
         base,

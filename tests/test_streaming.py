@@ -193,22 +193,44 @@ def rows_of(counts):
     return got
 
 
-def test_windows_completed_over_many_batches_equal_the_batch_result(spark, base):
-    spans = [range(0, 40), range(35, 60), range(200, 260, 7), [261], range(900, 960, 3), [2000]]
+@pytest.mark.parametrize("window, slide, hop", [(60, 5, 15), (60, 20, 20), (70, 10, 10), (20, 20, 20)])
+def test_windows_closed_over_many_batches_equal_the_batch_result(spark, base, window, slide, hop):
+    assert stream_trends.hop_seconds(window, slide) == hop
+    spans = [range(0, 40), range(35, 60), range(200, 260, 7), [261], range(900, 960, 3), [1002]]
     for span in spans:
         tagged(spark, span).coalesce(1).write.mode("append").parquet(f"{base}/in")
         stream = spark.readStream.schema("ts timestamp, text string").parquet(f"{base}/in")
         query = stream_trends.write_window_counts(
-            stream, f"{base}/out", "w", f"{base}/checkpoint", window_s=60, slide_s=5, lateness_s=30
+            stream, f"{base}/out", "w", f"{base}/checkpoint", window_s=window, slide_s=slide, lateness_s=30
         )
         drain(query)
+        assert stream_trends.late_rows(query) == 0
     got = rows_of(spark.read.parquet(f"{base}/out/w_*"))
     everything = tagged(spark, [s for span in spans for s in span])
-    want = rows_of(trends.hashtag_window_counts(everything, 60, 5))
-    # All slides before the last post are finished, so all windows that end there are written.
-    closed = START + dt.timedelta(seconds=960)
-    assert got == {k: v for k, v in want.items() if k[0] <= closed}
-    assert len(got) > 100
+    want = rows_of(trends.hashtag_window_counts(everything, window, slide))
+
+    def stretch_end(end):
+        start = int((end - START).total_seconds()) - window + 86400
+        return -(-start // hop) * hop + window - 86400
+
+    # The watermark stands 30 s behind the last post.
+    assert got == {k: v for k, v in want.items() if stretch_end(k[0]) <= 1002 - 30}
+    assert len(got) > 20 and len(got) < len(want)
+
+
+def test_late_posts_do_not_change_closed_windows(spark, base):
+    for i, span in enumerate([range(0, 200), [5, 6, 190]]):
+        tagged(spark, span).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema("ts timestamp, text string").parquet(f"{base}/in")
+        query = stream_trends.write_top_hashtags(
+            stream, f"{base}/out", "w", f"{base}/checkpoint", k=1, window_s=60, slide_s=5, lateness_s=30
+        )
+        drain(query)
+        assert (stream_trends.late_rows(query) > 0) == (i == 1)
+    top = spark.read.parquet(f"{base}/out/w_*").collect()
+    assert {r.tag for r in top} == {"#hot"} and len(top) == len({r.window_end for r in top})
+    counts = {int((r.window_end - START).total_seconds()): r["count"] for r in top}
+    assert counts[60] == 60 and counts[5] == 5
 
 
 def test_direct_windows_in_complete_mode_equal_the_batch_result(spark, base):
