@@ -118,9 +118,16 @@ def fit_sentiment(train: DataFrame, **options) -> PipelineModel:
     return PipelineModel([tokenizer, remover, hashing, *fitted.stages])
 
 
-def fit_logistic(train: DataFrame, iterations: int = 100, **options) -> PipelineModel:
-    """The same features under logistic regression of at most so many steps."""
-    return fit_sentiment(train, classifier=LogisticRegression(maxIter=iterations), **options)
+def fit_logistic(
+    train: DataFrame, iterations: int = 100, penalty: float = 0.0, tolerance: float = 1e-6, **options
+) -> PipelineModel:
+    """The same features under logistic regression of at most so many steps.
+
+    With a ``penalty`` on the squared weights of the scaled features there is one best fit, whatever
+    the steps towards it; without one, classes that can be told apart have none.
+    """
+    classifier = LogisticRegression(maxIter=iterations, regParam=penalty, tol=tolerance)
+    return fit_sentiment(train, classifier=classifier, **options)
 
 
 def score(model: PipelineModel, test: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

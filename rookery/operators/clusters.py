@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import math
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,7 +12,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
@@ -69,9 +71,19 @@ def cluster_posts(
         features.unpersist()
 
 
-def assign_clusters(model: KMeansModel, df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` with the integer ``cluster`` of each text; works on streams."""
-    placed = model.transform(featurize(spread(df), text_col))
+def assign_clusters(
+    model: KMeansModel | Centres, df: DataFrame, text_col: str = "text"
+) -> DataFrame:
+    """``df`` with the integer ``cluster`` of each text; works on streams.
+
+    ``model`` is that of ``cluster_posts``, or the centres of ``fit_text_centres``, which may come from
+    a saved table.
+    """
+    features = featurize(spread(df), text_col)
+    if isinstance(model, Centres):
+        placed = features.withColumn("_terms", _terms("features"))
+        return placed.select(*df.columns, _nearest_by_terms(model, F.col("_terms")).alias("cluster"))
+    placed = model.transform(features)
     return placed.select(*df.columns, F.col("prediction").alias("cluster"))
 
 
@@ -80,13 +92,13 @@ def cluster_sizes(assigned: DataFrame) -> DataFrame:
 
 
 def cluster_examples(
-    model: KMeansModel, df: DataFrame, id_col: str, sample: int = 100
+    model: KMeansModel | Centres, df: DataFrame, id_col: str, sample: int = 100
 ) -> DataFrame:
     """The first ``sample`` posts, listed by cluster: one pass of the model over the sample."""
     return assign_clusters(model, sample_rows(df, sample, id_col)).orderBy("cluster", id_col)
 
 
-def cluster_filter(model: KMeansModel, df: DataFrame, cluster: int) -> DataFrame:
+def cluster_filter(model: KMeansModel | Centres, df: DataFrame, cluster: int) -> DataFrame:
     """Posts of one cluster; ``df`` may be a stream."""
     return assign_clusters(model, df).filter(F.col("cluster") == cluster)
 
@@ -131,6 +143,112 @@ class Centres:
         return Centres.of(centres, [1.0] * len(centres))
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is dear to make, as a variable: its uses do not make it again."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _terms(features: str) -> Column:
+    """The occupied places of a sparse vector as ``array<struct<at, n>>``."""
+    return _once(
+        F.unwrap_udt(features),
+        lambda vector: F.arrays_zip(vector["indices"].alias("at"), vector["values"].alias("n")),
+    )
+
+
+def _gap_parts(centres: Sequence[Sequence[float]], terms: Column) -> Column:
+    """``array<struct<d, j>>``: squared distance to each centre, less the text's own square."""
+    rows = [{"c": list(c), "square": math.fsum(x * x for x in c)} for c in centres]
+    # In the plan as one literal; thousands of numbers would be slow to build as columns.
+    table = F.from_json(F.lit(json.dumps(rows)), "array<struct<c:array<double>,square:double>>")
+
+    def part(row: Column, j: Column) -> Column:
+        product = F.aggregate(terms, F.lit(0.0), lambda sum_, t: sum_ + t["n"] * F.get(row["c"], t["at"]))
+        return F.named_struct(F.lit("d"), row["square"] - 2 * product, F.lit("j"), j)
+
+    return F.transform(table, part)
+
+
+def _nearest_by_terms(centres: Centres, terms: Column) -> Column:
+    """Index of the closest centre, the lowest of equally close ones."""
+    return _once(terms, lambda t: F.array_min(_gap_parts(centres.centres, t))["j"])
+
+
+def _uniform(id_col: str, seed: int, draw: int) -> Column:
+    """A number between 0 and 1 that depends on the id, the seed and the draw alone."""
+    digest = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f"-{seed}-{draw}")))
+    return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+
+
+def _drawn_centres(points: DataFrame, k: int, seed: int, dims: int) -> list[list[float]]:
+    """Starting texts, each drawn by its squared distance from those before it.
+
+    The least of ``-ln(u) / distance`` over all texts is such a draw, so each costs one aggregation
+    without a shuffle of rows, and it does not depend on how the texts are partitioned. Fewer than
+    ``k`` different texts give fewer centres.
+    """
+    drawn: list[list[float]] = []
+    square = F.aggregate("_terms", F.lit(0.0), lambda sum_, t: sum_ + t["n"] * t["n"])
+    for draw in range(k):
+        gap = F.array_min(_gap_parts(drawn, F.col("_terms")))["d"] + square if drawn else F.lit(1.0)
+        race = F.when(gap > 0, -F.log(_uniform("id", seed, draw)) / gap)
+        first = points.filter(race.isNotNull()).agg(F.min_by("_terms", F.struct(race, "id")).alias("terms")).first()
+        if first["terms"] is None:
+            break
+        centre = [0.0] * dims
+        for at, n in first["terms"]:
+            centre[at] = n
+        drawn.append(centre)
+    return drawn
+
+
+def fit_text_centres(
+    df: DataFrame,
+    k: int,
+    iterations: int,
+    seed: int = 1,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    num_features: int = TEXT_FEATURES,
+) -> Centres:
+    """K-means over text features by column arithmetic; the result depends on the rows alone.
+
+    A step places every text and adds up its cluster where it lies: no vector moves, and what reaches
+    the driver are the sums, one row per cluster and feature. An empty cluster keeps its centre.
+    Steps end when no centre moves. The weights are the sizes of the clusters. Null texts and ids are
+    left out.
+    """
+    texts = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).dropna()
+    points = featurize(texts, "text", num_features).select("id", _terms("features").alias("_terms"))
+    points = points.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        state = Centres.of(_drawn_centres(points, k, seed, num_features))
+        for _ in range(iterations):
+            moved = _moved_centres(points, state)
+            if moved == state:
+                break
+            state = moved
+        return state
+    finally:
+        points.unpersist()
+
+
+def _moved_centres(points: DataFrame, state: Centres) -> Centres:
+    """Each centre at the mean of the texts that are nearest to it."""
+    # Place -1 counts the texts.
+    counted = F.concat(F.array(F.struct(F.lit(-1).alias("at"), F.lit(1.0).alias("n"))), F.col("_terms"))
+    # Placed first: beside the generator the distances would be taken once per term.
+    placed = points.select(_nearest_by_terms(state, F.col("_terms")).alias("cluster"), counted.alias("counted"))
+    placed = placed.select("cluster", F.inline("counted"))
+    sums = placed.groupBy("cluster", "at").agg(F.sum("n").alias("n")).collect()
+    sizes = {row.cluster: row.n for row in sums if row["at"] == -1}
+    centres = [[0.0] * len(c) if j in sizes else list(c) for j, c in enumerate(state.centres)]
+    for row in sums:
+        if row["at"] >= 0:
+            centres[row.cluster][row["at"]] = row.n / sizes[row.cluster]
+    return Centres.of(centres, [sizes.get(j, 0.0) for j in range(len(centres))])
+
+
 def save_centres(centres: Centres, spark: SparkSession, path: str) -> None:
     centres.to_df(spark).coalesce(1).write.mode("overwrite").parquet(path)
 

@@ -132,3 +132,100 @@ rated AS (
          (sum(hit) / sum(actual))::DOUBLE AS weighted_recall,
          sum(2.0::DOUBLE * hit / (actual + guessed) * actual) / sum(actual) AS f1
   FROM classes GROUP BY fit)"""
+
+
+def weighted_terms(features: int) -> str:
+    """``x(id, train, bucket, v)``: weighted hashed counts in standard deviations of the training rows."""
+    return f"""
+tf AS (
+  SELECT d.id, d.train, ((h % {features}) + {features}) % {features} AS bucket, count(*)::DOUBLE AS n
+  FROM docs d JOIN words w ON w.id = d.id JOIN hashes USING (term) GROUP BY ALL),
+rows AS (SELECT count(*)::DOUBLE AS m FROM docs WHERE train),
+df AS (
+  SELECT bucket, ln((any_value(m) + 1.0) / (count(*) + 1.0)) AS idf,
+         sqrt((sum(n * n) - sum(n) * sum(n) / any_value(m)) / (any_value(m) - 1)) AS spread
+  FROM tf, rows WHERE train GROUP BY bucket),
+x AS (SELECT id, train, bucket, n / spread AS v FROM tf JOIN df USING (bucket) WHERE idf > 0 AND spread > 0)"""
+
+
+def logistic(penalty: float, steps: int) -> str:
+    """``guesses(id, label, prediction, score, probability)`` for the test rows; needs ``RECURSIVE``.
+
+    The weights are a sum of training rows times ``a``, so all that is asked for is the products of
+    rows. Accelerated gradient steps on ``a`` and on the intercept lead to the one least value of mean
+    log-loss and ``penalty / 2`` times the squared weights (of the scaled features). The intercept is that of a constant feature
+    as long as the rows.
+    """
+    return f"""
+train AS (SELECT id, label, row_number() OVER (ORDER BY id) AS r FROM docs WHERE train),
+products AS (
+  SELECT p.id, t.r, coalesce(sum(a.v * b.v), 0) AS k
+  FROM docs p CROSS JOIN train t
+  LEFT JOIN x a ON a.id = p.id LEFT JOIN x b ON b.id = t.id AND b.bucket = a.bucket GROUP BY p.id, t.r),
+lines AS (SELECT id, list(k ORDER BY r) AS k FROM products GROUP BY id),
+fixed AS (
+  SELECT count(*)::DOUBLE AS n, list(l.k ORDER BY r) AS ks, list(t.label ORDER BY r) AS ys, avg(l.k[r]) AS s2,
+         max(list_sum(l.k)) / (4 * count(*)) + avg(l.k[r]) / 4 + {penalty} AS steep
+  FROM train t JOIN lines l USING (id)),
+path(i, a, before, b, b_before) AS (
+  SELECT 0, list_transform(ys, lambda y: 0.0::DOUBLE), list_transform(ys, lambda y: 0.0::DOUBLE), 0.0::DOUBLE, 0.0::DOUBLE
+  FROM fixed
+  UNION ALL
+  SELECT i + 1,
+    list_transform(ys, lambda y, j: g[j] - ((p[j] - y) / n + {penalty} * g[j]) / steep), a,
+    g0 - sqrt(s2) * list_sum(list_transform(ys, lambda y, j: p[j] - y)) / n / steep, b
+  FROM (
+    SELECT q.*, fixed.*, list_transform(ks, lambda k: 1 / (1 + exp(-list_inner_product(k, g) - sqrt(s2) * g0))) AS p
+    FROM (
+      SELECT i, a, b, list_transform(a, lambda v, j: v + m * (v - before[j])) AS g, b + m * (b - b_before) AS g0
+      FROM (SELECT path.*, (sqrt(steep) - sqrt({penalty})) / (sqrt(steep) + sqrt({penalty})) AS m FROM path, fixed)
+    ) q, fixed)
+  WHERE i < {steps}),
+scored AS (
+  SELECT l.id, list_inner_product(l.k, a) + sqrt(s2) * b AS score
+  FROM lines l, fixed, (SELECT a, b FROM path ORDER BY i DESC LIMIT 1)),
+guesses AS (
+  SELECT id, label, CASE WHEN score > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction, score, 1 / (1 + exp(-score)) AS probability
+  FROM docs JOIN scored USING (id) WHERE NOT train)"""
+
+
+def text_clusters(features: int, k: int, iterations: int, seed: int) -> str:
+    """``placed(id, cluster)`` of the rows ``asked`` by k-means over the counts of the words of ``ids``.
+
+    Starts are drawn by hashes of ids. Other ids of ``words`` are only placed.
+    """
+    parts = [f"""
+f AS MATERIALIZED (
+  SELECT id, ((h % {features}) + {features}) % {features} AS bucket, count(*)::DOUBLE AS n
+  FROM words JOIN hashes USING (term) GROUP BY ALL),
+texts AS MATERIALIZED (
+  SELECT i.id, coalesce(sum(n * n), 0) AS square FROM ids i LEFT JOIN f USING (id) GROUP BY i.id),
+near0 AS (SELECT id, 1.0::DOUBLE AS gap FROM texts)"""]
+    for j in range(k):
+        uniform = f"(('0x' || substr(md5(id || '-{seed}-{j}'), 1, 13))::BIGINT + 0.5) / {1 << 52}::DOUBLE"
+        before = "1e308" if j == 0 else "p.gap"
+        parts.append(f"""
+pick{j} AS MATERIALIZED (SELECT id FROM near{j} WHERE gap > 0 ORDER BY -ln({uniform}) / gap, id LIMIT 1),
+near{j + 1} AS MATERIALIZED (
+  SELECT p.id, least({before}, t.square + (SELECT square FROM texts JOIN pick{j} USING (id)) - 2 * coalesce(dot, 0)) AS gap
+  FROM near{j} p JOIN texts t USING (id) LEFT JOIN (
+    SELECT f.id, sum(f.n * c.n) AS dot FROM f JOIN (SELECT bucket, n FROM f JOIN pick{j} USING (id)) c USING (bucket)
+    GROUP BY f.id) USING (id))""")
+    starts = " UNION ALL ".join(f"SELECT {j} AS cluster, bucket, n AS c FROM f JOIN pick{j} USING (id)" for j in range(k))
+    parts.append(f"\ncentres0 AS MATERIALIZED ({starts})")
+    for i in range(iterations + 1):
+        parts.append(f"""
+placed{i} AS MATERIALIZED (
+  SELECT id, arg_min(cluster, struct_pack(d := square - 2 * coalesce(dot, 0), j := cluster)) AS cluster
+  FROM (SELECT t.id, j.cluster, coalesce(s.square, 0) AS square FROM {"ids" if i < iterations else "asked"} t CROSS JOIN (SELECT unnest(range({k})) AS cluster) j
+        LEFT JOIN (SELECT cluster, sum(c * c) AS square FROM centres{i} GROUP BY cluster) s USING (cluster))
+  LEFT JOIN (SELECT f.id, cluster, sum(n * c) AS dot FROM f JOIN centres{i} USING (bucket) GROUP BY f.id, cluster)
+    USING (id, cluster) GROUP BY id)""")
+        if i < iterations:
+            parts.append(f"""
+centres{i + 1} AS MATERIALIZED (
+  SELECT cluster, bucket, sum(n) / any_value(size) AS c
+  FROM placed{i} JOIN (SELECT cluster, count(*) AS size FROM placed{i} GROUP BY cluster) USING (cluster) JOIN f USING (id)
+  GROUP BY cluster, bucket
+  UNION ALL SELECT * FROM centres{i} WHERE cluster NOT IN (SELECT cluster FROM placed{i}))""")
+    return ",".join(parts) + f",\nplaced AS (SELECT id, cluster::INTEGER AS cluster FROM placed{iterations})"

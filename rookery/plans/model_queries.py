@@ -14,7 +14,7 @@ from rookery.operators.rollups import split_summary
 from rookery.operators.sentiment import labelled_text
 from rookery.operators.sinks import write_lines
 from rookery.plans import inputs
-from rookery.plans.classify_sql import METRICS, hashed_terms, hashes, naive_bayes
+from rookery.plans.classify_sql import METRICS, hashed_terms, hashes, logistic, naive_bayes, text_clusters, weighted_terms
 from rookery.plans.registry import query
 from rookery.plans.text_queries import LABELLED_TEXT_SQL
 from rookery.session import scratch_dir
@@ -130,12 +130,14 @@ docs AS (
 _BASE, _TEXT = classify.NUM_FEATURES, clusters.TEXT_FEATURES
 
 
-def _hashed_sql(select: str, docs: str = _DOCS_SQL, chain: str = "") -> Callable[[], str | None]:
+def _hashed_sql(
+    select: str, docs: str = _DOCS_SQL, chain: str = "", recursive: bool = False
+) -> Callable[[], str | None]:
     """SQL over the hashed terms of ``docs``; the stop words come from Spark."""
 
     def make() -> str | None:
-        listed = _default_stop_words()
-        return listed and f"WITH {docs}, {hashed_terms(listed)}{chain} {select}"
+        listed, first = _default_stop_words(), "WITH RECURSIVE" if recursive else "WITH"
+        return listed and f"{first} {docs}, {hashed_terms(listed)}{chain} {select}"
 
     return make
 
@@ -306,19 +308,51 @@ def _(spark, sf_dir):
     return rows.withColumns({c: F.round(c, 6) for c in ("accuracy", "f1")})
 
 
-@query("lr_predictions")
+# With a penalty the best fit is unique, so SQL finds it by steps of its own.
+_PENALTY = 1.0
+_LOGISTIC = f""", {weighted_terms(_BASE)}, {logistic(_PENALTY, 2000)}"""
+
+
+def _logistic_scored(spark, sf_dir):
+    train, test = classify.split_train_test(inputs.labelled_documents(spark, sf_dir), "doc_id")
+    model = classify.fit_logistic(train, iterations=500, penalty=_PENALTY, tolerance=1e-10)
+    return model.transform(test).select("doc_id", "label", "prediction", "rawPrediction", "probability")
+
+
+@query(
+    "lr_predictions",
+    _hashed_sql(
+        "SELECT id AS doc_id, label, prediction, round(probability, 3) AS probability FROM guesses",
+        chain=_LOGISTIC,
+        recursive=True,
+    ),
+)
 def _(spark, sf_dir):
-    return _predictions(spark, sf_dir, classify.fit_logistic).select("doc_id", "label", "prediction")
+    of_one = F.get(vector_to_array("probability"), F.lit(1))
+    return _logistic_scored(spark, sf_dir).select(
+        "doc_id", "label", "prediction", F.round(of_one, 3).alias("probability")
+    )
 
 
-@query("lr_metrics")
+@query(
+    "lr_metrics",
+    _hashed_sql(
+        """SELECT label, prediction, count(*) AS n, (SELECT round(area, 9) FROM curve) AS area_under_roc
+           FROM guesses GROUP BY label, prediction""",
+        chain=f"""{_LOGISTIC},
+        ranked AS (SELECT label, rank() OVER w + (count(*) OVER (PARTITION BY round(score, 9)) - 1) / 2.0 AS r
+                   FROM guesses WINDOW w AS (ORDER BY round(score, 9))),
+        curve AS (
+          SELECT ((sum(r) FILTER (WHERE label = 1))::DOUBLE - p * (p + 1) / 2) / (p * (count(*) - p)) AS area
+          FROM ranked, (SELECT count(*)::DOUBLE AS p FROM ranked WHERE label = 1) GROUP BY p)""",
+        recursive=True,
+    ),
+)
 def _(spark, sf_dir):
     """The cells of the confusion matrix, each beside the area under the ROC curve."""
-    train, test = classify.split_train_test(inputs.labelled_documents(spark, sf_dir), "doc_id")
     # Scored once, for the cells and for the curve.
     path = scratch_dir(spark, "lr")
-    scored = classify.fit_logistic(train).transform(test).select("label", "prediction", "rawPrediction")
-    scored.write.parquet(path)
+    _logistic_scored(spark, sf_dir).select("label", "prediction", "rawPrediction").write.parquet(path)
     predictions = spark.read.parquet(path)
     area = classify.area_under_roc(predictions)
     cells = classify.confusion_matrix(predictions).withColumn("area_under_roc", F.lit(round(area, 9)))
@@ -334,13 +368,17 @@ def _buckets(df, vector: str):
     return df.select("doc_id", F.inline(pairs).alias("bucket", "n"))
 
 
-@query(
-    "text_features",
-    f"""WITH lowered AS (SELECT doc_id AS id, lower(text) AS t FROM documents),
+def _pairs_sql(lowered: str = "SELECT doc_id AS id, lower(text) AS t FROM documents") -> str:
+    return f"""lowered AS ({lowered}),
         words AS (
           SELECT id, substr(t, CAST(i AS BIGINT), 2) AS term FROM
             (SELECT id, t, unnest(range(1, greatest(length(t), 2))) AS i FROM lowered WHERE t <> '')),
-        {hashes()}
+        {hashes()}"""
+
+
+@query(
+    "text_features",
+    f"""WITH {_pairs_sql()}
         SELECT id AS doc_id, CAST(((h % {_TEXT}) + {_TEXT}) % {_TEXT} AS INTEGER) AS bucket,
                CAST(count(*) AS DOUBLE) AS n
         FROM words JOIN hashes USING (term) GROUP BY ALL""",
@@ -351,24 +389,56 @@ def _(spark, sf_dir):
     return _buckets(clusters.featurize(documents), "features")
 
 
+_CLUSTERS, _STEPS, _DRAW = 5, 10, 1
+_KMEANS_SQL = text_clusters(_TEXT, _CLUSTERS, _STEPS, _DRAW)
+_IDS_SQL = "ids AS (SELECT doc_id AS id FROM documents WHERE text IS NOT NULL)"
+_PLACED_SQL = f"WITH {_pairs_sql()}, {_IDS_SQL}, asked AS (SELECT id FROM ids), {_KMEANS_SQL}"
+# Posts stand beside the documents under negative ids and take no part in the training.
+_POSTS_PLACED_SQL = f"""WITH {inputs.POST_TEXTS_SQL}, {_pairs_sql(
+    "SELECT doc_id AS id, lower(text) AS t FROM documents UNION ALL SELECT -1 - post_id, lower(text) FROM post_texts"
+)}, {_IDS_SQL}, asked AS (SELECT id FROM lowered), {_KMEANS_SQL}"""
+
+
 def _post_clusters(spark, sf_dir):
+    """Trained centres, read back from the table they are saved in, and the documents."""
     documents = inputs.documents(spark, sf_dir).select("doc_id", "text")
-    return clusters.cluster_posts(documents, k=5, iterations=10), documents
+    path = scratch_dir(spark, "post-centres")
+    centres = clusters.fit_text_centres(documents, _CLUSTERS, _STEPS, _DRAW)
+    clusters.save_centres(centres, spark, path)
+    return clusters.load_centres(spark, path), documents
 
 
-@query("kmeans_clusters")
+@query("kmeans_clusters", f"{_PLACED_SQL} SELECT id AS doc_id, cluster FROM placed")
 def _(spark, sf_dir):
     model, documents = _post_clusters(spark, sf_dir)
     return clusters.assign_clusters(model, documents).drop("text")
 
 
-@query("cluster_examples")
+@query(
+    "cluster_examples",
+    f"""{_PLACED_SQL}
+        SELECT doc_id, text, cluster FROM (SELECT * FROM documents ORDER BY doc_id LIMIT 100)
+        JOIN placed ON doc_id = id""",
+)
 def _(spark, sf_dir):
     model, documents = _post_clusters(spark, sf_dir)
     return clusters.cluster_examples(model, documents, "doc_id", 100)
 
 
-@query("cluster_filter")
+@query(
+    "cluster_sizes",
+    f"{_PLACED_SQL} SELECT cluster, count(*) AS posts FROM placed GROUP BY cluster",
+)
+def _(spark, sf_dir):
+    return clusters.cluster_sizes(clusters.assign_clusters(*_post_clusters(spark, sf_dir)))
+
+
+@query(
+    "cluster_filter",
+    f"""{_POSTS_PLACED_SQL}
+        SELECT post_id, text, cluster FROM post_texts JOIN placed ON id = -1 - post_id
+        WHERE cluster = (SELECT cluster FROM placed WHERE id >= 0 ORDER BY id LIMIT 1)""",
+)
 def _(spark, sf_dir):
     """Streamed posts of the cluster that the first document falls into."""
     from rookery.plans.stream_queries import _written

@@ -177,6 +177,19 @@ def test_logistic_regression_and_roc(spark, sf_dir):
     assert 0.0 <= classify.area_under_roc(model.transform(test)) <= 1.0
 
 
+def test_penalised_logistic_regression_has_no_slope_left(spark, sf_dir):
+    """At the fitted weights the gradient of mean log-loss and penalty is next to nothing."""
+    train, _ = classify.split_train_test(inputs.labelled_documents(spark, sf_dir), "doc_id")
+    model = classify.fit_logistic(train, iterations=500, penalty=1.0, tolerance=1e-12)
+    rows = model.transform(train).select("features", "label", "probability").collect()
+    x = np.array([r.features.toArray() for r in rows])
+    gap = np.array([r.probability[1] - r.label for r in rows])
+    weights, spread = model.stages[-1].coefficients.toArray(), x.std(0, ddof=1)
+    slope = x.T @ gap / len(rows) + 1.0 * weights * spread**2
+    assert np.abs(slope[spread > 0] / spread[spread > 0]).max() < 1e-6
+    assert abs(gap.mean()) < 1e-6 and np.abs(weights).max() > 0
+
+
 def test_tuning_picks_the_best_setting(spark, sf_dir):
     train, test = classify.split_train_test(inputs.labelled_documents(spark, sf_dir), "doc_id")
     tuned = classify.tune(train, test, "doc_id", features=[100, 1000], doc_freqs=[0, 5])
@@ -213,6 +226,74 @@ def test_post_clusters(spark):
     assert {r.text[0] for r in spark.read.parquet(f"{base}/out/b_*").collect()} == {"a"}
 
 
+def vectors_of(df):
+    rows = clusters.featurize(df).select("id", "features").collect()
+    return {r.id: r.features.toArray() for r in rows}
+
+
+def lloyd(points, centres, steps):
+    """Steps by hand; ties go to the lowest centre, empty clusters stay where they are."""
+    centres = [np.array(c) for c in centres]
+    for _ in range(steps):
+        place = {i: int(np.argmin([((x - c) ** 2).sum() for c in centres])) for i, x in points.items()}
+        own = [[points[i] for i in points if place[i] == j] for j in range(len(centres))]
+        centres = [np.mean(x, 0) if x else c for x, c in zip(own, centres)]
+    return centres, {i: int(np.argmin([((x - c) ** 2).sum() for c in centres])) for i, x in points.items()}
+
+
+@pytest.fixture(scope="module")
+def prose(spark):
+    rng = np.random.default_rng(8)
+    words = [["sun", "sunny", "sand"], ["rain", "grey", "drain"], ["code", "node", "mode"]]
+    texts = [" ".join(rng.choice(words[i % 3], rng.integers(1, 12))) for i in range(90)]
+    texts += ["", "x", texts[0], texts[0]]
+    return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+
+
+def test_text_centres_are_those_of_steps_by_hand(spark, prose):
+    points = vectors_of(prose)
+    start = clusters.fit_text_centres(prose, 3, 0, seed=4, id_col="id")
+    # Starts are three different texts.
+    assert all(any((np.array(c) == x).all() for x in points.values()) for c in start.centres)
+    assert len(set(start.centres)) == 3
+    for steps in (1, 4):
+        got = clusters.fit_text_centres(prose, 3, steps, seed=4, id_col="id")
+        centres, place = lloyd(points, start.centres, steps)
+        np.testing.assert_allclose(got.centres, centres, rtol=1e-12)
+        placed = clusters.assign_clusters(got, prose).collect()
+        assert {r.id: r.cluster for r in placed} == place
+
+
+def test_text_centres_are_a_fixed_point_that_costs_less_than_the_start(spark, prose):
+    """Each text is nearest to its own centre, each centre the mean of its texts."""
+    points = vectors_of(prose)
+    cost = lambda centres: sum(min(((x - np.array(c)) ** 2).sum() for c in centres) for x in points.values())
+    start, got = (clusters.fit_text_centres(prose, 3, n, seed=4, id_col="id") for n in (0, 50))
+    again, _ = lloyd(points, got.centres, 1)
+    np.testing.assert_allclose(again, got.centres, rtol=1e-12)
+    assert cost(got.centres) < cost(start.centres)
+    sizes = clusters.cluster_sizes(clusters.assign_clusters(got, prose)).collect()
+    assert {r.cluster: float(r.posts) for r in sizes} == dict(enumerate(got.weights))
+
+
+def test_text_centres_do_not_depend_on_partitions_and_go_through_a_table(spark, prose):
+    one = clusters.fit_text_centres(prose.coalesce(1), 4, 5, id_col="id")
+    many = clusters.fit_text_centres(prose.repartition(7, "text"), 4, 5, id_col="id")
+    assert one == many
+    path = scratch_dir(spark, "text-centres")
+    clusters.save_centres(one, spark, path)
+    assert clusters.load_centres(spark, path) == one
+    assert clusters.fit_text_centres(prose, 4, 5, seed=2, id_col="id") != one
+
+
+def test_fewer_different_texts_than_centres(spark):
+    rows = [(1, "aa"), (2, "aa"), (3, "bb"), (4, None), (None, "cc")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    got = clusters.fit_text_centres(df, 5, 3, id_col="id")
+    assert sorted(got.weights) == [1.0, 2.0]
+    assert clusters.assign_clusters(got, df.filter("text is not null")).count() == 4
+
+
 def test_features_count_pairs(spark):
     df = spark.createDataFrame([("abab",), ("x",), ("",)], "text string")
     vectors = [r.features for r in clusters.featurize(df).collect()]
