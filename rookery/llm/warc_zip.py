@@ -17,12 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rookery.llm.rows import arrow_schema, materialise
-from rookery.llm.zip_archive import ZipRanges, filesystem
+from rookery.llm.zip_archive import ZipRanges, filesystem, qualified
 from rookery.session import scratch_dir
 
 # Bytes of records after which a task begins another archive, and bytes that one range read asks for.
 ARCHIVE_BYTES = 64 << 20
 RANGE_BYTES = 4 << 20
+# Ranges that one reading task takes on average, once there are more than cores.
+TASK_RANGES = 16
 DATE = "1970-01-01T00:00:00Z"
 _RECORD_ID = "urn:x-page:"
 _RECORDS = "archive/data.warc.gz"
@@ -140,8 +142,10 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE
     """Write the rows of ``record_kinds`` and return ``(path, records)`` of each archive.
 
     A task streams its rows into archives named after the task. Each appears under its name only when
-    it is whole, so a task that runs again replaces its own archives. ``folder`` is shared.
+    it is whole, so a task that runs again replaces its own archives. ``folder`` is shared; its paths
+    name the file system that Spark takes it from, and tasks open them there.
     """
+    folder = qualified(records.sparkSession, folder)
     schema = "path string, records long"
     arrow = arrow_schema(schema)
 
@@ -170,8 +174,9 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE
 def read_archives(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Records of the archives named in ``path``: id, url, type, size, digest, reference, payload.
 
-    One task per archive parses its directory and its index and gives ranges of whole records. Ranges
-    are dealt out anew and read one by one, so neither a large archive nor a member is ever held whole.
+    Each archive's directory and index are parsed where its path lies and give ranges of whole records.
+    The ranges are counted and dealt out evenly to at least as many tasks as there are cores, then read
+    one by one, so neither a large archive nor a member is ever held whole.
     """
     schema = "path string, begin long, length long"
     arrow = arrow_schema(schema)
@@ -193,8 +198,10 @@ def read_archives(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
                     [pa.array(c, f.type) for c, f in zip(zip(*rows), out)], schema=out
                 )
 
-    dealt = archives.select("path").mapInArrow(ranges, schema).repartition("path", "begin")
-    return dealt.mapInArrow(records, _READ)
+    found = materialise(archives.select("path").mapInArrow(ranges, schema), "ranges")
+    # A number keeps AQE from merging rows of forty bytes that stand for megabytes.
+    tasks = max(archives.sparkSession.sparkContext.defaultParallelism, -(-found.count() // TASK_RANGES))
+    return found.repartition(tasks).mapInArrow(records, _READ)
 
 
 def archive_ranges(path: str, range_bytes: int) -> list[tuple[int, int]]:

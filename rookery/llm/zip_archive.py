@@ -6,6 +6,7 @@ import struct
 from dataclasses import dataclass
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
 
 _END, _END64, _LOCATOR, _ENTRY, _LOCAL = (
     b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07", b"PK\x01\x02", b"PK\x03\x04"
@@ -13,13 +14,31 @@ _END, _END64, _LOCATOR, _ENTRY, _LOCAL = (
 _MOST_COMMENT = 65535
 
 
+# Names that Hadoop and Arrow give the same stores.
+_SAME = {"s3a": "s3", "s3n": "s3"}
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme under which Spark itself reaches it; asked on the driver.
+
+    A path without one belongs to the cluster's default file system, not to the machine of a task.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+
+
 def filesystem(path: str) -> tuple[fs.FileSystem, str]:
-    """The store of a path and the path in it: a local path, file:, hdfs:, s3: or gs: URI."""
+    """The store of a path and the path in it: a file:, hdfs:, viewfs:, s3a:, s3: or gs: URI, or a local path."""
     if path.startswith("file:"):
-        path = "/" + path.removeprefix("file:").lstrip("/")
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
     if "://" not in path:
         return fs.LocalFileSystem(), path
-    return fs.FileSystem.from_uri(path)
+    return fs.FileSystem.from_uri(arrow_uri(path))
+
+
+def arrow_uri(path: str) -> str:
+    scheme, _, rest = path.partition("://")
+    return f"{_SAME.get(scheme, scheme)}://{rest}"
 
 
 @dataclass(frozen=True)
