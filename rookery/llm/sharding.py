@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,16 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rookery.llm.rows import arrow_schema, materialise, text_bytes
+from rookery.llm.rows import arrow_schema, materialise
 
 # A group of equal texts up to this share of a shard is not cut; a cut moves to its nearer end.
 WHOLE_GROUP = 0.02
-
-
-def _crc32(texts: pa.Array) -> pa.Array:
-    raw, at = text_bytes(texts)
-    raw = raw.tobytes()
-    return pa.array([zlib.crc32(raw[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())], pa.int64())
+# Rows (a size and digests each) that one range partition holds on average.
+PART_ROWS = 250_000
 
 
 def _local_sums(rows: DataFrame) -> DataFrame:
@@ -74,10 +69,11 @@ def balanced_shards(
         F.col(id_col).alias("id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.md5(text.cast("binary")).alias("group"),
-        F.arrow_udf(_crc32, "long")(text).alias("text_crc32"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
     )
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Texts are read once; what is sampled and sorted are sizes and digests.
+    rows = materialise(rows, "sizes")
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // PART_ROWS))
     ordered = rows.repartitionByRange(parts, "group", "id").sortWithinPartitions("group", "id")
     rows = materialise(_local_sums(ordered), "shards")
     totals = rows.groupBy("part").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
