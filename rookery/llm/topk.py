@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -11,120 +9,114 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rookery.llm.rows import arrow_schema, materialise
+from rookery.llm.vectors import clipped, matrix, too_large, whole_numbers, whole_vectors
 
 SCALE = 64
 # A task holds at most about so many candidates and queries, whatever the table's size.
 SLICE_ROWS = 65_536
-QUERY_ROWS = 2_048
+QUERY_ROWS = 16_384
+SIDE_BYTES = 64 << 20
 _TILE = 64
-_DIMS = 16
-_EXACT = float(1 << 53)
-_LONG = (1 << 63) - 1
-
+_DIMS = 8
+# Candidates that are scored whole first, and those that meet the same least scores after them.
+_SEED_ROWS, _RUN_ROWS = 1_024, 8_192
+# Share of pairs below which pairs are cheaper than matrices.
+_SPARSE = 0.4
 
-def whole_numbers(vectors: DataFrame, id_col: str, vector_col: str, scale: int = SCALE) -> DataFrame:
-    """``(vec_id, v)``: floor(scale * x) as packed longs; unusable vectors and null ids are left out."""
-    schema = "vec_id long, v binary"
-    arrow = arrow_schema(schema)
 
-    def packed(cell) -> bytes | None:
-        x = np.floor(np.array(cell, np.float64) * scale)
-        if np.abs(x).max(initial=0) < 2.0**62:
-            return x.astype("<i8").tobytes()
-        # Rare and slow: numbers beyond a long keep every digit as text.
-        return b"?" + ",".join(str(int(y)) for y in x).encode()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, out = [], []
-            for vec_id, cell in zip(batch.column(0).to_pylist(), batch.column(1)):
-                cell = cell.values
-                if vec_id is None or cell is None or cell.null_count:
-                    continue
-                cell = np.asarray(cell, np.float64)
-                if np.isfinite(cell).all():
-                    ids.append(vec_id)
-                    out.append(packed(cell))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], schema=arrow)
-
-    return vectors.select(F.col(id_col).cast("long"), F.col(vector_col)).mapInArrow(run, schema)
-
-
-def _matrix(cells: pa.ChunkedArray) -> np.ndarray:
-    """Rows of whole numbers, shorter vectors filled with zeros; object numbers if a long is too small."""
-    raw = cells.to_pylist()
-    if any(len(x) % 8 for x in raw):
-        rows = [
-            [int(y) for y in x[1:].split(b",")] if len(x) % 8 else np.frombuffer(x, "<i8").tolist() for x in raw
-        ]
-        out = np.zeros((len(rows), max(map(len, rows))), object)
-        for i, row in enumerate(rows):
-            out[i, : len(row)] = row
-        return out
-    width = max((len(x) for x in raw), default=0)
-    return np.frombuffer(b"".join(x.ljust(width, b"\0") for x in raw), "<i8").reshape(len(raw), -1)
-
-
-def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k highest scores of one row, equal ones by least id; ``ids`` ascend."""
+def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k highest scores, equal ones by least id."""
+    some = np.arange(len(scores))
     if len(scores) > k:
-        least = np.partition(scores, len(scores) - k)[len(scores) - k]
-        some = np.flatnonzero(scores >= least)
-    else:
-        some = np.arange(len(scores))
-    order = some[np.argsort(-scores[some], kind="stable")][:k]
-    return order, scores[order]
+        some = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
+    return some[np.lexsort((ids[some], -scores[some]))[:k]]
+
+
+class Columns:
+    """Candidates in vertical layout, the dimensions that differ most first, and what the rest can add."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, dims: int) -> None:
+        self.ids, self.dims = ids, dims
+        self.order = np.argsort(-x.var(0), kind="stable")
+        self.columns = np.ascontiguousarray(x[:, self.order].T)
+        width = len(self.columns)
+        # No bound before half of the dimensions is worth its price.
+        half = width // 2 // dims * dims
+        self.firsts = [0, *range(half, width, dims)] if 0 < half < width else [0]
+        self.firsts.append(width)
+        self.rest = self.left_over(x[:, self.order])
 
+    def left_over(self, x: np.ndarray) -> np.ndarray:
+        """Length of each row from the first dimension of each block on."""
+        return np.stack([np.sqrt((x[:, f:] ** 2).sum(1)) for f in self.firsts])
 
-def search(q_ids, q, x_ids, x, k: int, dims: int = _DIMS) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+
+def _survivors(c: Columns, q: np.ndarray, q_rest: np.ndarray, some: slice, least: np.ndarray, done: list[int]):
+    """Pairs ``(query, candidate, score)`` of a tile and a run of candidates that reach ``least``.
+
+    Scores grow block by block. What the remaining dimensions can add is at most the product of the
+    remaining lengths, so a pair below its query's least score goes. While many are left the block is a
+    product of matrices; then only the pairs that are left grow.
+    """
+    x = c.columns[:, some]
+    partial, pairs = np.zeros((len(q), x.shape[1])), None
+    for b in range(len(c.firsts) - 1):
+        block = slice(c.firsts[b], c.firsts[b + 1])
+        width = block.stop - block.start
+        if pairs is None:
+            partial += q[:, block] @ x[block]
+            done[0] += width * partial.size
+            slack = q_rest[b + 1][:, None] * c.rest[b + 1][None, some]
+            alive = partial + slack * (1 + 1e-9) + 1e-6 >= least[:, None]
+            if b + 2 == len(c.firsts) or alive.mean() <= _SPARSE:
+                pairs = np.nonzero(alive)
+                scores = partial[pairs]
+        else:
+            scores = scores + np.einsum("di,di->i", q.T[block][:, pairs[0]], x[block][:, pairs[1]])
+            done[0] += width * len(scores)
+            slack = q_rest[b + 1][pairs[0]] * c.rest[b + 1][some][pairs[1]]
+            stay = scores + slack * (1 + 1e-9) + 1e-6 >= least[pairs[0]]
+            pairs, scores = (pairs[0][stay], pairs[1][stay]), scores[stay]
+    return pairs[0], pairs[1] + some.start, scores
+
+
+def search(q_ids, q, x_ids, x, k: int, dims: int = _DIMS, done: list[int] | None = None):
     """``(query id, ids, scores)`` of each query's k best among ``x``, never its own id.
 
-    Candidates lie in columns. Scores grow by one block of dimensions at a time; what the remaining
-    dimensions can add is at most the product of the remaining norms. A candidate whose upper bound
-    lies below the k-th best lower bound of every query of a tile leaves the columns for good.
+    The first candidates are scored whole; their k-th best score is what the next run of candidates
+    has to reach, and each run raises it. ``done`` gets the multiplications made.
     """
-    order = np.argsort(x_ids, kind="stable")
-    x_ids, x = x_ids[order], x[order]
-    width = max(q.shape[1], x.shape[1])
-    q, x = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (q, x))
-    large = float(abs(q).max(initial=0)) * float(abs(x).max(initial=0)) * width
-    if q.dtype == object or x.dtype == object or large >= _EXACT / 4:
-        q, x = q.astype(object), x.astype(object)
-        for query, row in zip(q_ids, q):
+    done = [0] if done is None else done
+    if too_large(q, x):
+        for query, row in zip(q_ids, whole_numbers(q)):
             own = x_ids != query
-            scores = x[own].dot(row)
-            best = np.array(sorted(range(len(scores)), key=lambda i: (-scores[i], i))[:k], int)
-            clipped = [min(max(int(scores[i]), -_LONG - 1), _LONG) for i in best]
-            yield query, x_ids[own][best], np.array(clipped, np.int64)
+            scores = clipped(whole_numbers(x[own]).dot(row) if own.any() else [])
+            best = np.lexsort((x_ids[own], ~scores))[:k]
+            yield query, x_ids[own][best], scores[best]
         return
-    columns, q = np.ascontiguousarray(x.T.astype(np.float64)), q.astype(np.float64)
-    firsts = list(range(0, width, dims)) + [width]
-
-    def rest(m: np.ndarray, axis: int) -> np.ndarray:
-        squares = [np.sqrt((m.take(range(f, width), axis) ** 2).sum(axis)) for f in firsts]
-        return np.stack(squares)
-
-    x_rest, q_rest = rest(columns, 0), rest(q, 1)
+    c = Columns(x_ids, x, dims)
+    q = q[:, c.order]
+    q_rest = c.left_over(q)
+    edges = [0, *range(min(_SEED_ROWS, len(x)), len(x), _RUN_ROWS), len(x)]
     for first in range(0, len(q), _TILE):
         tile, tile_ids = q[first : first + _TILE], q_ids[first : first + _TILE]
-        alive = np.arange(columns.shape[1])
-        partial = np.zeros((len(tile), len(alive)))
-        partial[tile_ids[:, None] == x_ids[None, :]] = -np.inf
-        for b in range(len(firsts) - 1):
-            some = slice(firsts[b], firsts[b + 1])
-            part = columns[some] if len(alive) == columns.shape[1] else columns[some][:, alive]
-            partial += tile[:, some] @ part
-            if b + 2 < len(firsts) and len(alive) > 4 * k:
-                slack = q_rest[b + 1, first : first + _TILE, None] * x_rest[b + 1, alive][None, :]
-                slack = slack * (1 + 1e-9) + 1
-                low = np.partition(partial - slack, len(alive) - k, axis=1)[:, len(alive) - k]
-                stay = (partial + slack >= low[:, None]).any(axis=0)
-                if stay.sum() < 0.7 * len(alive):
-                    alive, partial = alive[stay], partial[:, stay]
-        for i, query in enumerate(tile_ids):
-            real = np.flatnonzero(partial[i] > -np.inf)
-            best, scores = _best(partial[i, real], x_ids[alive[real]], k)
-            yield query, x_ids[alive[real[best]]], scores.astype(np.int64)
+        least = np.full(len(tile), -np.inf)
+        kept = [(np.empty(0, np.int64), np.empty(0)) for _ in tile]
+        for begin, end in zip(edges, edges[1:]):
+            rows, places, scores = _survivors(c, tile, q_rest[:, first : first + _TILE], slice(begin, end), least, done)
+            found = x_ids[places]
+            cuts = np.searchsorted(rows, np.arange(len(tile) + 1))
+            for i, query in enumerate(tile_ids):
+                own = slice(cuts[i], cuts[i + 1])
+                other = found[own] != query
+                ids = np.concatenate((kept[i][0], found[own][other]))
+                values = np.concatenate((kept[i][1], scores[own][other]))
+                best = _best(values, ids, k)
+                kept[i] = ids[best], values[best]
+                if len(best) == k:
+                    least[i] = values[best[-1]]
+        for query, (ids, values) in zip(tile_ids, kept):
+            yield query, ids, np.rint(values).astype(np.int64)
 
 
 def exact_top_k(
@@ -144,15 +136,17 @@ def exact_top_k(
     task sends k rows per query. Null vectors, vectors with null, NaN or infinite components and null
     ids take no part; an empty vector scores 0; shorter vectors count as filled with zeros. Rows that
     are repeated whole count once, and a row never meets another of its own id. A score beyond a long
-    is given as the nearest long. No rows give no rows; fewer than k candidates are all returned.
+    counts as the nearest long. No rows give no rows; fewer than k candidates are all returned.
     """
-    rows = materialise(whole_numbers(df, id_col, vector_col, scale).distinct(), "vectors")
+    rows = materialise(whole_vectors(df, scale, id_col, vector_col), "vectors")
     is_query = F.pmod("vec_id", F.lit(every)) == 0
-    count = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("q")).first()
+    count = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("q"), F.max(F.size("v")).alias("width")).first()
+    width = count["width"] or 0
     cores = df.sparkSession.sparkContext.defaultParallelism
-    slice_rows = min(slice_rows, max(2048, -(-count["n"] // max(1, cores))))
+    fits = max(1, SIDE_BYTES // (8 * max(1, width)))
+    slice_rows = min(slice_rows, fits, max(2048, -(-count["n"] // max(1, cores))))
     slices = max(1, -(-count["n"] // slice_rows))
-    blocks = max(1, -(-count["q"] // query_rows))
+    blocks = max(1, -(-count["q"] // min(query_rows, fits)))
 
     def spread(column: str, n: int):
         return F.pmod(F.xxhash64("vec_id", "v"), F.lit(n)).cast("int").alias(column)
@@ -169,7 +163,7 @@ def exact_top_k(
     def meet(key, left: pa.Table, right: pa.Table) -> pa.Table:
         found = [], [], []
         if left.num_rows and right.num_rows:
-            sides = [(np.asarray(t.column("vec_id")), _matrix(t.column("v"))) for t in (left, right)]
+            sides = [(np.asarray(t.column("vec_id")), matrix(t.column("v"), width)) for t in (left, right)]
             for query, ids, scores in search(*sides[0], *sides[1], k):
                 found[0].append(np.full(len(ids), query))
                 found[1].append(ids)

@@ -50,7 +50,7 @@ def matrix(cells: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
 
 def too_large(q: np.ndarray, x: np.ndarray) -> bool:
     """Whether inner products of rows of ``q`` and ``x`` may pass what doubles hold exactly."""
-    return np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * q.shape[1] >= EXACT / 256
+    return float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * q.shape[1] >= EXACT / 256
 
 
 def whole_numbers(m: np.ndarray) -> np.ndarray:

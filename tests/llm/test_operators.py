@@ -28,6 +28,7 @@ from rookery.llm import (
     topk,
     unit_dedup,
     warc_zip,
+    zip_archive,
 )
 from rookery.llm.components import components
 from rookery.llm.queries import tokenizer_path
@@ -550,6 +551,29 @@ def test_top_k_of_huge_numbers():
     assert found[0][2].tolist() == [2**63 - 1, 2**40 + 2**41]
 
 
+@pytest.mark.parametrize(("spread", "most"), [(1.0, 0.9), (0.3, 0.7)])
+def test_top_k_leaves_work_out_and_loses_nothing(spread, most):
+    """Without any structure a tenth of the products goes, around centres a third."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(0, 40, (50, 64)) * (spread < 1)
+    x = np.floor(centres[rng.integers(0, 50, 40_000)] + rng.normal(0, 40 * spread, (40_000, 64)))
+    ids, q, done = np.arange(40_000), x[:128], [0]
+    found = list(topk.search(ids[:128], q, ids, x, 20, done=done))
+    scores = q @ x.T
+    scores[np.arange(128), np.arange(128)] = -np.inf
+    for (query, best, values), row in zip(found, scores):
+        want = np.lexsort((ids, -row))[:20]
+        assert best.tolist() == want.tolist() and values.tolist() == row[want].tolist()
+    assert done[0] < most * q.size * 40_000
+
+
+def test_top_k_with_clashing_names(spark):
+    names = "key long, vec array<double>, vec_id string, v string, slice int, block int, score int, rank int, c0 int"
+    df = spark.createDataFrame([(20 * i, [float(i), 1.0], "a", "b", 1, 2, 3, 4, 5) for i in range(5)], names)
+    got = topk.exact_top_k(df, k=1, id_col="key", vector_col="vec").collect()
+    assert sorted((r.query_id, r.vec_id) for r in got) == [(0, 20), (20, 80), (40, 80), (60, 80), (80, 60)]
+
+
 @pytest.fixture(scope="module")
 def pages(spark):
     rows = [(i, f"http://h/{i} ü%", f"<p>{'x' * (i % 7) * 50}é</p>") for i in range(60)]
@@ -578,6 +602,34 @@ def test_warc_round_trip(pages, least):
     assert sorted(map(repr, cells)) == sorted(map(repr, want))
 
 
+def test_archives_are_read_by_as_many_tasks_as_there_are_cores(spark, tmp_path):
+    rows = spark.range(400).select(
+        F.col("id").alias("page_id"), F.lit("u").alias("url"), F.concat(F.col("id").cast("string"), F.repeat(F.md5(F.col("id").cast("string")), 20)).alias("html")
+    )
+    # In a folder that the shared file system names, in ranges of a few records.
+    written = warc_zip.write_archives(warc_zip.record_kinds(rows), f"file:{tmp_path}/wacz", archive_bytes=50_000)
+    assert all(r.path.startswith("file:") for r in written.collect())
+    read = warc_zip.read_archives(written, range_bytes=4_000)
+    where = read.select("page_id", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r.page_id for r in where) == list(range(400))
+    assert len({r.task for r in where}) >= spark.sparkContext.defaultParallelism
+
+
+def test_archive_paths_belong_to_the_store_of_spark(spark):
+    assert zip_archive.qualified(spark, "/a/b") == "file:/a/b"
+    assert zip_archive.arrow_uri("s3a://bucket/x") == "s3://bucket/x"
+    assert zip_archive.arrow_uri("hdfs://node:8020/x") == "hdfs://node:8020/x"
+
+
+def test_very_long_pages_and_clashing_columns(spark):
+    names = "page_id long, url string, html string, path string, kind string, digest string, first string, n long"
+    rows = [(i, "u", "é" * 3_000_000 if i < 2 else "x", *"abcd", 1) for i in range(4)]
+    got = warc_zip.archive_round_trip(spark.createDataFrame(rows, names)).collect()
+    assert sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in got) == [
+        (0, 6_000_000, "response", None), (1, 6_000_000, "revisit", 0), (2, 1, "response", None), (3, 1, "revisit", 2)
+    ]
+
+
 def test_zip64_directories_and_compressed_members(tmp_path, monkeypatch):
     path = tmp_path / "a.zip"
     monkeypatch.setattr(zipfile, "ZIP64_LIMIT", 10)
