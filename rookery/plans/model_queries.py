@@ -308,6 +308,28 @@ def _(spark, sf_dir):
     return rows.withColumns({c: F.round(c, 6) for c in ("accuracy", "f1")})
 
 
+@query(
+    "nb_stream_tuned",
+    _hashed_sql(
+        """SELECT 0::BIGINT AS batch_id, 'tuned' AS status,
+                  (SELECT count(*) FROM docs WHERE train) AS train, (SELECT count(*) FROM docs WHERE NOT train) AS test,
+                  round(b.accuracy, 6) AS accuracy, round(b.f1, 6) AS f1, round(t.f1, 6) AS tuned_f1
+           FROM rated b, rated t, best_one WHERE b.fit = -1 AND t.fit = 3 * best_one.setting + 2""",
+        docs=_POST_DOCS_SQL.replace(
+            "0 AS fold", "CAST(('0x' || substr(md5(post_id || '-12346'), 1, 8)) AS BIGINT) % 2 AS fold"
+        ),
+        chain=_GRID_FITS,
+    ),
+)
+def _(spark, sf_dir):
+    """The classifier of a batch, tuned by folds of that batch."""
+    base = scratch_dir(spark, "nb")
+    labelled = labelled_text(inputs.post_text_stream(spark, sf_dir), inputs.short_weights(spark))
+    drain(train_per_batch(labelled, f"{base}/out", f"{base}/checkpoint", "post_id", with_tuning=True))
+    rows = spark.read.schema(RESULT_SCHEMA).parquet(f"{base}/out/batch_*")
+    return rows.withColumns({c: F.round(c, 6) for c in ("accuracy", "f1", "tuned_f1")})
+
+
 # With a penalty the best fit is unique, so SQL finds it by steps of its own.
 _PENALTY = 1.0
 _LOGISTIC = f""", {weighted_terms(_BASE)}, {logistic(_PENALTY, 2000)}"""

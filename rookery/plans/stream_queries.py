@@ -11,7 +11,20 @@ from rookery.plans.registry import ORACLES, query
 from rookery.session import scratch_dir
 from rookery.sources.tables import replay_table, table
 from rookery.streaming import trends as stream_trends
-from rookery.streaming.batches import BatchWriter, drain, run_until, write_batches
+from rookery.streaming.batches import (
+    BATCH_SECONDS,
+    BatchWriter,
+    count_and_write,
+    drain,
+    every,
+    read_previews,
+    reads_kept_rows,
+    run_batches,
+    run_until,
+    waited,
+    write_batches,
+    write_previews,
+)
 
 
 def _written(spark, stream, fmt="parquet", schema=None, **options):
@@ -87,6 +100,70 @@ def _(spark, sf_dir):
     ).select("kept", "distinct_kept", (F.col("before") <= 1000).alias("stopped_in_time"))
 
 
+_PARTS_SQL = f"{inputs.POST_TEXTS_SQL}, parts AS (SELECT *, CAST(epoch(ts) AS BIGINT) % 7200 // 1800 AS part FROM post_texts)"
+
+
+def _landed_parts(spark, sf_dir, base):
+    """The posts in four files, landed one after the other, and a stream that takes one per batch."""
+    posts = inputs.post_texts_from(table(spark, sf_dir, "documents"))
+    for part in range(4):
+        own = posts.filter(F.expr("(unix_timestamp(ts) % 7200) div 1800") == part)
+        own.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    return spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+
+
+@query(
+    "stream_preview",
+    f"""WITH {_PARTS_SQL}
+        SELECT CAST(part AS INTEGER) AS batch_id, post_id, lang, CAST(place AS INTEGER) AS place FROM (
+          SELECT *, row_number() OVER (PARTITION BY part ORDER BY post_id) AS place FROM parts) WHERE place <= 10""",
+)
+def _(spark, sf_dir):
+    """The first rows of each batch of a stream."""
+    base = scratch_dir(spark, "preview")
+    stream = _landed_parts(spark, sf_dir, base).select("post_id", "lang")
+    drain(write_previews(stream, 10, ["post_id"], f"{base}/out", f"{base}/checkpoint"))
+    return read_previews(spark, f"{base}/out")
+
+
+@query(
+    "stream_interval",
+    f"""WITH {_PARTS_SQL}
+        SELECT part AS batch_id, count(*) AS rows, true AS in_time FROM parts GROUP BY part""",
+)
+def _(spark, sf_dir):
+    """Batches of a timed trigger: their rows, and whether each waited for the next whole interval."""
+    base = scratch_dir(spark, "interval")
+    stream = _landed_parts(spark, sf_dir, base)
+    # Kept, as rows that are read twice are reported twice.
+    writer = BatchWriter(f"{base}/out", "batch", "parquet", reuse=True)
+    report = run_batches(write_batches(stream, writer, f"{base}/checkpoint", every(BATCH_SECONDS)), 4)
+    return report.select("batch_id", "rows", waited(BATCH_SECONDS).alias("in_time"))
+
+
+@query(
+    "stream_reuse",
+    f"""WITH {_PARTS_SQL}
+        SELECT part AS batch_id, lang, count(*) AS posts, true AS kept, true AS released
+        FROM parts GROUP BY part, lang""",
+)
+def _(spark, sf_dir):
+    """Counts made from the kept rows of each batch; that they are read from there, and released."""
+    base = scratch_dir(spark, "reuse")
+    seen = []
+
+    def by_lang(rows):
+        counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("posts"))
+        seen.append((rows, reads_kept_rows(rows) and reads_kept_rows(counts)))
+        return counts.withColumn("kept", F.lit(seen[-1][1]))
+
+    stream = _landed_parts(spark, sf_dir, base)
+    drain(count_and_write(stream, f"{base}/out", f"{base}/checkpoint", {"langs": by_lang}))
+    released = not any(rows.storageLevel.useMemory or reads_kept_rows(rows) for rows, _ in seen)
+    counts = spark.read.parquet(f"{base}/out/langs")
+    return counts.select(F.col("batch_id").cast("long"), "lang", "posts", "kept", F.lit(released).alias("released"))
+
+
 # --- windows ---------------------------------------------------------------------------------
 
 WINDOWS_SQL = f"""{inputs.POST_TEXTS_SQL},

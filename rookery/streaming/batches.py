@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import datetime as dt
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException, StreamingQueryException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 from pyspark.storagelevel import StorageLevel
 
 from rookery.operators.rollups import preview
@@ -191,6 +194,105 @@ def preview_batches(
     return for_each_batch(stream, first_rows, checkpoint, trigger)
 
 
+def write_previews(
+    stream: DataFrame,
+    n: int,
+    order_by: Sequence[str],
+    path: str,
+    checkpoint: str,
+    trigger: dict = AVAILABLE_NOW,
+) -> StreamingQuery:
+    """Keep the first ``n`` rows of each batch, with their ``place``, in a table keyed by ``batch_id``.
+
+    A replayed batch overwrites its own folder; ``read_previews`` reads the table.
+    """
+
+    def first_rows(batch: DataFrame, batch_id: int) -> None:
+        first = preview(batch, n, order_by)
+        # At most n rows, which one task numbers.
+        place = F.row_number().over(Window.orderBy(*order_by))
+        out = first.withColumn("place", place).coalesce(1)
+        out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return for_each_batch(stream, first_rows, checkpoint, trigger)
+
+
+def read_previews(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+BATCH_REPORT = "batch_id bigint, rows bigint, started timestamp"
+
+
+def batch_report(query: StreamingQuery) -> DataFrame:
+    """``(batch_id, rows, started)`` of the batches with rows that the query's progress still lists."""
+    spark = SparkSession.active()
+    rows = [
+        (p["batchId"], p["numInputRows"], dt.datetime.fromisoformat(p["timestamp"].replace("Z", "+00:00")))
+        for p in query.recentProgress
+        if p["numInputRows"]
+    ]
+    return spark.createDataFrame(rows, BATCH_REPORT)
+
+
+def run_batches(query: StreamingQuery, batches: int, poll_seconds: float = 0.1) -> DataFrame:
+    """Let a query with a timed trigger do so many batches with rows, stop it, and report them."""
+    while not query.awaitTermination(poll_seconds):
+        if sum(bool(p["numInputRows"]) for p in query.recentProgress) >= batches:
+            query.stop()
+    return batch_report(query)
+
+
+def waited(seconds: int) -> Column:
+    """For rows of a report: whether no batch began before the first whole interval after the last one.
+
+    A batch that takes longer than the interval is followed at once, and the one after that waits.
+    """
+    interval, started = 1000 * seconds, F.unix_millis("started")
+    # A report has a row per batch that the progress lists, a hundred by default.
+    last = F.lag(started).over(Window.orderBy("batch_id"))
+    return F.coalesce(started >= (F.floor(last / interval) + 1) * interval, F.lit(True))
+
+
+@contextmanager
+def kept(batch: DataFrame) -> Iterator[DataFrame]:
+    """The batch, computed once for all that read it, and released at the end whatever happens."""
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield batch
+    finally:
+        batch.unpersist(blocking=True)
+
+
+def reads_kept_rows(df: DataFrame) -> bool:
+    """Whether every leaf of a new plan of ``df`` is a kept relation, so nothing is computed again."""
+    return _only_kept(df.select("*")._jdf.queryExecution().withCachedData())
+
+
+def _only_kept(plan) -> bool:
+    children = [plan.children().apply(i) for i in range(plan.children().size())]
+    if not children:
+        return plan.nodeName() == "InMemoryRelation"
+    return all(_only_kept(child) for child in children)
+
+
+def count_and_write(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    measures: dict[str, Callable[[DataFrame], DataFrame]],
+    trigger: dict = AVAILABLE_NOW,
+) -> StreamingQuery:
+    """Write each batch and, from the same kept rows, one table per measure, all keyed by ``batch_id``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with kept(batch) as rows:
+            for name, out in {"rows": rows, **{n: make(rows) for n, make in measures.items()}}.items():
+                out.write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
+
+    return for_each_batch(stream, write, checkpoint, trigger)
+
+
 class StateTable:
     """State rows per micro-batch, in a ring of ``keep`` folders.
 

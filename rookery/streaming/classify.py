@@ -9,7 +9,10 @@ from pyspark.storagelevel import StorageLevel
 
 from rookery.operators.bounds import spread
 from rookery.operators.classify import (
+    FOLDS,
+    SEED,
     fit_sentiment,
+    hash_bucket,
     in_train,
     metrics,
     score,
@@ -24,6 +27,14 @@ RESULT_SCHEMA = (
 )
 
 
+def _enough_for_folds(train: DataFrame, id_col: str) -> bool:
+    fold = hash_bucket(id_col, SEED + 1, FOLDS)
+    cells = []
+    for i in range(FOLDS):
+        cells += [F.count_if(fold == i), F.count_distinct(F.when(fold != i, F.col("label"))) - 1]
+    return all(train.agg(*[c.alias(f"c{i}") for i, c in enumerate(cells)]).first())
+
+
 def train_per_batch(
     labelled: DataFrame,
     path: str,
@@ -35,7 +46,9 @@ def train_per_batch(
     """Split, fit and evaluate each batch of ``(id, text, label)``; one result row per batch.
 
     A batch whose training part has fewer than two classes, or that has no test part, is
-    recorded as skipped.
+    recorded as skipped. With tuning, the grid is searched by folds of the batch's own training part;
+    a batch that has an empty fold, or one without which fewer than two classes are left, is trained
+    and recorded as untuned.
     """
 
     def fit_batch(batch: DataFrame, batch_id: int) -> None:
@@ -53,7 +66,8 @@ def train_per_batch(
                 result = metrics(score(fit_sentiment(train), test)).first()
                 row[1], row[4], row[5] = "trained", result["accuracy"], result["f1"]
                 if with_tuning:
-                    row[6] = tune(train, test, id_col).tuned_metric
+                    row[1] = "tuned" if _enough_for_folds(train, id_col) else "untuned"
+                    row[6] = tune(train, test, id_col).tuned_metric if row[1] == "tuned" else None
             out = batch.sparkSession.createDataFrame([tuple(row)], RESULT_SCHEMA).coalesce(1)
             out.write.mode("overwrite").parquet(f"{path}/batch_{batch_id}")
         finally:

@@ -1,7 +1,9 @@
 import datetime as dt
+import hashlib
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from rookery.operators import trends
 from rookery.operators.clusters import Centres, kmeans_update
@@ -19,9 +21,15 @@ from rookery.streaming.batches import (
     StateTable,
     drain,
     every,
+    kept,
     preview_batches,
+    read_previews,
+    reads_kept_rows,
+    run_batches,
     run_until,
+    waited,
     write_batches,
+    write_previews,
 )
 from rookery.streaming.classify import RESULT_SCHEMA, train_per_batch
 
@@ -104,6 +112,68 @@ def test_preview_of_each_batch(spark, base):
     assert seen == {0: ["a", "b"]}
 
 
+def test_previews_are_kept_by_batch_and_replays_overwrite(spark, base):
+    for lines in (["c", "a", "b"], ["z", "y"], []):
+        land(spark, f"{base}/in", lines)
+        stream = read_line_stream(spark, f"{base}/in")
+        drain(write_previews(stream, 2, ["value"], f"{base}/out", f"{base}/checkpoint"))
+    rows = lambda: {(r.batch_id, r.place, r.value) for r in read_previews(spark, f"{base}/out").collect()}
+    want = {(0, 1, "a"), (0, 2, "b"), (1, 1, "y"), (1, 2, "z")}
+    assert rows() == want
+    # A batch that is not committed is done again, into its own folder.
+    for log in ("commits", "offsets"):
+        last = sorted(int(f) for f in os.listdir(f"{base}/checkpoint/{log}") if f.isdigit())[-1]
+        assert last >= 1
+    for name in (f"{last}", f".{last}.crc"):
+        os.remove(f"{base}/checkpoint/commits/{name}")
+    drain(write_previews(read_line_stream(spark, f"{base}/in"), 2, ["value"], f"{base}/out", f"{base}/checkpoint"))
+    assert rows() == want
+
+
+def test_a_timed_trigger_spaces_its_batches(spark, base):
+    for lines in (["a"], ["b", "c"], ["d"]):
+        land(spark, f"{base}/in", lines)
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{base}/in")
+    writer = BatchWriter(f"{base}/out", "b", reuse=True)
+    report = run_batches(write_batches(stream, writer, f"{base}/checkpoint", every(2)), 3)
+    rows = report.withColumn("waited", waited(2)).orderBy("batch_id").collect()
+    assert [(r.rows, r.waited) for r in rows] == [(1, True), (2, True), (1, True)]
+    # Batches that follow each other without a pause have not waited.
+    early = report.withColumn("started", F.timestamp_millis(F.lit(1000) + F.col("batch_id")))
+    assert [r.w for r in early.orderBy("batch_id").select(waited(2).alias("w")).collect()] == [True, False, False]
+
+
+def test_kept_rows_are_read_by_all_and_released(spark):
+    frame = spark.range(10).withColumn("x", F.rand())
+    with pytest.raises(RuntimeError), kept(frame) as rows:
+        assert reads_kept_rows(rows) and reads_kept_rows(rows.groupBy("id").count())
+        assert not reads_kept_rows(rows.join(spark.range(3), "id"))
+        assert rows.agg(F.sum("x")).first() == rows.agg(F.sum("x")).first()
+        raise RuntimeError
+    assert not frame.storageLevel.useMemory and not reads_kept_rows(frame)
+
+
+def test_batches_too_small_for_the_folds_are_trained_but_not_tuned(spark, base):
+    schema = "id long, text string, label double"
+    words = {0.0: "grey dull slow", 1.0: "bright quick kind"}
+    enough = [(i, words[i % 2 * 1.0], i % 2 * 1.0) for i in range(60)]
+    # One training row of the second class: without its fold there is only the first class.
+    ids = [i for i in range(100, 400) if classify_bucket(i, 12345, 100) < 60]
+    few = [(i, words[0.0], 0.0) for i in ids[:6]] + [(ids[6], words[1.0], 1.0)]
+    few += [(i, words[0.0], 0.0) for i in range(100, 140) if classify_bucket(i, 12345, 100) >= 60]
+    for rows in (enough, few):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{base}/in")
+        drain(train_per_batch(stream, f"{base}/out", f"{base}/checkpoint", "id", with_tuning=True))
+    got = spark.read.schema(RESULT_SCHEMA).parquet(f"{base}/out/batch_*").orderBy("batch_id").collect()
+    assert [(r.batch_id, r.status, r.tuned_f1) for r in got] == [(0, "tuned", 1.0), (1, "untuned", None)]
+    assert got[1].f1 is not None
+
+
+def classify_bucket(i, seed, buckets):
+    return int(hashlib.md5(f"{i}-{seed}".encode()).hexdigest()[:8], 16) % buckets
+
+
 def test_post_stream_and_language_filter(spark, sf_dir, base):
     inputs.posts(spark, sf_dir).write.json(f"{base}/in")
     stream = lang_filter(read_post_stream(spark, f"{base}/in", POST_SCHEMA), "en")
