@@ -36,6 +36,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def discard(frame: DataFrame) -> None:
+    """Delete a table that ``materialise`` returned, once all that reads it is written itself."""
+    spark = frame.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Packed:
     """A frame whose own columns are out of the way, whatever their names.
 

@@ -1,4 +1,4 @@
-"""Exact removal of long repeated byte strings by content anchors and hashes of windows."""
+"""Exact removal of long repeated byte strings by depth-limited radix passes over suffixes."""
 
 from __future__ import annotations
 
@@ -10,25 +10,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rookery.llm import suffix_scan as scan
-from rookery.llm.rows import Packed, arrow_schema, materialise, slabs, text_bytes
+from rookery.llm.rows import Packed, arrow_schema, discard, materialise, slabs, text_bytes
 from rookery.llm.spans import cut, merged, removed_bytes, removed_spans
 
 LENGTH = 400
-_ROWS = "i long, u long, k1 long, k2 long, start int, count int, back int"
+_ROWS = "d0 long, d1 long, u long, k1 long, k2 long, start int, count int, back int"
+_SINGLE = "d0 long, d1 long, d2 long, d3 long, k1 long, k2 long, start int, count int"
 # Offsets fill 24 bits of a slab; longer texts are taken in pieces that overlap by a window.
 _MOST = 8 << 20
 _SLAB = 256 << 10
 
 
 def _batch(found: scan.Ranges, k1, k2, shift, schema) -> pa.RecordBatch:
-    cells = [
-        pa.array(found.shared.view(np.int64)),
-        pa.array(found.whole.view(np.int64)),
-        pa.array(k1),
-        pa.array(k2),
-        *(pa.array(x.astype(np.int32)) for x in (found.start - shift, found.count, found.back)),
-    ]
-    return pa.RecordBatch.from_arrays(cells, schema=schema)
+    cells = {f"d{i}": d.view(np.int64) for i, d in enumerate(found.digits)}
+    cells |= {"u": found.whole.view(np.int64), "k1": k1, "k2": k2}
+    cells |= {"start": found.start - shift, "count": found.count, "back": found.back}
+    return pa.RecordBatch.from_arrays([pa.array(cells[f.name].astype(f.type.to_pandas_dtype())) for f in schema], schema=schema)
 
 
 def _first_pass(texts: DataFrame, length: int) -> DataFrame:
@@ -52,8 +49,9 @@ def _first_pass(texts: DataFrame, length: int) -> DataFrame:
 
 
 def _next_pass(texts: DataFrame, length: int, single: bool) -> DataFrame:
-    """Digests of narrower rows; ``texts`` has ``cells``, the rows of each text to be cut."""
-    arrow = arrow_schema(_ROWS)
+    """Digits of narrower blocks; ``texts`` has ``cells``, the blocks of each text to be cut."""
+    schema = _SINGLE if single else _ROWS
+    arrow = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,39 +72,59 @@ def _next_pass(texts: DataFrame, length: int, single: bool) -> DataFrame:
                         low, high = start[few[0]], ends[few].max()
                         piece = text[low:high]
                         if single:
-                            found = scan.windows(piece, start[few] - low, count[few], length)
+                            found = scan.suffixes(piece, start[few] - low, count[few], length)
                         else:
                             found = scan.ranges(piece, start[few] - low, count[few], back[few], length)
                         one = np.ones(len(found.row), np.int64)
                         yield _batch(found, k1[n] * one, k2[n] * one, -low, arrow)
 
-    return texts.select("k1", "k2", "text", "cells").mapInArrow(run, _ROWS)
+    return texts.select("k1", "k2", "text", "cells").mapInArrow(run, schema)
+
+
+def _radix(rows: DataFrame, digits: list[str]) -> DataFrame:
+    """The written ``rows`` that share all ``digits`` with another, most significant digit first.
+
+    A pass deals the rows out by one more digit; rows that are alone in their group leave, so the next
+    pass sees fewer. Groups are in the order of their digests, which is all that equal groups need.
+    """
+    for n in range(1, len(digits) + 1):
+        key = digits[:n]
+        groups = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*key)
+        groups = materialise(groups, "digits")
+        left = materialise(rows.join(groups, key, "left_semi"), "suffixes")
+        # What a pass has read is not needed by the next one: the disk holds two passes at most.
+        discard(rows)
+        discard(groups)
+        rows = left
+    return rows
 
 
 def _settled(rows: DataFrame) -> DataFrame:
-    """Rows of a pass that stay: ``mark`` if all windows repeat, ``next`` if they have to be cut.
+    """Blocks of a pass that stay: ``mark`` if all suffixes repeat, ``next`` if they have to be cut.
 
-    Rows alone under ``i`` leave first; they are most. Of those equal in ``i`` and ``u`` one stands
-    for all as a partner in the next pass, so thousands of copies cost as much as two.
+    Of blocks equal in their digits and as a whole one stands for all as a partner in the next pass, so
+    thousands of copies cost as much as two.
     """
-    twice = rows.groupBy("i").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("i")
-    twice = materialise(twice, "digits")
-    rows = materialise(rows.join(twice, "i", "left_semi"), "suffixes")
-    classes = rows.groupBy("i", "u").agg(
+    key = ["d0", "d1"]
+    rows = _radix(rows, key)
+    classes = rows.groupBy(*key, "u").agg(
         F.count(F.lit(1)).alias("members"), F.min(F.struct("k1", "k2", "start")).alias("first")
     )
     classes = materialise(classes, "classes")
-    kinds = materialise(classes.groupBy("i").agg(F.count(F.lit(1)).alias("kinds")), "kinds")
-    classes = materialise(classes.join(kinds, "i").filter("members > 1 or kinds > 1"), "classes")
+    kinds = materialise(classes.groupBy(*key).agg(F.count(F.lit(1)).alias("kinds")), "kinds")
+    several = materialise(classes.join(kinds, key).filter("members > 1 or kinds > 1"), "classes")
     mark = F.col("members") > 1
     stands = ~mark | (F.struct("k1", "k2", "start") == F.col("first"))
-    return materialise(
-        rows.join(classes, ["i", "u"]).select(
+    settled = materialise(
+        rows.join(several, [*key, "u"]).select(
             "k1", "k2", "start", "count", "back",
             mark.alias("mark"), ((F.col("kinds") > 1) & stands).alias("next"),
         ),
         "settled",
     )
+    for done in (rows, classes, kinds, several):
+        discard(done)
+    return settled
 
 
 def _with_cells(texts: DataFrame, settled: DataFrame) -> DataFrame:
@@ -123,21 +141,24 @@ def _with_cells(texts: DataFrame, settled: DataFrame) -> DataFrame:
 def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """``(k1, k2, a, b)``: byte spans that cover exactly the windows which start twice or more.
 
-    ``texts`` is the frame of a ``Packed``. Nothing is ordered: windows are grouped by hashes, and
-    each pass cuts only groups that are still equal. In the first pass a row stands for all
-    windows of one content anchor, about a hundred; a row per byte, as a radix order of all
-    suffixes needs, would be 30 times the input. What is neither alone nor equal as a whole is cut into
-    ranges of 16 windows and then into single windows, whose groups are the repeated windows.
+    ``texts`` is the frame of a ``Packed``. Suffixes are put in order through their first ``length``
+    bytes by passes over digits, the most significant first, and equal groups are the repeated windows.
+    A digit is a range of bytes, by 64 bits of digest. A row per byte and pass would be 30 times the
+    input, so neighbouring suffixes with the same content anchor go as one block, about a hundred,
+    whose digits are the bytes that they have in common. Blocks that share no digits hold no repeated
+    window. Blocks that come out of the passes equal as a whole are groups of equal suffixes, one by
+    one. The others are cut into blocks of 16 and, where these are not equal either, into single
+    suffixes: their four digits are the whole window. So every repeated window comes out of a digit
+    pass, that of its block or its own; the anchors only say which suffixes go together.
     """
     if length < 64:
         raise ValueError("a window has at least 64 bytes")
     first = _settled(materialise(_first_pass(texts.select("k1", "k2", "text"), length), "suffixes"))
     some = materialise(_with_cells(texts, first), "texts")
     second = _settled(materialise(_next_pass(some, length, False), "suffixes"))
-    last = materialise(_next_pass(_with_cells(some, second), length, True), "suffixes")
-    twice = last.groupBy("i", "u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("i", "u")
-    twice = materialise(twice, "digits")
-    third = last.join(twice, ["i", "u"], "left_semi")
+    single = materialise(_next_pass(_with_cells(some, second), length, True), "suffixes")
+    discard(some)
+    third = _radix(single, [f"d{i}" for i in range(scan.DIGITS)])
     whole = first.filter("mark").union(second.filter("mark")).select("k1", "k2", "start", "count")
     return whole.union(third.select("k1", "k2", "start", "count")).select(
         "k1", "k2", F.col("start").alias("a"), (F.col("start") + F.col("count") + (length - 1)).alias("b")

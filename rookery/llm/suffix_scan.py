@@ -1,9 +1,9 @@
-"""Hashes of byte windows, in numpy: content anchors and the digests below them.
+"""Digits of suffixes, in numpy: content anchors and the digests of byte ranges below them.
 
-A window is a string of ``length`` bytes. Its anchor is the leftmost place of the least 16-byte hash
-among its first ``REACH`` places, so equal windows have their anchors at the same offset, and
-neighbouring windows mostly share one. Windows of one anchor form a run, which goes by the
-hashes at its anchor as one row.
+A suffix counts through its first ``length`` bytes, its window. Its anchor is the leftmost place of the
+least 16-byte hash among its first ``REACH`` places, so equal windows have their anchors at the same
+offset, and neighbouring suffixes mostly share one. Suffixes of one anchor form a run, a block that has
+the bytes from the anchor on in common.
 """
 
 from __future__ import annotations
@@ -75,23 +75,30 @@ RANGE = 16
 
 @dataclass
 class Ranges:
-    """Rows of a pass: neighbouring windows from ``start`` on, ``back`` bytes before their anchor.
+    """Blocks of neighbouring suffixes from ``start`` on, ``back`` bytes before their anchor.
 
-    ``shared`` digests bytes that every window at these offsets holds; ``whole`` digests all bytes
-    of the row's windows and where they lie around the anchor. Different ``shared`` means that no
-    window is equal, equal ``shared`` and ``whole`` that the windows are pairwise equal.
+    ``digits`` are the byte ranges that every suffix of the block holds, from the first one on, each by
+    64 bits of digest; ``whole`` digests all bytes of the block's windows and where they lie around the
+    anchor. A different digit means that no suffix is equal, equal digits and ``whole`` that the
+    suffixes are pairwise equal. A block of one suffix has all of its window in its digits.
     """
 
     row: np.ndarray
     start: np.ndarray
     count: np.ndarray
     back: np.ndarray
-    shared: np.ndarray
+    digits: list[np.ndarray]
     whole: np.ndarray
 
 
 _NONE = np.empty(0, np.int64)
-EMPTY = Ranges(_NONE, _NONE, _NONE, _NONE, _NONE.view(np.uint64), _NONE.view(np.uint64))
+EMPTY = Ranges(_NONE, _NONE, _NONE, _NONE, [_NONE.view(np.uint64)] * 2, _NONE.view(np.uint64))
+
+
+def _digits(h: Hashes, start: np.ndarray, length: int, n: int) -> list[np.ndarray]:
+    """``length`` bytes from each start on as ``n`` digits of nearly equal width."""
+    edges = [length * i // n for i in range(n + 1)]
+    return [mixed(h.of(start + a, b - a)) for a, b in zip(edges, edges[1:])]
 
 
 def _whole(h: Hashes, start: np.ndarray, count: np.ndarray, back: np.ndarray, length: int) -> np.ndarray:
@@ -100,7 +107,7 @@ def _whole(h: Hashes, start: np.ndarray, count: np.ndarray, back: np.ndarray, le
 
 
 def runs(raw: np.ndarray, at: np.ndarray, length: int) -> Ranges:
-    """First pass: one row per run of windows with the same anchor, in the texts ``at`` cuts out."""
+    """First pass: one row per run of suffixes with the same anchor, in the texts ``at`` cuts out."""
     sizes = np.diff(at)
     long_rows = np.flatnonzero(sizes >= length)
     if not len(long_rows):
@@ -120,9 +127,9 @@ def runs(raw: np.ndarray, at: np.ndarray, length: int) -> Ranges:
     start = np.flatnonzero(new)
     count = np.add.reduceat(valid.astype(np.int64), start)
     back = anchor[start] - start
-    shared = mixed(h.of(anchor[start], length - reach + 1))
+    digits = _digits(h, anchor[start], length - reach + 1, 2)
     row = np.searchsorted(at, start, side="right") - 1
-    return Ranges(row, start, count, back, shared, _whole(h, start, count, back, length))
+    return Ranges(row, start, count, back, digits, _whole(h, start, count, back, length))
 
 
 def ranges(raw: np.ndarray, start: np.ndarray, count: np.ndarray, back: np.ndarray, length: int) -> Ranges:
@@ -137,16 +144,19 @@ def ranges(raw: np.ndarray, start: np.ndarray, count: np.ndarray, back: np.ndarr
     least = np.maximum(back[row] - count[row] + 1, block * RANGE)
     begin, n = anchor - high, high - least + 1
     h = hashes(raw, length)
-    shared = mixed(h.of(anchor - block * RANGE, length - RANGE + 1) + block.astype(np.uint64))
-    return Ranges(row, begin, n, high, shared, _whole(h, begin, n, high, length))
+    digits = _digits(h, anchor - block * RANGE, length - RANGE + 1, 2)
+    digits[0] = mixed(digits[0] + block.astype(np.uint64))
+    return Ranges(row, begin, n, high, digits, _whole(h, begin, n, high, length))
+
 
+# Passes over the window of a single suffix.
+DIGITS = 4
 
-def windows(raw: np.ndarray, start: np.ndarray, count: np.ndarray, length: int) -> Ranges:
-    """Third pass: every single window of the given rows of one text."""
+
+def suffixes(raw: np.ndarray, start: np.ndarray, count: np.ndarray, length: int) -> Ranges:
+    """Third pass: every single suffix of the given rows of one text."""
     row = np.repeat(np.arange(len(start)), count)
     begin = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
     one = np.ones(len(row), np.int64)
-    h = hashes(raw, length)
-    size = min(max(h.by_size), 1 << (length.bit_length() - 1))
-    first, last = h.by_size[size][begin], h.by_size[size][begin + length - size]
-    return Ranges(row, begin, one, 0 * one, mixed(_joined(mixed(first), last)), mixed(_joined(mixed(last), first)))
+    digits = _digits(hashes(raw, length), begin, length, DIGITS)
+    return Ranges(row, begin, one, 0 * one, digits, digits[-1])
