@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rookery.llm.labelled import FIT_ROWS, fitted, labelled_sample
+from rookery.llm.labelled import FIT_BYTES, FIT_ROWS, fitted, labelled_sample
 from rookery.llm.rows import Packed, slabs, text_bytes
 
 # Bytes of a chunk and between the first bytes of two chunks, bytes under a filter and between two places.
@@ -184,13 +184,19 @@ def remainder(id_col: str = "id"):
 
 
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    labels: DataFrame,
+    rows: int = FIT_ROWS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    most_bytes: int = FIT_BYTES,
 ) -> bytes:
-    """The network for ``labels.quality``, fitted on about ``rows`` texts whose ids are not held out."""
-    sample = labelled_sample(
-        docs, labels, "quality", remainder() != HELD_OUT, rows=rows, id_col=id_col, text_col=text_col
-    )
-    return fitted(sample, fit, rows)
+    """The network for ``labels.quality``, fitted on about ``rows`` texts whose ids are not held out.
+
+    Texts over ``most_bytes`` are not fitted on; all are scored whole.
+    """
+    sample = labelled_sample(docs, labels, "quality", remainder() != HELD_OUT, rows, most_bytes, id_col, text_col)
+    return fitted(sample, fit)
 
 
 def quality_scores(

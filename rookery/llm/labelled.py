@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The most labelled rows a model is fitted on, and the longest text among them.
+# About how many labelled rows a model is fitted on, and the longest text among them.
 FIT_ROWS = 3_000
 FIT_BYTES = 48_000
 
@@ -23,11 +23,13 @@ def labelled_sample(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """``(id, text, label)`` of about ``rows`` labelled documents, chosen by a hash of the id.
+    """``(id, text, label, order)`` of about ``rows`` labelled documents, chosen by a hash of the id.
 
     ``allowed`` is a condition on a column ``id``. The share is set by a count of the labels and is
     applied to both sides before the join, so the texts that move are those of the sample. Null ids
-    and labels, texts over ``most_bytes`` and ids with two different labels are not in it.
+    and labels, texts over ``most_bytes`` and ids with two different labels are not in it. A text counts
+    once under an id, and at most ``2 * rows`` are given, those first by a hash: an id that many rows
+    carry fills no sample with copies, and a repeated task makes the same one.
     """
     marks = labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("label"))
     marks = marks.filter("id is not null and label in (0, 1)")
@@ -39,14 +41,15 @@ def labelled_sample(
     marks = marks.filter("label = other").drop("other")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     texts = texts.filter(chosen & (F.octet_length("text") <= most_bytes))
-    return texts.join(marks, "id").select("id", "text", "label")
+    order = [F.xxhash64("id", F.lit("order")).alias("order"), F.xxhash64("text", "id").alias("own")]
+    found = texts.join(marks, "id").select("id", "text", "label", *order).dropDuplicates(["id", "own"])
+    return found.orderBy("order", "own").limit(2 * rows).drop("own")
 
 
-def fitted(sample: DataFrame, fit: Callable[[list[bytes], list[int]], bytes], rows: int = FIT_ROWS) -> bytes:
-    """The model that ``fit`` makes of the sample, in one task on a bounded number of rows.
+def fitted(sample: DataFrame, fit: Callable[[list[bytes], list[int]], bytes]) -> bytes:
+    """The model that ``fit`` makes of a ``labelled_sample``, in one task on its bounded number of rows.
 
-    Rows come in a fixed order, so a repeated task makes the same model. Hashing lets the sample
-    vary around its size; the limit keeps it below twice that.
+    Rows come in a fixed order, so a repeated task makes the same model.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -54,6 +57,5 @@ def fitted(sample: DataFrame, fit: Callable[[list[bytes], list[int]], bytes], ro
         model = fit([t.encode() for t in pdf["text"]], pdf["label"].tolist())
         return pd.DataFrame({"model": [model]})
 
-    some = sample.withColumn("order", F.xxhash64("id", F.lit("order"))).limit(2 * rows)
-    found = some.groupBy(F.lit(0).alias("all")).applyInPandas(run, "model binary").collect()
+    found = sample.groupBy(F.lit(0).alias("all")).applyInPandas(run, "model binary").collect()
     return bytes(found[0]["model"]) if found else fit([], [])

@@ -19,6 +19,11 @@ SEED = "mix"
 _FAN = 32
 
 
+def _exact(x: Column) -> Column:
+    """A number whose sum does not depend on the order of its parts."""
+    return x.cast("decimal(38, 20)")
+
+
 def source_totals(rows: DataFrame) -> DataFrame:
     """``(source, total)`` tokens of each source; null is a source of its own."""
     return rows.groupBy("source").agg(F.sum("tokens").alias("total"))
@@ -47,11 +52,11 @@ def exponent(
         for step in steps:
             a = F.lit(step / STEPS)
             power = F.pow(share, a)
-            cells += [F.sum(power), F.sum(power * a * F.log(share)), F.max(power / F.col("total"))]
+            cells += [F.sum(_exact(power)), F.sum(_exact(power * a * F.log(share))), F.max(power / F.col("total"))]
         got = list(live.agg(*[c.alias(f"m{i}") for i, c in enumerate(cells)]).first())
         out = []
         for i in range(0, len(got), 3):
-            z, s, top = got[i : i + 3]
+            z, s, top = map(float, got[i : i + 3])
             out.append((math.log(z) - s / z, top / z * budget))
         return out
 
@@ -90,7 +95,7 @@ def budgets(totals: DataFrame, a: float, budget: int | None = None) -> DataFrame
         tokens = F.expr(f"cast(total as decimal(19, 0)) * cast({budget} as decimal(19, 0)) div {whole}")
     else:
         power = F.pow(F.col("total") / F.lit(float(whole)), F.lit(a))
-        z = totals.filter("total > 0").agg(F.sum(power)).first()[0]
+        z = float(totals.filter("total > 0").agg(F.sum(_exact(power))).first()[0])
         tokens = F.floor(power / F.lit(z) * F.lit(float(budget))).cast("long")
     named = totals.withColumn("tokens", F.when(F.col("total") > 0, tokens))
     return named.select(

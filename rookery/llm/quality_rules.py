@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rookery.llm.labelled import FIT_ROWS, fitted, labelled_sample
+from rookery.llm.labelled import FIT_BYTES, FIT_ROWS, fitted, labelled_sample
 from rookery.llm.rows import Packed, arrow_schema, mixed, slabs, text_bytes
 
 MIN_WORDS = 50
@@ -18,8 +18,8 @@ MAX_REPEATED_PERCENT = 50
 KEEP_AT = 0.5
 SYMBOLS = b"#*$%&|<>"
 BUCKETS = 1 << 16
-# Hashed features: words, word pairs, four bytes.
-FAMILIES = 3
+# Hashed features: words, word pairs, four characters.
+FAMILIES, CHARACTERS = 3, 4
 _SCALE = 32.0
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _SYMBOL = np.isin(np.arange(256), list(SYMBOLS))
@@ -108,18 +108,22 @@ def _features(words: Words) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     yield 0, (words.hash & mask).astype(np.int64), words.first
     h, first = words.windows(2)
     yield 1, (h & mask).astype(np.int64), np.searchsorted(first, words.first)
-    raw = words.raw.astype(np.uint32)
-    if len(raw) >= 4:
-        four = raw[:-3] | (raw[1:-2] << 8) | (raw[2:-1] << 16) | (raw[3:] << 24)
-        four = (four * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKETS.bit_length() + 1)
-        inside = np.ones(len(four), bool)
-        for back in (1, 2, 3):
-            edge = words.at[1:-1] - back
-            inside[edge[(edge >= 0) & (edge < len(four))]] = False
+    # Characters are code points: a letter with an accent is one, whatever its bytes.
+    points = np.frombuffer(words.raw.tobytes().decode().encode("utf-32-le"), np.uint32)
+    at = np.concatenate(([0], np.cumsum(_FIRST_BYTE[words.raw])))[words.at]
+    if len(points) >= CHARACTERS:
+        gram = np.zeros(len(points) - CHARACTERS + 1, np.uint32)
+        for i in range(CHARACTERS):
+            gram = (gram ^ points[i : len(points) - CHARACTERS + 1 + i]) * np.uint32(0x9E3779B1)
+            gram ^= gram >> np.uint32(15)
+        inside = np.ones(len(gram), bool)
+        for back in range(1, CHARACTERS):
+            edge = at[1:-1] - back
+            inside[edge[(edge >= 0) & (edge < len(gram))]] = False
         places = np.flatnonzero(inside)
-        yield 2, four[places].astype(np.int64), np.searchsorted(places, words.at)
+        yield 2, (gram[places] & np.uint32(BUCKETS - 1)).astype(np.int64), np.searchsorted(places, at)
     else:
-        yield 2, np.empty(0, np.int64), np.zeros(len(words.at), np.int64)
+        yield 2, np.empty(0, np.int64), np.zeros(len(at), np.int64)
 
 
 def _slab(texts: list[bytes]) -> Words:
@@ -260,11 +264,16 @@ def with_verdicts(packed: Packed, model: bytes, keep_at: float = KEEP_AT) -> Dat
 
 
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    labels: DataFrame,
+    rows: int = FIT_ROWS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    most_bytes: int = FIT_BYTES,
 ) -> bytes:
-    """The model of ``labels.quality``, on about ``rows`` labelled texts."""
-    sample = labelled_sample(docs, labels, "quality", rows=rows, id_col=id_col, text_col=text_col)
-    return fitted(sample, fit, rows)
+    """The model of ``labels.quality``, on about ``rows`` labelled texts of up to ``most_bytes``."""
+    sample = labelled_sample(docs, labels, "quality", None, rows, most_bytes, id_col, text_col)
+    return fitted(sample, fit)
 
 
 def quality_verdicts(

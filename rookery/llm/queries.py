@@ -24,8 +24,8 @@ from rookery.llm.ship import ship
 from rookery.plans.registry import query
 
 TOKENIZER = "word_bpe_49k.json"
-# Production settings of the mixture: near-even sources, none read more than four times.
-MIX_ENTROPY, MIX_REPEATS = 0.998, 4.0
+# Production settings of the mixture: all but even sources, none read more than four times.
+MIX_ENTROPY, MIX_REPEATS = 0.9999, 4.0
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -96,7 +96,9 @@ WITH RECURSIVE docs AS (
   SELECT greatest(lo, hi2) / 1048576.0::DOUBLE AS a FROM seek WHERE step = 24
 ), deal AS (
   SELECT source, total,
-    floor(share ** a / (SELECT sum(share ** a) FROM live, chosen) * (SELECT sum(total) FROM totals)::DOUBLE)::BIGINT AS tokens
+    CASE WHEN a = 1 THEN total
+      ELSE floor(share ** a / (SELECT sum(share ** a) FROM live, chosen) * (SELECT sum(total) FROM totals)::DOUBLE)::BIGINT
+    END AS tokens
   FROM live, chosen
 ), plan AS (
   SELECT t.source, t.total, coalesce(d.tokens // d.total, 1) AS full_blocks, coalesce(d.tokens % d.total, 0) AS rest

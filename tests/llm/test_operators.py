@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import collections
 import hashlib
+import io
 import itertools
 import math
 import random
@@ -31,6 +32,7 @@ from rookery.llm import (
     zip_archive,
 )
 from rookery.llm.components import components
+from rookery.llm.labelled import labelled_sample
 from rookery.llm.queries import tokenizer_path
 from rookery.llm.word_ids import WordIds
 from rookery.llm.zip_archive import ZipRanges
@@ -303,6 +305,93 @@ def test_byte_cnn_on_held_out_labels(tables):
     assert all(r.predicted == (r.score >= 0.7) for r in rows)
 
 
+def naive_families(text):
+    """Features by their meaning: words, pairs of words, runs of four characters."""
+    words = WORD.findall(text)
+    return [words, list(zip(words, words[1:])), [text[i : i + 4] for i in range(len(text) - 3)]]
+
+
+def test_probability_is_that_of_a_plain_forward_pass(spark):
+    """Every feature's own weight, looked up by a text of nothing else, then averaged and calibrated."""
+    rng = random.Random(4)
+    weights = np.random.default_rng(4).normal(0, 1, (3, quality_rules.BUCKETS))
+    out = io.BytesIO()
+    np.savez(out, weights=weights.astype(np.float32), numbers=np.array([0.2, 0.7, -0.1]))
+    weights = weights.astype(np.float32).astype(float)
+
+    def weight(family, feature):
+        text = feature if family != 1 else " ".join(feature)
+        for found, buckets, _ in quality_rules._features(quality_rules._slab([text.encode()])):
+            if found == family:
+                assert len(buckets) == 1
+                return weights[family][buckets[0]]
+
+    texts = ["", "é", "à la carte, ça va", prose(rng, 40), prose(rng, 1), "\U0001F600\U0001F600 über üb", "a  b\n\tc"]
+    got = quality_rules.quality_verdicts(
+        spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), out.getvalue()
+    ).collect()
+    for r in got:
+        z = 0.2
+        for family, features in enumerate(naive_families(texts[r.id])):
+            if features:
+                z += 32.0 * sum(weight(family, f) for f in features) / len(features)
+        assert r.probability == pytest.approx(1 / (1 + math.exp(-min(max(0.7 * z - 0.1, -40), 40))), rel=1e-6)
+
+
+def test_score_is_that_of_a_plain_forward_pass():
+    rng = np.random.default_rng(2)
+    net = byte_cnn.fresh(2)
+    net.out[:] = rng.normal(0, 0.3, len(net.out))
+    net.shift[:] = rng.normal(0, 0.1, len(net.shift))
+
+    def plain(text):
+        tops = []
+        for s in byte_cnn.chunk_starts(len(text)):
+            chunk = list(text[s : s + byte_cnn.CHUNK])
+            chunk += [256] * (byte_cnn.CHUNK - len(chunk))
+            best = np.zeros(byte_cnn.FILTERS)
+            for place in range(0, byte_cnn.CHUNK - byte_cnn.WIDTH + 1, byte_cnn.STRIDE):
+                seen = np.concatenate([net.embed[b] for b in chunk[place : place + byte_cnn.WIDTH]]).astype(float)
+                best = np.maximum(best, seen @ net.filters + net.shift)
+            tops.append(best)
+        z = np.mean(tops, 0) @ net.out[: byte_cnn.FILTERS] + np.max(tops, 0) @ net.out[byte_cnn.FILTERS :] + net.bias[0]
+        return 1 / (1 + math.exp(-z))
+
+    texts = [b"", b"x", rng.integers(0, 256, 1024).astype(np.uint8).tobytes(), rng.integers(0, 256, 2500).astype(np.uint8).tobytes()]
+    at = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    got = byte_cnn.scores(net, np.frombuffer(b"".join(texts), np.uint8), at)
+    assert got == pytest.approx([plain(t) for t in texts], rel=1e-4)
+
+
+def test_scores_of_awkward_rows(spark, docs):
+    names = "doc_id long, text string, score double, held_out boolean, predicted int, row string, k1 string, id string"
+    rows = [(r.doc_id, r.text, 9.0, True, 5, "a", "b", "c") for r in docs.collect()]
+    net = byte_cnn.fresh(2)
+    net.out[:] = 0.1
+    got = byte_cnn.quality_scores(spark.createDataFrame(rows, names), net.dump()).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got)
+    blank = {r.score for r in got if r.id is None} & {r.score for r in got if r.id is not None}
+    assert blank and not any(r.held_out for r in got if r.id is None)
+    by_id = collections.defaultdict(set)
+    for r in got:
+        by_id[r.id].add(r.score)
+    assert len(by_id[0]) == 1
+
+
+def test_a_hot_id_does_not_fill_the_sample(spark):
+    """A labelled id that most rows carry, with copies and with other texts: the sample is bounded and fixed."""
+    hot = spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 100).alias("text"))
+    rest = spark.range(2, 60).select(F.col("id").alias("doc_id"), F.concat(F.lit("own "), "id").alias("text"))
+    docs = hot.union(rest)
+    labels = spark.range(1, 60).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    sample = lambda df, n, most=1000: sorted(map(tuple, labelled_sample(df, labels, "quality", None, n, most).collect()))
+    whole = sample(docs, 1000)
+    assert len(whole) == 100 + 58 and len(set(whole)) == len(whole)
+    some = sample(docs, 59)
+    assert len(some) == 118 and some == sample(docs.repartition(7), 59)
+    assert all(len(r[1]) <= 5 for r in sample(docs, 1000, 5))
+
+
 def test_byte_cnn_sees_the_whole_text():
     net = byte_cnn.fresh()
     net.out[:] = 0.3
