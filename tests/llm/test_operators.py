@@ -100,36 +100,89 @@ def test_suffix_dedup_is_exact(docs, length):
     assert any(w[2] for w in want)
 
 
+def plain_lines(text):
+    """Begin and end of each line; blanks at its start are not part of it, but for the first one."""
+    out, place = [], 0
+    for i, line in enumerate(text.split(b"\n")):
+        blank = len(line) - len(line.lstrip()) if i else 0
+        out.append((place + blank, place + len(line)))
+        place += len(line) + 1
+    return out
+
+
+def plain_pieces(text, unit):
+    """Begin and end of lines, of stretches of lines between empty ones, or of sentences of a line."""
+    lines, out = plain_lines(text), []
+    if unit == "line":
+        out = lines
+    elif unit == "paragraph":
+        open_at = None
+        for a, b in lines:
+            if a >= b:
+                open_at = None
+            elif open_at is None:
+                open_at = len(out)
+                out.append((a, b))
+            else:
+                out[-1] = out[-1][0], b
+    else:
+        for n, (a, b) in enumerate(lines):
+            begin = a
+            for i in range(a, b):
+                if i > begin and text[i : i + 1] in (b" ", b"\t") and text[i - 1 : i] in (b".", b"!", b"?"):
+                    out.append((begin, i))
+                    begin = i
+                    while begin < b and text[begin : begin + 1] in (b" ", b"\t"):
+                        begin += 1
+            if begin < b:
+                end = b if n + 1 == len(lines) else begin + len(text[begin:b].rstrip())
+                out.append((begin, end))
+    return [(a, b) for a, b in out if text[a:b].split()]
+
+
 def brute_units(rows, unit, min_words):
-    first = {}
-    found = []
+    """Spans of later occurrences, by a walk over all texts in the order of ids."""
+    first, found = {}, []
     for r in rows:
-        for digest, a, b in unit_dedup.units(raw(r), unit, min_words):
+        text = raw(r)
+        pieces = plain_pieces(text, unit)
+        counts = [len(text[a:b].split()) for a, b in pieces]
+        for i, j in plain_windows(counts, min_words):
+            a, b = pieces[i][0], pieces[j][1]
+            words = tuple(w for x, y in pieces[i : j + 1] for w in text[x:y].lower().split())
             place = (r.doc_id is None, r.doc_id or 0, a)
-            found.append((digest, place, r, a, b))
-            first[digest] = min(first.get(digest, place), place)
+            found.append((words, place, r, a, b))
+            first[words] = min(first.get(words, place), place)
     spans = collections.defaultdict(set)
-    for digest, place, r, a, b in found:
-        if place != first[digest]:
+    for words, place, r, a, b in found:
+        if place != first[words]:
             spans[(r.doc_id, r.text)].add((a, b))
     return spans
 
 
-@pytest.mark.parametrize("unit", ["sentence", "line", "paragraph"])
-def test_units_keep_the_earliest(docs, unit):
+@pytest.mark.parametrize(("unit", "min_words"), [("sentence", 8), ("line", 8), ("paragraph", 8), ("line", 1), ("sentence", 1)])
+def test_units_keep_the_earliest(docs, unit, min_words):
     rows = docs.filter("doc_id is not null").collect()
-    spans = brute_units(rows, unit, 8)
+    spans = brute_units(rows, unit, min_words)
     want = []
     for r in rows:
         gone = np.zeros(len(raw(r)), bool)
         for a, b in spans[(r.doc_id, r.text)]:
             gone[a:b] = True
         want.append((r.doc_id, bytes(np.frombuffer(raw(r), np.uint8)[~gone]), int(gone.sum())))
-    got = unit_dedup.repeated_units(docs.filter("doc_id is not null"), unit).collect()
+    got = unit_dedup.repeated_units(docs.filter("doc_id is not null"), unit, min_words).collect()
     assert sorted(want) == sorted((r.id, bytes(r.kept), r.n_removed) for r in got)
     assert any(w[2] for w in want)
 
 
+def test_every_line_by_itself_also_short_ones(spark):
+    rows = [(1, "Terms apply.\nfirst own line\n\nok"), (2, "second own line\n terms  APPLY.\nOK"), (None, "ok\nterms apply.")]
+    got = unit_dedup.repeated_units(spark.createDataFrame(rows, "doc_id long, text string"), "line", 1).collect()
+    assert {r.id: bytes(r.kept).decode().split() for r in got} == {
+        1: "Terms apply. first own line ok".split(), 2: "second own line".split(), None: []
+    }
+
+
 def test_unit_stage_keeps_rows_and_columns(docs):
     out = unit_dedup.without_repeated_units(docs)
     assert out.schema == docs.schema
