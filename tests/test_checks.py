@@ -1,5 +1,7 @@
 """The SQL beside a query has to notice an operator that is broken on purpose."""
 
+from contextlib import nullcontext
+
 import pytest
 from pyspark.ml.feature import HashingTF
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ import __spark_entry__ as entry
 from oracle import connect, differences, duck_rows, spark_rows
 from rookery.operators import classify, clusters, sentiment
 from rookery.plans import stream_queries
+from rookery.streaming import batches, trends
 from rookery.streaming.batches import BatchWriter, write_batches
 
 
@@ -34,7 +37,12 @@ def _no_budget(stream, base, prefix, checkpoint, budget, fmt):
     write_batches(stream, BatchWriter(base, prefix, fmt), checkpoint).awaitTermination()
 
 
+def _other_penalty(train, **options):
+    return _fit_logistic(train, **{**options, "penalty": 3.0})
+
+
 _remove_stop_words, _ml_words = sentiment.remove_stop_words, classify.ml_words
+_fit_logistic = classify.fit_logistic
 
 BROKEN = {
     "ml_hashing_tf": (classify, "hashed_counts", _other_buckets),
@@ -43,6 +51,10 @@ BROKEN = {
     "ml_stopwords": (classify, "ml_words", _other_filtered),
     "ml_stopwords_custom": (classify, "ml_words", _other_filtered),
     "stream_row_budget": (stream_queries, "run_until", _no_budget),
+    "lr_predictions": (classify, "fit_logistic", _other_penalty),
+    "kmeans_clusters": (clusters, "_moved_centres", lambda points, state: state),
+    "stream_reuse": (batches, "kept", nullcontext),
+    "stream_hashtag_window_chain": (trends, "hop_seconds", lambda window_s, slide_s: 100 * slide_s),
 }
 
 
