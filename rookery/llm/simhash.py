@@ -18,6 +18,8 @@ MAX_BITS = 3
 SEED = 42
 # Buckets of more fingerprints are cut again by variants of their other bits.
 BUCKET = 1024
+# Fingerprints that one task makes the variants of, on average.
+TASK_ROWS = 25_000
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -223,6 +225,9 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> Dat
     """
     if not 0 <= max_bits <= 3:
         raise ValueError("two halves and one open bit find up to 3 differing bits")
+    # Every row becomes 66: they are dealt out before, by a number that AQE leaves alone.
+    tasks = max(fps.sparkSession.sparkContext.defaultParallelism, -(-fps.count() // TASK_ROWS))
+    fps = fps.repartition(tasks)
     first = materialise(_bucket_edges(variants(fps), max_bits, bucket), "links")
     edges = first.filter("b is not null").select("a", "b")
     again = first.filter("b is null").select(F.col("a").alias("fp"), "key")
@@ -246,7 +251,7 @@ def near_groups(
     Repeated rows stay, with the same result. No rows give no rows; extra columns do not matter.
     """
     fps = materialise(fingerprints(Packed(df, id_col, text_col).frame, shingle), "fingerprints")
-    least = fps.groupBy("fp").agg(F.min("id").alias("least"))
+    least = materialise(fps.groupBy("fp").agg(F.min("id").alias("least")), "least")
     nodes = components(links(least.select("fp"), max_bits, bucket))
     grouped = least.join(nodes, least["fp"] == nodes["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("root")
@@ -260,7 +265,8 @@ def near_groups(
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """The rows of ``df`` without near copies: of each group the row of the least id and key stays.
 
-    Columns, their order and their names are those of ``df``.
+    Of rows equal in id and text the one with the least hash of all columns stays. Columns, their order
+    and their names are those of ``df``.
     """
     packed = Packed(df, id_col, text_col)
     groups = near_groups(df, id_col, text_col, **settings)
@@ -269,5 +275,8 @@ def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.min(F.struct(F.col("id").isNull(), "id", "k1", "k2")).alias("first")
     )
     keep = first.select("first.k1", "first.k2")
-    kept = packed.frame.join(keep, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    kept = packed.frame.join(keep, ["k1", "k2"], "left_semi").withColumn("k3", F.xxhash64("row"))
+    least = kept.groupBy("k1", "k2").agg(F.min("k3").alias("k3"))
+    # What is left of a key now are rows that are equal in all columns.
+    kept = kept.join(least, ["k1", "k2", "k3"], "left_semi").dropDuplicates(["k1", "k2", "k3"])
     return packed.unpack(kept)
