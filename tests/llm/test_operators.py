@@ -100,6 +100,19 @@ def test_suffix_dedup_is_exact(docs, length):
     assert any(w[2] for w in want)
 
 
+def test_suffix_dedup_of_a_text_of_several_pieces(spark):
+    """Nine million bytes are read in two pieces; a passage lies across their border and at the start."""
+    rng = np.random.default_rng(3)
+    raw_ = rng.integers(97, 123, 9_000_000).astype(np.uint8)
+    border = 8 << 20
+    raw_[border - 500 : border + 500] = raw_[100:1100]
+    raw_[[99, 1100, border - 501, border + 500]] = [65, 66, 67, 68]
+    long = raw_.tobytes().decode()
+    df = spark.createDataFrame([(1, long), (2, "x" + long[border + 600 : border + 1100] + "y"), (3, "z")], "doc_id long, text string")
+    got = {r.id: [(s.a, s.b) for s in r.spans or []] for r in suffix_dedup.remove_repeats(df).collect()}
+    assert got == {1: [(100, 1100), (border - 500, border + 500), (border + 600, border + 1100)], 2: [(1, 501)], 3: []}
+
+
 def plain_lines(text):
     """Begin and end of each line; blanks at its start are not part of it, but for the first one."""
     out, place = [], 0
@@ -294,6 +307,14 @@ def test_one_of_each_group_stays(docs):
     assert kept.filter("doc_id = 0").count() == 1
 
 
+def test_rows_that_differ_only_beside_id_and_text(spark):
+    """Of such rows the same one stays, however they are partitioned."""
+    rows = [(1, "a b c d e f", s) for s in "pqrstuvw"] * 2 + [(2, "a b c d e f", "x"), (3, None, "y"), (3, None, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {tuple(sorted(map(repr, simhash.drop_near_copies(df.repartition(n)).collect()))) for n in (1, 3, 7)}
+    assert len(kept) == 1 and len(next(iter(kept))) == 2
+
+
 def test_components_of_a_long_path(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100), (200, 201)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
@@ -636,6 +657,21 @@ def test_shares_as_they_are_take_every_document_once(spark):
     assert all((r.full, r.rest) == divmod(r.total * (2 * (n + m) + 1) // (n + m), r.total) for r in twice)
 
 
+def test_mixing_of_repeated_rows_null_ids_and_a_very_long_text(spark):
+    """Rows equal in id, and rows without one, are dealt one by one; a text longer than a budget goes whole or not."""
+    rows = [(1, "a b", None, "s", None)] * 3 + [(None, "c d e", None, "s", None)] * 2 + [(2, "w " * 300_000, None, "t", None)]
+    rows += [(i, "x " * 2_000, None, "u", None) for i in range(10, 40)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = mixing.mix(df, entropy=0.9, repeats=1000.0).collect()
+    again = mixing.mix(df.repartition(6), entropy=0.9, repeats=1000.0).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+    copies = collections.Counter((r.id, r.source) for r in got)
+    # The small source is read again and again, each of its rows in every block.
+    assert copies[(1, "s")] >= 3 * (copies[(None, "s")] // 2) > 3
+    # The text of 300,000 words does not fit the budget of its source, which is the largest.
+    assert (2, "t") not in copies
+
+
 def test_mixing_keeps_awkward_rows(docs, nothing):
     out = mixing.mixed_documents(docs, entropy=0.99)
     assert out.schema == docs.schema and out.count() > 0

@@ -58,3 +58,37 @@ def test_run_gives_the_last_stage(spark, sf_dir, stages):
     cells = ["doc_id", "piece", "start", "length", "ids_crc32"]
     rows = lambda df: sorted(map(tuple, df.select(cells).collect()))
     assert rows(corpus_pipeline.run(spark, sf_dir)) == rows(stages["best_fit_packing"])
+
+
+AWKWARD = "doc_id long, text string, lang string, source string, n_chars long, row string, k1 string, id string, spans string, block long"
+
+
+def landed(spark, tmp_path, docs, labels):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    return str(tmp_path)
+
+
+def test_awkward_documents_without_labels(spark, tmp_path):
+    """Null and empty texts, null ids, repeated rows, clashing names, no label to learn from."""
+    long = " ".join(f"word{i}" for i in range(120))
+    rows = [(1, None, "en", "s", 0), (2, "", "en", None, 0), (None, long, None, "s", 9), (3, long, "en", "t", 9), (4, long.replace("word7 ", ""), "en", "t", 9)]
+    rows += [(5, " ".join(f"other{i}" for i in range(90)), "de", None, 1)] * 2
+    docs = spark.createDataFrame([(*r, "a", "b", "c", "d", 7) for r in rows], AWKWARD)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    sf_dir = landed(spark, tmp_path, docs, labels)
+    here, ids = docs, []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        here = materialise(stage(spark, here, sf_dir), name)
+        assert here.columns == docs.columns
+        ids.append(sorted((r.doc_id for r in here.collect()), key=str))
+    # Texts without words go; then one of the near copies and one of the repeated rows are left.
+    assert ids[:3] == [[3, 4, 5, 5, None], [3, 5], [3, 5]]
+    # The larger source has one document, which its even share cannot hold.
+    assert set(ids[3]) == {5} == {r.doc_id for r in corpus_pipeline.run(spark, sf_dir).collect()}
+
+
+def test_no_documents(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    sf_dir = landed(spark, tmp_path, docs, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    assert corpus_pipeline.run(spark, sf_dir).count() == 0
