@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rookery.llm.labelled import FIT_BYTES, FIT_ROWS, fitted, labelled_sample
-from rookery.llm.rows import Packed, arrow_schema, mixed, slabs, text_bytes
+from rookery.llm.rows import Packed, mixed, slabs, text_bytes
 
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
