@@ -9,7 +9,7 @@ from rookery.operators.posts import lang_filter, track_filter
 from rookery.plans import inputs, post_queries  # noqa: F401
 from rookery.plans.registry import ORACLES, query
 from rookery.session import scratch_dir
-from rookery.sources.tables import replay_table, table
+from rookery.sources.tables import land_in_turn, replay_table, table, table_bytes
 from rookery.streaming import trends as stream_trends
 from rookery.streaming.batches import (
     BATCH_SECONDS,
@@ -77,19 +77,13 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """What a collector keeps that stops after more than 1000 rows.
 
-    The rows land in 16 files in order, one per batch: it keeps those of the first batches up to the
+    The rows land in 16 parts in order, one per batch: it keeps those of the first batches up to the
     one that passes the budget, and had at most the budget before that one.
     """
     base = scratch_dir(spark, "budget")
     rows = table(spark, sf_dir, "events").select("event_id", "user_id")
-    for part in range(16):
-        own = rows.filter(F.col("event_id") % 16 == part)
-        own.coalesce(1).write.mode("append").parquet(f"{base}/in")
-    stream = (
-        spark.readStream.schema("event_id bigint, user_id bigint")
-        .option("maxFilesPerTrigger", 1)
-        .parquet(f"{base}/in")
-    )
+    parts = [rows.filter(F.col("event_id") % 16 == part) for part in range(16)]
+    stream = land_in_turn(parts, f"{base}/in", table_bytes(spark, sf_dir, "events"))
     run_until(stream, f"{base}/out", "batch", f"{base}/checkpoint", budget=1000, fmt="parquet")
     kept = spark.read.parquet(f"{base}/out/batch_*")
     n = F.count(F.lit(1))
@@ -104,12 +98,10 @@ _PARTS_SQL = f"{inputs.POST_TEXTS_SQL}, parts AS (SELECT *, CAST(epoch(ts) AS BI
 
 
 def _landed_parts(spark, sf_dir, base):
-    """The posts in four files, landed one after the other, and a stream that takes one per batch."""
+    """The posts in four parts, landed one after the other, and a stream that takes one per batch."""
     posts = inputs.post_texts_from(table(spark, sf_dir, "documents"))
-    for part in range(4):
-        own = posts.filter(F.expr("(unix_timestamp(ts) % 7200) div 1800") == part)
-        own.coalesce(1).write.mode("append").parquet(f"{base}/in")
-    return spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    parts = [posts.filter(F.expr("(unix_timestamp(ts) % 7200) div 1800") == part) for part in range(4)]
+    return land_in_turn(parts, f"{base}/in", table_bytes(spark, sf_dir, "documents"))
 
 
 @query(

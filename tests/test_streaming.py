@@ -13,6 +13,7 @@ from rookery.plans import inputs
 from rookery.session import scratch_dir
 from rookery.sources.lines import parse_labeled_points, parse_vectors, read_line_stream
 from rookery.sources.posts import POST_SCHEMA, read_post_stream
+from rookery.sources import tables
 from rookery.sources.tables import replay_table, table
 from rookery.streaming import online
 from rookery.streaming import trends as stream_trends
@@ -20,6 +21,7 @@ from rookery.streaming.batches import (
     BatchWriter,
     StateTable,
     drain,
+    for_each_batch,
     every,
     kept,
     preview_batches,
@@ -143,6 +145,26 @@ def test_a_timed_trigger_spaces_its_batches(spark, base):
     assert [r.w for r in early.orderBy("batch_id").select(waited(2).alias("w")).collect()] == [True, False, False]
 
 
+def test_parts_land_as_several_files_each_and_stream_one_per_batch(spark, base, monkeypatch):
+    monkeypatch.setattr(tables, "LANDED_BYTES", 10)
+    rows = spark.range(0, 40, 1, 4)
+    # Rows in all tasks, in one task only, in none, and in two.
+    cut = ["id % 2 = 0", "id < 5", "id < 0", "id % 2 = 1 and id > 20"]
+    stream = tables.land_in_turn([rows.filter(c) for c in cut], f"{base}/in", 31)
+    assert len(spark.read.parquet(f"{base}/in").inputFiles()) == 16
+    seen = {}
+    drain(for_each_batch(stream, lambda b, i: seen.update({i: sorted(r.id for r in b.collect())}), f"{base}/checkpoint"))
+    assert seen == {i: [r.id for r in rows.filter(c).orderBy("id").collect()] for i, c in enumerate(cut)}
+
+
+def test_no_task_reads_a_whole_table_to_land_it(spark, base, sf_dir, monkeypatch):
+    monkeypatch.setattr(tables, "LANDED_BYTES", tables.table_bytes(spark, sf_dir, "documents") // 4)
+    docs = table(spark, sf_dir, "documents").repartition(8)
+    tables.land_in_turn([docs], f"{base}/in", tables.table_bytes(spark, sf_dir, "documents"))
+    counts = spark.read.parquet(f"{base}/in").groupBy(F.input_file_name()).count().collect()
+    assert len(counts) >= 4 and max(r["count"] for r in counts) < docs.count() / 2
+
+
 def test_kept_rows_are_read_by_all_and_released(spark):
     frame = spark.range(10).withColumn("x", F.rand())
     with pytest.raises(RuntimeError), kept(frame) as rows:
