@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import json
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
+from rookery.functions.pairs import gap_finder, pair_counter, place_adder
 from rookery.functions.vectors import is_complete, nearest_centre
 from rookery.operators.bounds import spread
 from rookery.operators.rollups import sample_rows
@@ -77,13 +77,12 @@ def assign_clusters(
     """``df`` with the integer ``cluster`` of each text; works on streams.
 
     ``model`` is that of ``cluster_posts``, or the centres of ``fit_text_centres``, which may come from
-    a saved table.
+    a saved table. Centres place a null text in no cluster.
     """
-    features = featurize(spread(df), text_col)
     if isinstance(model, Centres):
-        placed = features.withColumn("_terms", _terms("features"))
-        return placed.select(*df.columns, _nearest_by_terms(model, F.col("_terms")).alias("cluster"))
-    placed = model.transform(features)
+        terms = text_terms(F.col(text_col), len(model.centres[0]))
+        return spread(df).select(*df.columns, _nearest_by_terms(model, terms).alias("cluster"))
+    placed = model.transform(featurize(spread(df), text_col))
     return placed.select(*df.columns, F.col("prediction").alias("cluster"))
 
 
@@ -143,35 +142,21 @@ class Centres:
         return Centres.of(centres, [1.0] * len(centres))
 
 
-def _once(value: Column, then: Callable[[Column], Column]) -> Column:
-    """``then`` of a value that is dear to make, as a variable: its uses do not make it again."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
+def text_terms(text: Column, num_features: int = TEXT_FEATURES) -> Column:
+    """The occupied places of a text's ``featurize`` vector: ``(at, n)`` pairs of 32-bit numbers, as binary."""
+    return F.arrow_udf(pair_counter(num_features), "binary")(F.lower(text))
 
 
-def _terms(features: str) -> Column:
-    """The occupied places of a sparse vector as ``array<struct<at, n>>``."""
-    return _once(
-        F.unwrap_udt(features),
-        lambda vector: F.arrays_zip(vector["indices"].alias("at"), vector["values"].alias("n")),
-    )
-
-
-def _gap_parts(centres: Sequence[Sequence[float]], terms: Column) -> Column:
-    """``array<struct<d, j>>``: squared distance to each centre, less the text's own square."""
-    rows = [{"c": list(c), "square": math.fsum(x * x for x in c)} for c in centres]
-    # In the plan as one literal; thousands of numbers would be slow to build as columns.
-    table = F.from_json(F.lit(json.dumps(rows)), "array<struct<c:array<double>,square:double>>")
-
-    def part(row: Column, j: Column) -> Column:
-        product = F.aggregate(terms, F.lit(0.0), lambda sum_, t: sum_ + t["n"] * F.get(row["c"], t["at"]))
-        return F.named_struct(F.lit("d"), row["square"] - 2 * product, F.lit("j"), j)
-
-    return F.transform(table, part)
+def _gaps(centres: Sequence[Sequence[float]], terms: Column, nearest: bool) -> Column:
+    """The nearest centre of a text, or the squared distance to it."""
+    squares = [math.fsum(x * x for x in c) for c in centres]
+    table = np.array(centres, np.float64)
+    return F.arrow_udf(gap_finder(table, squares, nearest), "int" if nearest else "double")(terms)
 
 
 def _nearest_by_terms(centres: Centres, terms: Column) -> Column:
     """Index of the closest centre, the lowest of equally close ones."""
-    return _once(terms, lambda t: F.array_min(_gap_parts(centres.centres, t))["j"])
+    return _gaps(centres.centres, terms, nearest=True)
 
 
 def _uniform(id_col: str, seed: int, draw: int) -> Column:
@@ -188,16 +173,15 @@ def _drawn_centres(points: DataFrame, k: int, seed: int, dims: int) -> list[list
     ``k`` different texts give fewer centres.
     """
     drawn: list[list[float]] = []
-    square = F.aggregate("_terms", F.lit(0.0), lambda sum_, t: sum_ + t["n"] * t["n"])
     for draw in range(k):
-        gap = F.array_min(_gap_parts(drawn, F.col("_terms")))["d"] + square if drawn else F.lit(1.0)
+        gap = _gaps(drawn, F.col("_terms"), nearest=False) if drawn else F.lit(1.0)
         race = F.when(gap > 0, -F.log(_uniform("id", seed, draw)) / gap)
         first = points.filter(race.isNotNull()).agg(F.min_by("_terms", F.struct(race, "id")).alias("terms")).first()
         if first["terms"] is None:
             break
         centre = [0.0] * dims
-        for at, n in first["terms"]:
-            centre[at] = n
+        for at, n in np.frombuffer(first["terms"], "<i4").reshape(-1, 2).tolist():
+            centre[at] = float(n)
         drawn.append(centre)
     return drawn
 
@@ -211,15 +195,16 @@ def fit_text_centres(
     text_col: str = "text",
     num_features: int = TEXT_FEATURES,
 ) -> Centres:
-    """K-means over text features by column arithmetic; the result depends on the rows alone.
+    """K-means over text features; the result depends on the rows alone.
 
-    A step places every text and adds up its cluster where it lies: no vector moves, and what reaches
-    the driver are the sums, one row per cluster and feature. An empty cluster keeps its centre.
+    The features of a text are made once and kept in eight bytes per occupied place. A step places
+    every text and adds up its cluster where it lies, in arrays per task: no vector moves, and what
+    reaches the driver are the sums, one row per cluster and feature. An empty cluster keeps its centre.
     Steps end when no centre moves. The weights are the sizes of the clusters. Null texts and ids are
     left out.
     """
     texts = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))).dropna()
-    points = featurize(texts, "text", num_features).select("id", _terms("features").alias("_terms"))
+    points = texts.select("id", text_terms(F.col("text"), num_features).alias("_terms"))
     points = points.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         state = Centres.of(_drawn_centres(points, k, seed, num_features))
@@ -235,12 +220,13 @@ def fit_text_centres(
 
 def _moved_centres(points: DataFrame, state: Centres) -> Centres:
     """Each centre at the mean of the texts that are nearest to it."""
+    if not state.centres:
+        return state
+    placed = points.select(_nearest_by_terms(state, F.col("_terms")).alias("cluster"), "_terms")
     # Place -1 counts the texts.
-    counted = F.concat(F.array(F.struct(F.lit(-1).alias("at"), F.lit(1.0).alias("n"))), F.col("_terms"))
-    # Placed first: beside the generator the distances would be taken once per term.
-    placed = points.select(_nearest_by_terms(state, F.col("_terms")).alias("cluster"), counted.alias("counted"))
-    placed = placed.select("cluster", F.inline("counted"))
-    sums = placed.groupBy("cluster", "at").agg(F.sum("n").alias("n")).collect()
+    shape = len(state.centres), len(state.centres[0])
+    parts = placed.mapInArrow(place_adder(*shape), "cluster int, at int, n double")
+    sums = parts.groupBy("cluster", "at").agg(F.sum("n").alias("n")).collect()
     sizes = {row.cluster: row.n for row in sums if row["at"] == -1}
     centres = [[0.0] * len(c) if j in sizes else list(c) for j, c in enumerate(state.centres)]
     for row in sums:

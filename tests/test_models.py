@@ -301,6 +301,35 @@ def test_features_count_pairs(spark):
     assert sorted(vectors[0].values) == [1.0, 2.0]
 
 
+@pytest.mark.parametrize("dims", [1000, 7, 1 << 20])
+def test_terms_are_the_features_of_any_text(spark, dims):
+    texts = ["abab", "x", "", "é", "Été çà œuvre", "\U0001f600\U0001f600a", "a\nb\r\n\t ", "ÀÉ" * 3000, "的一是不了", "\0\0a", "İI"]
+    df = spark.createDataFrame([(t,) for t in [*texts, *texts[::-1], "z" * 70_000]], "text string").coalesce(1)
+    both = clusters.featurize(df, num_features=dims).withColumn("terms", clusters.text_terms(F.col("text"), dims))
+    for r in both.collect():
+        terms = np.frombuffer(r.terms, "<i4").reshape(-1, 2)
+        assert terms[:, 0].tolist() == r.features.indices.tolist() and terms[:, 1].tolist() == r.features.values.tolist()
+    none = spark.createDataFrame([(None,), ("a",)], "text string").select(clusters.text_terms(F.col("text")).alias("t"))
+    assert [r.t is None for r in none.collect()] == [True, False]
+
+
+def test_features_are_made_once_and_kept_small(spark, prose):
+    """A step reads kept binary terms: no text, no pairs of strings, no vectors."""
+    seen = []
+    moved = clusters._moved_centres
+
+    def looked(points, state):
+        seen.append((dict(points.dtypes), points.storageLevel.useMemory))
+        return moved(points, state)
+
+    clusters._moved_centres = looked
+    try:
+        clusters.fit_text_centres(prose, 3, 1, id_col="id")
+    finally:
+        clusters._moved_centres = moved
+    assert seen == [({"id": "bigint", "_terms": "binary"}, True)]
+
+
 @pytest.mark.parametrize("dims", [2, 70, 300])
 def test_unreadable_features_are_no_points(spark, dims):
     whole = [[float(i)] * dims for i in (10, 12)]
