@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -210,8 +211,9 @@ def tune(
 ) -> Tuned:
     """Grid search with cross-validation, compared with the untuned model on ``test``.
 
-    Words do not depend on the grid, so they are made once and kept for all fits. Folds come from
-    the id hash, which makes the search repeatable.
+    Words do not depend on the grid, so they are made once and kept for all fits. They are hashed once
+    for each number of features: folds, document frequencies and classifiers read the kept counts.
+    Folds come from the id hash, which makes the search repeatable.
     """
     words = ml_words(train).select(
         "filtered", "label", hash_bucket(id_col, SEED + 1, folds).alias("fold")
@@ -219,32 +221,41 @@ def tune(
     words = words.persist(StorageLevel.MEMORY_AND_DISK)
     test_words = ml_words(test).select("filtered", "label").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        hashing = HashingTF(inputCol="filtered", outputCol="rawFeatures", numFeatures=NUM_FEATURES)
-        idf = IDF(inputCol="rawFeatures", outputCol="features", minDocFreq=MIN_DOC_FREQ)
-        stages = Pipeline(stages=[hashing, idf, NaiveBayes()])
-        grid = (
-            ParamGridBuilder()
-            .addGrid(hashing.numFeatures, list(features))
-            .addGrid(idf.minDocFreq, list(doc_freqs))
-            .build()
-        )
         evaluator = MulticlassClassificationEvaluator(metricName=metric)
-        search = CrossValidator(
-            estimator=stages,
-            estimatorParamMaps=grid,
-            evaluator=evaluator,
-            numFolds=folds,
-            foldCol="fold",
-            parallelism=parallelism,
-        ).fit(words)
-        scores = [
-            (setting[hashing.numFeatures], setting[idf.minDocFreq], float(value))
-            for setting, value in zip(grid, search.avgMetrics)
-        ]
-        best = max(scores, key=lambda s: s[2])
-        base = evaluator.evaluate(stages.fit(words).transform(test_words))
-        tuned = evaluator.evaluate(search.bestModel.transform(test_words))
-        return Tuned(search.bestModel, best[0], best[1], base, tuned, scores)
+        idf = IDF(inputCol="rawFeatures", outputCol="features", minDocFreq=MIN_DOC_FREQ)
+        stages = Pipeline(stages=[idf, NaiveBayes()])
+        scores, best, model = [], None, None
+        for size in features:
+            with _kept_counts(words, size) as counts:
+                search = CrossValidator(
+                    estimator=stages,
+                    estimatorParamMaps=ParamGridBuilder().addGrid(idf.minDocFreq, list(doc_freqs)).build(),
+                    evaluator=evaluator,
+                    numFolds=folds,
+                    foldCol="fold",
+                    parallelism=parallelism,
+                ).fit(counts)
+            own = [(size, doc_freq, float(value)) for doc_freq, value in zip(doc_freqs, search.avgMetrics)]
+            scores += own
+            first = max(own, key=lambda s: s[2])
+            if best is None or first[2] > best[2]:
+                hashing = HashingTF(inputCol="filtered", outputCol="rawFeatures", numFeatures=size)
+                best, model = first, PipelineModel([hashing, *search.bestModel.stages])
+        with _kept_counts(words, NUM_FEATURES) as counts:
+            fitted = stages.fit(counts)
+        base = evaluator.evaluate(fitted.transform(hashed_counts(test_words)))
+        tuned = evaluator.evaluate(model.transform(test_words))
+        return Tuned(model, best[0], best[1], base, tuned, scores)
     finally:
         words.unpersist()
         test_words.unpersist()
+
+
+@contextmanager
+def _kept_counts(words: DataFrame, num_features: int) -> Iterator[DataFrame]:
+    """Hashed counts of ``filtered`` words in place of them, kept while fits pass over them."""
+    counts = hashed_counts(words, num_features).drop("filtered").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield counts
+    finally:
+        counts.unpersist()

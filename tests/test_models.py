@@ -201,6 +201,23 @@ def test_tuning_picks_the_best_setting(spark, sf_dir):
     )
 
 
+def test_tuning_hashes_words_once_for_each_number_of_features(spark, sf_dir, monkeypatch):
+    """Fits read kept counts, and the best model still takes words."""
+    train, test = classify.split_train_test(inputs.labelled_documents(spark, sf_dir), "doc_id")
+    seen, made = [], classify.CrossValidator
+
+    class Seen(made):
+        def _fit(self, dataset):
+            seen.append((sorted(dataset.columns), dataset.storageLevel.useMemory))
+            return super()._fit(dataset)
+
+    monkeypatch.setattr(classify, "CrossValidator", Seen)
+    tuned = classify.tune(train, test, "doc_id", features=[100, 1000], doc_freqs=[0, 5])
+    assert seen == [(["fold", "label", "rawFeatures"], True)] * 2
+    again = classify.evaluate(tuned.model.transform(classify.ml_words(test)))
+    assert again == tuned.tuned_metric
+
+
 def test_post_clusters(spark):
     texts = ["aaaa aaaa", "aaa aaaaa", "zzzz zzzz", "zz zzzzzz"] * 5
     df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
