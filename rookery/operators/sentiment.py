@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from rookery.functions.text import only_words
 from rookery.operators import bounds
 from rookery.operators.bounds import WordListSize, word_join, word_list_size
+from rookery.operators.sinks import write_parquet
+from rookery.session import scratch_dir
 
 # Weights up to this size travel inside the plan.
 INLINE_WORDS = 20_000
@@ -61,6 +63,41 @@ def lexicon(weights: DataFrame) -> Lexicon:
     return Lexicon(weights, word_list_size(weights))
 
 
+def _common_words(tokens: DataFrame, words: Lexicon) -> tuple[DataFrame, list[str]]:
+    """``(word, weight, _listed)`` of the most frequent words of the tokens, listed or not, written out.
+
+    As many as may be broadcast, by rows and by bytes: longer words are not taken. The least count of
+    the common words comes from a histogram of counts, so no list is sorted. Words that are not
+    listed have no weight and ``_listed`` false, so their tokens need no join either. Beside them the
+    hot ones of all other words (see ``bounds.hot_words``).
+    """
+    spark, rows = tokens.sparkSession, bounds.BROADCAST_ROWS
+    longest = bounds.BROADCAST_BYTES // max(rows, 1)
+    path = scratch_dir(spark, "common-words")
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        write_parquet(df, f"{path}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
+
+    counts = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    # Counts of up to a hundred stand alone, others by their size: few steps whatever the tokens.
+    step = F.when(F.col("n") <= 100, F.col("n")).otherwise(F.floor(F.log2("n") * 16) + 100)
+    step = F.when(F.octet_length("word") <= longest, step).otherwise(0)
+    counts = written(counts.withColumn("step", step), "counts")
+    steps = counts.groupBy("step").agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("tokens")).collect()
+    taken, rest, least = 0, sum(r.tokens for r in steps), None
+    for r in sorted(steps, reverse=True):
+        taken += r.words
+        if not r.step or taken > rows:
+            break
+        rest, least = rest - r.tokens, r.step
+    is_common = F.lit(False) if least is None else F.col("step") >= least
+    common = counts.filter(is_common).select("word").join(words.weights.select("word", "weight"), "word", "left")
+    common = written(common.withColumn("_listed", F.col("weight").isNotNull()), "common")
+    hot = counts.filter(~is_common).filter(F.col("n") * (4 * bounds.salts(tokens)) > rest)
+    return common, [r.word for r in hot.select("word").collect()]
+
+
 def _hit_scores(keyed: DataFrame, words: Lexicon, text_col: str) -> DataFrame:
     """``(_k1, _k2, score)`` of the rows with at least one listed word.
 
@@ -73,11 +110,14 @@ def _hit_scores(keyed: DataFrame, words: Lexicon, text_col: str) -> DataFrame:
     if words.size.within(bounds.BROADCAST_ROWS, bounds.BROADCAST_BYTES):
         hits = tokens.join(F.broadcast(words.weights), "word", "left")
     else:
-        # Tokens that are not listed go out in the join.
-        none = F.lit(None).cast("bigint").alias("weight")
-        hits = word_join(tokens, words.weights, spread_by="_k1", size=words.size)
+        # Most tokens are repeats of some words, which meet their weights where they lie.
+        common, hot = _common_words(tokens, words)
+        met = tokens.join(F.broadcast(common), "word", "left")
+        rare = met.filter("_listed is null").select("_k1", "_k2", "word")
+        # Rare tokens that are not listed go out in the join.
+        hits = word_join(rare, words.weights, spread_by="_k1", size=words.size, hot=hot)
         hits = hits.select("_k1", "_k2", F.lit(1).alias("_at"), "weight").unionByName(
-            tokens.filter("_at = 0").select("_k1", "_k2", "_at", none)
+            met.filter("weight is not null or _at = 0").select("_k1", "_k2", "_at", "weight")
         )
     sums = hits.groupBy("_k1", "_k2").agg(F.sum("weight").alias("total"), F.count_if(F.col("_at") == 0).alias("rows"))
     return sums.filter("total is not null").select("_k1", "_k2", F.expr("total div rows").alias("score"))
@@ -99,7 +139,8 @@ def lexicon_sentiment(
     ``weights`` holds ``(word, weight)``; weights of a word listed twice add up. The score is the sum
     of the weights of the lower-cased space tokens of the raw text, 0 for a null text. A short list
     travels in the plan and scoring is a projection, on streams too. For a longer one the tokens are
-    joined to the list: broadcast up to a bound, by salted hash joins beyond it. The text itself moves
+    joined to the list: broadcast up to a bound. Beyond it the frequent words of the texts are
+    broadcast, and the tokens of all others go to the list by salted hash joins. The text itself moves
     only if it is asked for beside the score. Streams take long lists batch by batch
     (``streaming.sentiment``). The word table is read more than once; write it out first when it is
     costly to make, or pass the ``lexicon`` of it to score many frames.

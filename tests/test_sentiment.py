@@ -57,6 +57,28 @@ def test_scores_on_every_route(spark, monkeypatch, lowered, plan):
     assert sorted(r.score for r in got.collect()) == [-2, -2, 0, 1, 2]
 
 
+def test_frequent_words_of_a_long_list_are_not_shuffled(spark, monkeypatch):
+    """Only tokens of rare words meet the list by a shuffle, and listed words of any length count."""
+    monkeypatch.setattr(sentiment, "INLINE_WORDS", 0)
+    monkeypatch.setattr(bounds, "BROADCAST_ROWS", 3)
+    monkeypatch.setattr(bounds, "BROADCAST_BYTES", 30)
+    long = "g" * 11
+    listed = [("a", 1), ("b", -2), ("c", 5), ("d", 7), (long, 100)]
+    rows = [(i, f"a a the the the {'b' if i % 2 else 'c'} x{i} {long if i < 20 else ''}") for i in range(40)]
+    rows += [(40, "D d unlisted"), (40, "D d unlisted"), (41, None)]
+    df = spark.createDataFrame(rows, "post_id long, text string")
+    joined = []
+    monkeypatch.setattr(sentiment, "word_join", lambda t, *a, **k: joined.append((t, k["hot"])) or bounds.word_join(t, *a, **k))
+    got = sentiment.lexicon_sentiment(df, spark.createDataFrame(listed, "word string, weight long"))
+    want = {i: 2 + (-2 if i % 2 else 5) + (100 if i < 20 else 0) for i in range(40)} | {40: 14, 41: 0}
+    assert {r.post_id: r.score for r in got.collect()} == want and got.count() == 43
+    (rare, hot), = joined
+    words = [r.word for r in rare.collect()]
+    # "the" and "a" are common, the blank is too or one of the steps is full; the long word is hot.
+    assert words.count("the") == words.count("a") == 0 and words.count(long) == 20 and words.count("d") == 4
+    assert long in hot
+
+
 def test_short_lists_need_no_shuffle(spark):
     plan = sentiment.lexicon_sentiment(posts(spark), weights(spark))._jdf.queryExecution().toString()
     assert "Exchange" not in plan and "Join" not in plan
