@@ -97,15 +97,20 @@ def _combined(top: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, n
     return np.add.reduceat(top, first, axis=0) / count, np.maximum.reduceat(top, first, axis=0)
 
 
-def scores(net: Net, raw: np.ndarray, at: np.ndarray, most_chunks: int = 256) -> np.ndarray:
-    """The probability of label 1 for each text; a long text's chunks pass in groups."""
+def scores(net: Net, raw: np.ndarray, at: np.ndarray, most_chunks: int = 64) -> np.ndarray:
+    """The probability of label 1 for each text; chunks pass in groups.
+
+    Groups are filled up to one size and rows are summed one by one, as products of matrices round a row
+    by the shape it stands in: a text has the same score whatever texts are beside it.
+    """
     n = len(at) - 1
     if not n:
         return np.empty(0)
     chunks, owner = _chunks(raw, at)
-    top = np.concatenate([_top(net, chunks[i : i + most_chunks]) for i in range(0, len(chunks), most_chunks)])
-    mean, high = _combined(top, owner, n)
-    z = mean @ net.out[:FILTERS] + high @ net.out[FILTERS:] + net.bias[0]
+    full = np.concatenate((chunks, np.repeat(chunks[:1], -len(chunks) % most_chunks, axis=0)))
+    top = np.concatenate([_top(net, full[i : i + most_chunks]) for i in range(0, len(full), most_chunks)])
+    mean, high = _combined(top[: len(chunks)], owner, n)
+    z = (mean * net.out[:FILTERS]).sum(axis=1) + (high * net.out[FILTERS:]).sum(axis=1) + net.bias[0]
     return 1 / (1 + np.exp(-np.clip(z.astype(np.float64), -40, 40)))
 
 
