@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rookery.llm.rows import give_back
+
 # About how many labelled rows a model is fitted on, and the longest text among them.
 FIT_ROWS = 3_000
 FIT_BYTES = 48_000
@@ -55,6 +57,7 @@ def fitted(sample: DataFrame, fit: Callable[[list[bytes], list[int]], bytes]) ->
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["order", "text"], kind="stable")
         model = fit([t.encode() for t in pdf["text"]], pdf["label"].tolist())
+        give_back()
         return pd.DataFrame({"model": [model]})
 
     found = sample.groupBy(F.lit(0).alias("all")).applyInPandas(run, "model binary").collect()

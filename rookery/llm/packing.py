@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rookery.llm.rows import Packed, arrow_schema, materialise, slabs, text_bytes
+from rookery.llm.rows import Packed, arrow_schema, lean, materialise, slabs, text_bytes
 from rookery.llm.word_ids import word_ids
 
 MAX_LENGTH = 4096
@@ -201,9 +201,8 @@ def token_pieces(
         encoder = word_ids(tokenizer)
         for batch in batches:
             raw, at = text_bytes(batch.column("text"))
-            raw = raw.tobytes()
             for first, last in slabs(at):
-                texts = [raw[a:b] for a, b in zip(at[first:last].tolist(), at[first + 1 : last + 1].tolist())]
+                texts = [raw[a:b].tobytes() for a, b in zip(at[first:last].tolist(), at[first + 1 : last + 1].tolist())]
                 rows, cells = [], []
                 for n, ids in enumerate(encoder.of(texts), first):
                     ids += end
@@ -218,7 +217,7 @@ def token_pieces(
                 columns = [pa.array(c, f.type) for c, f in zip(zip(*cells), list(arrow)[3:])]
                 yield pa.RecordBatch.from_arrays([*keys, *columns], schema=arrow)
 
-    return packed.select("id", "text", "k1", "k2").mapInArrow(run, schema)
+    return packed.select("id", "text", "k1", "k2").mapInArrow(lean(run), schema)
 
 
 def pack(

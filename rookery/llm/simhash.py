@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rookery.llm.components import components
-from rookery.llm.rows import Packed, arrow_schema, materialise, run_starts, text_bytes
+from rookery.llm.rows import Packed, arrow_schema, lean, materialise, run_starts, text_bytes
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -55,9 +55,8 @@ def fingerprints(packed: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, at = text_bytes(batch.column("text"))
-            raw = raw.tobytes()
             fps = np.array(
-                [fingerprint(raw[a:b], shingle) for a, b in zip(at[:-1].tolist(), at[1:].tolist())],
+                [fingerprint(raw[a:b].tobytes(), shingle) for a, b in zip(at[:-1].tolist(), at[1:].tolist())],
                 np.uint64,
             )
             yield pa.RecordBatch.from_arrays(
@@ -65,7 +64,7 @@ def fingerprints(packed: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 schema=arrow,
             )
 
-    return packed.select("id", "text", "k1", "k2").mapInArrow(run, schema)
+    return packed.select("id", "text", "k1", "k2").mapInArrow(lean(run), schema)
 
 
 def variants(fps: DataFrame) -> DataFrame:
@@ -212,7 +211,7 @@ def _bucket_edges(rows: DataFrame, max_bits: int, bound: int | None) -> DataFram
             key, sub, fp = key[keep], sub[keep], fp[keep]
             yield made(None, *_runs(key, sub, fp, run_starts(key, sub), max_bits))
 
-    return rows.repartition("key", "sub").sortWithinPartitions("key", "sub", "fp").mapInArrow(run, schema)
+    return rows.repartition("key", "sub").sortWithinPartitions("key", "sub", "fp").mapInArrow(lean(run), schema)
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> DataFrame:

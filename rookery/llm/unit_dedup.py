@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rookery.llm.rows import Packed, arrow_schema, materialise, text_bytes
+from rookery.llm.rows import Packed, arrow_schema, lean, materialise, text_bytes
 from rookery.llm.spans import cut, removed_bytes, removed_spans
 
 # A unit that is shorter takes in the ones after it until it has so many words, at the end of a text
@@ -82,7 +82,7 @@ def unit_rows(packed: DataFrame, unit: str, min_words: int) -> DataFrame:
             if rows:
                 yield made()
 
-    return packed.select("id", "text", "k1", "k2").mapInArrow(run, schema)
+    return packed.select("id", "text", "k1", "k2").mapInArrow(lean(run), schema)
 
 
 def later_spans(rows: DataFrame) -> DataFrame:
