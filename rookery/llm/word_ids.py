@@ -7,7 +7,7 @@ import re
 import numpy as np
 
 # Words remembered by a Python worker: two generations of so many, at some 150 bytes a word.
-MEMO_WORDS = 100_000
+MEMO_WORDS = 200_000
 # Letters that lower-casing and composition leave one letter, then marks that form one token's word.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _PROBE = "Die Straße, où l'on va: 3.5% of ~Ünits?! don't <x> naïve"
