@@ -113,6 +113,41 @@ def test_suffix_dedup_of_a_text_of_several_pieces(spark):
     assert got == {1: [(100, 1100), (border - 500, border + 500), (border + 600, border + 1100)], 2: [(1, 501)], 3: []}
 
 
+def test_suffix_dedup_writes_one_table_a_pass(docs, monkeypatch):
+    """Each written file costs the executor a process, so no sums and no classes are written beside the rows."""
+    labels, write = [], suffix_dedup.materialise
+    monkeypatch.setattr(suffix_dedup, "materialise", lambda df, label: labels.append(label) or write(df, label))
+    assert any(r.n_removed for r in suffix_dedup.remove_repeats(docs, 64).collect())
+    assert collections.Counter(labels) == {"suffixes": 11, "settled": 2, "texts": 1}
+
+
+def test_rows_of_a_hot_key_meet_its_sums_in_many_tasks(spark, tmp_path):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "50",
+    }
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000)
+    spark.range(200_000, numPartitions=16).select(hot.alias("d0"), F.xxhash64("id").alias("k1")).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    sums = rows.groupBy("d0").agg(F.count(F.lit(1)).alias("n"))
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        joined = rows.join(suffix_dedup._dealt_anew(sums, ["d0"]), "d0")
+        got = joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(got) == 200_000 and max(r.n for r in got) > 60_000
+    assert "skew=true" in plan.split("Initial Plan")[0]
+
+
 def plain_lines(text):
     """Begin and end of each line; blanks at its start are not part of it, but for the first one."""
     out, place = [], 0
